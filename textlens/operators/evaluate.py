@@ -14,31 +14,38 @@ AVG_TOTAL = "Avg/total"
 
 
 def confusion(pred: DataFrame) -> DataFrame:
-    """M1: ``(class, tp, fp, fn, tn, support)`` one-vs-rest, LONGs."""
-    by_true = pred.groupBy("class").agg(
-        F.count(F.lit(1)).alias("support"), F.sum((F.col("pred") == F.col("class")).cast("long")).alias("tp")
+    """M1: ``(class, tp, fp, fn, tn, support)`` one-vs-rest, LONGs.
+
+    One pass: every prediction adds a row for its true class (support, tp)
+    and, when wrong, one for the predicted class (fp); a single partial +
+    final aggregate then gives at most K+1 rows.
+    """
+    wrong = F.col("pred") != F.col("class")
+    hit = F.struct(
+        F.col("class").alias("c"),
+        F.lit(1).alias("s"),
+        (~wrong).cast("long").alias("tp"),
+        F.lit(0).cast("long").alias("fp"),
+    )
+    miss = F.when(
+        wrong, F.struct(F.col("pred").alias("c"), F.lit(0).alias("s"), F.lit(0).cast("long").alias("tp"), F.lit(1).cast("long").alias("fp"))
     )
-    by_pred = (
-        pred.where(F.col("pred") != F.col("class"))
-        .groupBy(F.col("pred").alias("class"))
-        .agg(F.count(F.lit(1)).alias("fp"))
+    parts = pred.select(F.explode(F.array(hit, miss)).alias("e")).where(F.col("e").isNotNull()).select("e.*")
+    j = parts.groupBy(F.col("c").alias("class")).agg(
+        F.sum("s").alias("support"), F.sum("tp").alias("tp"), F.sum("fp").alias("fp")
     )
-    # both sides have at most K+1 rows; N over the joined K-row table is one small task
-    j = by_true.join(by_pred, "class", "full_outer")
-    has_test = F.col("support").isNotNull()
-    n_total = F.sum(F.coalesce(F.col("support"), F.lit(0))).over(Window.partitionBy())
-    tp = F.coalesce(F.col("tp"), F.lit(0))
-    fp = F.coalesce(F.col("fp"), F.lit(0))
-    fn = F.when(has_test, F.col("support") - tp).otherwise(F.lit(0))
-    out = j.select(
+    # the aggregated table has at most K+1 rows; N over it is one small task
+    has_test = F.col("support") > 0
+    n_total = F.sum("support").over(Window.partitionBy())
+    fn = F.when(has_test, F.col("support") - F.col("tp")).otherwise(F.lit(0))
+    return j.select(
         "class",
-        tp.cast("long").alias("tp"),
-        fp.cast("long").alias("fp"),
+        F.col("tp").cast("long").alias("tp"),
+        F.col("fp").cast("long").alias("fp"),
         fn.cast("long").alias("fn"),
-        F.when(has_test, n_total - tp - fp - fn).otherwise(F.lit(0)).cast("long").alias("tn"),
-        F.coalesce(F.col("support"), F.lit(0)).cast("long").alias("support"),
+        F.when(has_test, n_total - F.col("tp") - F.col("fp") - fn).otherwise(F.lit(0)).cast("long").alias("tn"),
+        F.col("support").cast("long").alias("support"),
     )
-    return out
 
 
 def accuracy(pred: DataFrame) -> DataFrame:

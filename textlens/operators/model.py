@@ -44,6 +44,17 @@ class Model:
         """``(class, n_words)`` = Σ cnt per class."""
         return self.likelihood.groupBy("class").agg(F.sum("cnt").alias("n_words"))
 
+    def persist(self) -> "Model":
+        """Cache both tables (memory, then disk). The model is sized by vocabulary x
+        classes, not by documents, and is read by the class header and by scoring."""
+        from pyspark import StorageLevel
+
+        return Model(self.priors.persist(StorageLevel.MEMORY_AND_DISK), self.likelihood.persist(StorageLevel.MEMORY_AND_DISK))
+
+    def unpersist(self) -> None:
+        self.priors.unpersist()
+        self.likelihood.unpersist()
+
     def restrict(self, classes) -> "Model":
         """P9 on the model tables."""
         cl = list(classes)

@@ -68,7 +68,7 @@ def classify(
     docs = prepare(corpus, pick_pct, ratio, balanced, shuffle_seed, stopwords, order_cols)
     if classes is not None:
         docs = docs.where(F.col("class").isin(list(classes)))
-    model = train(docs)
+    model = train(docs).persist()
     return classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes)
 
 

@@ -73,17 +73,26 @@ def class_report(conf: DataFrame) -> DataFrame:
 
 def report(conf: DataFrame) -> DataFrame:
     """M3+M4+M5: per-class rows plus ``Avg/total`` (unweighted mean of the unrounded
-    per-class values, sum of support). ``row_order`` puts ``Avg/total`` last."""
+    per-class values, sum of support). ``row_order`` puts ``Avg/total`` last.
+
+    ``ROLLUP`` over the K per-class rows gives both in one pass: a class group
+    holds one row (its mean is the value itself), the grand total averages the
+    per-class ratios (not a ratio of sums).
+    """
     rows = class_report(conf)
-    avg = rows.agg(
-        F.lit(AVG_TOTAL).alias("class"),
+    g = rows.rollup("class").agg(
         F.avg("precision").alias("precision"),
         F.avg("recall").alias("recall"),
         F.avg("average").alias("average"),
         F.avg("f1").alias("f1"),
         F.sum("support").alias("support"),
+        F.grouping("class").alias("row_order"),
+    )
+    return g.select(
+        F.when(F.col("row_order") == 1, F.lit(AVG_TOTAL)).otherwise(F.col("class")).alias("class"),
+        "precision", "recall", "average", "f1", F.col("support").cast("long").alias("support"),
+        F.col("row_order").cast("int").alias("row_order"),
     )
-    return rows.withColumn("row_order", F.lit(0)).unionByName(avg.withColumn("row_order", F.lit(1)))
 
 
 def weighted_means(rows: DataFrame) -> DataFrame:

@@ -60,41 +60,35 @@ def class_index(spark, header) -> DataFrame:
 
 def word_vectors(model: Model, header) -> DataFrame:
     """``(word, cnts ARRAY<BIGINT>)``: the likelihood pivoted to one K-vector per word
-    (class order of ``header``, 0 where the class never saw the word)."""
+    (class order of ``header``, 0 where the class never saw the word).
+
+    One partial + final hash aggregate with K conditional sums (code-generated).
+    """
     spark = model.likelihood.sparkSession
-    k = len(header)
     lik = model.likelihood.join(F.broadcast(class_index(spark, header)), "class")
-    pairs = F.map_from_entries(F.collect_list(F.struct("k", "cnt")))
-    return lik.groupBy("word").agg(pairs.alias("_m")).select(
-        "word",
-        F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda i: F.coalesce(F.try_element_at(F.col("_m"), i), F.lit(0)))
-        .cast("array<bigint>")
-        .alias("cnts"),
-    )
+    sums = [F.sum(F.when(F.col("k") == i, F.col("cnt")).otherwise(F.lit(0))) for i in range(len(header))]
+    return lik.groupBy("word").agg(F.array(*sums).cast("array<bigint>").alias("cnts"))
 
 
-def with_word_counts(docs: DataFrame, model: Model, header, keep=("class",)) -> DataFrame:
-    """``(doc_id, ..keep, words, wcnt)``: ``wcnt[j]`` is the K-vector of counts of ``words[j]``.
+def with_word_counts(docs: DataFrame, model: Model, header, keep=("class",), with_words: bool = True) -> DataFrame:
+    """``(doc_id, ..keep, [words,] wcnt)``: ``wcnt[j]`` is the K-vector of counts of word j.
 
     Tokens are joined to the per-word vectors on ``word`` (hot words are split
     by AQE's skew join; a small model side is broadcast by AQE at run time)
     and regrouped per document in position order. Count lookups in the score
-    folds are then array indexing, O(1) per word and class.
+    folds are then array indexing, O(1) per word and class. Without
+    ``with_words`` only positions and vectors travel through the shuffle.
     """
     keep = [c for c in keep if c in docs.columns]
     toks = docs.select("doc_id", *keep, F.posexplode("words").alias("pos", "word"))
     joined = toks.join(word_vectors(model, header), "word", "left")
-    seq = F.array_sort(F.collect_list(F.struct("pos", "word", "cnts")))
-    return (
-        joined.groupBy("doc_id", *keep)
-        .agg(seq.alias("_seq"))
-        .select(
-            "doc_id",
-            *keep,
-            F.transform("_seq", lambda e: e["word"]).alias("words"),
-            F.transform("_seq", lambda e: e["cnts"]).alias("wcnt"),
-        )
-    )
+    fields = ["pos", "word", "cnts"] if with_words else ["pos", "cnts"]
+    seq = F.sort_array(F.collect_list(F.struct(*fields)))
+    out = joined.groupBy("doc_id", *keep).agg(seq.alias("_seq"))
+    cols = [F.col("_seq.cnts").alias("wcnt")]
+    if with_words:
+        cols.insert(0, F.col("_seq.word").alias("words"))
+    return out.select("doc_id", *keep, *cols)
 
 
 def _cnt(h: Column, c: Column) -> Column:
@@ -163,7 +157,9 @@ def score(
     header = header if header is not None else model.header(classes)
     hdr = _header_array(header)
     tot = total(mode, zero_fix)
-    scored = with_word_counts(test_docs, model, header, keep).withColumn("scores", F.transform(hdr, tot))
+    scored = with_word_counts(test_docs, model, header, keep, with_words=False).withColumn(
+        "scores", F.transform(hdr, tot)
+    )
     return scored.withColumn("pred", argmax(F.col("scores"), [c for c, _, _ in header], reject)).drop("wcnt")
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+
+from pyspark import StorageLevel
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,6 +21,13 @@ class Run:
     test: DataFrame  # (doc_id, class, words, ..)
     scored: DataFrame  # test + scores + pred
     header: list
+    cached: list = field(default_factory=list)
+
+    def release(self) -> None:
+        """Drop the cached corpus and model tables."""
+        for df in self.cached:
+            df.unpersist()
+        self.model.unpersist()
 
     def predictions(self) -> DataFrame:
         return self.scored.select("doc_id", "class", "pred")
@@ -68,8 +77,12 @@ def classify(
     docs = prepare(corpus, pick_pct, ratio, balanced, shuffle_seed, stopwords, order_cols)
     if classes is not None:
         docs = docs.where(F.col("class").isin(list(classes)))
+    # the split and tokenised corpus feeds both training and the test set: cache it once
+    docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     model = train(docs).persist()
-    return classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes)
+    run = classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes)
+    run.cached.append(docs)
+    return run
 
 
 def classify_with(model: Model, test: DataFrame, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, classes=None) -> Run:

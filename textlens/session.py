@@ -19,6 +19,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # AQE broadcasts a join side only when its measured shuffle output is below this
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "64MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TEXTLENS_DRIVER_MEMORY", "8g"))
     )

@@ -592,3 +592,204 @@ def q_word_uniqueness(spark, sf):
     run, pt = _explain(spark, sf)
     u = word_uniqueness(pt, run.header)
     return u.select("doc_id", "winner", "word", r6(F.col("diff")).alias("diff"), "count", "rank", "label")
+
+
+# ---------------------------------------------------------------- zero-fix slider (T15 with C1)
+
+SWEEP = tuple(range(4, 13))
+
+
+@register(
+    "zero_fix_sweep",
+    S.with_(
+        S.split_ctes("lang"),
+        S.model_ctes(),
+        f"vs AS (SELECT unnest(range({SWEEP[0]}, {SWEEP[-1] + 1})) AS v)",
+        "tw AS (SELECT doc_id, class, unnest(words) AS word, unnest(range(len(words))) AS pos FROM test)",
+        "terms AS (SELECT vs.v, tw.doc_id, tw.class, h.class AS cand, h.k, h.n_docs, tw.pos, "
+        "ln(greatest(1.0 / pow(10.0, vs.v), CAST(coalesce(l.cnt, 0) AS DOUBLE) / h.n_words)) AS term "
+        "FROM tw CROSS JOIN hdr h CROSS JOIN vs LEFT JOIN lik l ON l.class = h.class AND l.word = tw.word)",
+        "scores AS (SELECT v, doc_id, class, cand, k, "
+        "list_reduce(list_prepend(ln(n_docs), list(term ORDER BY pos)), lambda a, x: a + x) AS score "
+        "FROM terms GROUP BY v, doc_id, class, cand, k, n_docs)",
+        "best AS (SELECT v, doc_id, class, CASE WHEN score > -1000000.0 THEN cand ELSE '' END AS pred, "
+        "row_number() OVER (PARTITION BY v, doc_id ORDER BY score DESC, k) AS r FROM scores)",
+    )
+    + "SELECT CAST(v AS DOUBLE) AS v, 'Value: 1 / ' || CAST(CAST(round(pow(10.0, v)) AS BIGINT) AS VARCHAR) AS text, "
+    "CAST(sum(CASE WHEN pred = class THEN 1 ELSE 0 END) AS BIGINT) AS correct, count(*) AS total, "
+    + S.r6("sum(CASE WHEN pred = class THEN 1 ELSE 0 END) / count(*)")
+    + " AS accuracy FROM best WHERE r = 1 GROUP BY v",
+)
+def q_zero_fix_sweep(spark, sf):
+    from textlens.functions.text import zero_fix_text
+    from textlens.operators.scoring import score_floors
+
+    docs = prepare(corpus(spark, sf, "lang"))
+    model = train(docs).persist()
+    header = model.header()
+    sc = score_floors(test_token_lists(docs), model, header, SWEEP)
+    acc = sc.groupBy("v").agg(
+        F.sum((F.col("pred") == F.col("class")).cast("long")).alias("correct"), F.count(F.lit(1)).alias("total")
+    )
+    return acc.select(
+        "v",
+        zero_fix_text(F.col("v")).alias("text"),
+        "correct",
+        "total",
+        r6(F.col("correct") / F.col("total")).alias("accuracy"),
+    )
+
+
+# ---------------------------------------------------------------- second three-class corpus: conversations.role
+
+
+@register(
+    "role_report",
+    _report_sql(
+        S.with_(
+            S.split_ctes("role", order="c.conv_id, c.turn"),
+            S.model_ctes(),
+            S.score_ctes("floor", FIXED_FLOOR),
+            S.pred_ctes(DEFAULT_REJECT),
+        )
+    ),
+)
+def q_role_report(spark, sf):
+    from textlens.sources.corpus import conversations_corpus
+
+    run = classify(
+        conversations_corpus(spark, sf), FLOOR, FIXED_FLOOR, DEFAULT_REJECT, order_cols=("conv_id", "turn")
+    )
+    return _report_out(run.report())
+
+
+# ---------------------------------------------------------------- model merge
+
+
+@register(
+    "model_merge",
+    S.with_(
+        S.split_ctes("lang"),
+        S.model_ctes(),
+        "docs2 AS (SELECT doc_id, class, CASE WHEN rn <= 50 * quota // 100 THEN 'train' ELSE 'test' END AS split, words "
+        "FROM split JOIN docs USING (doc_id, class, rn) WHERE class IN ('fr', 'de'))",
+        "pri2 AS (SELECT class, count(*) AS n_docs FROM docs2 WHERE split = 'train' GROUP BY class)",
+        "lik2 AS (SELECT class, word, count(*) AS cnt FROM (SELECT class, unnest(words) AS word FROM docs2 "
+        "WHERE split = 'train') GROUP BY class, word)",
+        "mp AS (SELECT * FROM priors WHERE class NOT IN (SELECT class FROM pri2) UNION ALL SELECT * FROM pri2)",
+        "ml AS (SELECT * FROM lik WHERE class NOT IN (SELECT class FROM lik2) UNION ALL SELECT * FROM lik2)",
+    )
+    + "SELECT ml.class, ml.word, ml.cnt, mp.n_docs FROM ml JOIN mp USING (class)",
+)
+def q_model_merge(spark, sf):
+    """Model of ``lang`` at a 75 % train share, then ``fr`` and ``de`` from a
+    model at a 50 % share; the second model wins whole on shared classes."""
+    from textlens.operators.model import merge_models
+
+    c = corpus(spark, sf, "lang")
+    first = train(prepare(c))
+    second = train(prepare(c, ratio=50).where(F.col("class").isin("fr", "de")))
+    m = merge_models(first, second)
+    return m.likelihood.join(m.priors, "class").select("class", "word", "cnt", "n_docs")
+
+
+# ---------------------------------------------------------------- payload
+
+
+@register("payload_json")
+def q_payload_json(spark, sf):
+    """One JSON payload per chosen class (rows-only check)."""
+    from textlens.sources.model_io import payload
+
+    run, pt = _explain(spark, sf)
+    return payload(run.model, pt, run.report(), run.header)
+
+
+@register(
+    "payload_roundtrip",
+    S.explain_sql(
+        S.pred_ctes(DEFAULT_REJECT),
+        S.confusion_ctes(),
+        S.report_ctes(),
+        "nv AS (SELECT class, count(*) AS n_vocab FROM lik GROUP BY class)",
+        "nt AS (SELECT class, count(*) AS n_test, sum(len(words) + 2) * 3 AS n_trace FROM test GROUP BY class)",
+        select="SELECT p.class, p.n_docs AS sample_amount, nv.n_vocab, nt.n_test, nt.n_trace, "
+        f"{S.r6('r.precision')} AS precision, {S.r6('r.recall')} AS recall, {S.r6('r.f1')} AS f1, "
+        "CAST(r.support AS DOUBLE) AS support "
+        "FROM priors p JOIN nv USING (class) JOIN nt USING (class) JOIN rep r USING (class)",
+    ),
+)
+def q_payload_roundtrip(spark, sf):
+    """S9 -> S10: write the payload as JSON text and parse it back."""
+    from textlens.sources.model_io import parse_payload, payload
+
+    run, pt = _explain(spark, sf)
+    p = parse_payload(payload(run.model, pt, run.report(), run.header))
+    n_trace = F.aggregate(
+        F.map_values("testSampsProbs"),
+        F.lit(0).cast("long"),
+        lambda a, m: a + F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda b, arr: b + F.size(arr)),
+    )
+    return p.select(
+        "class",
+        F.col("sampleAmount").alias("sample_amount"),
+        F.size(F.map_keys("wordFreqs")).cast("long").alias("n_vocab"),
+        F.size(F.map_keys("testSamps")).cast("long").alias("n_test"),
+        n_trace.alias("n_trace"),
+        r6(F.col("report")[0]).alias("precision"),
+        r6(F.col("report")[1]).alias("recall"),
+        r6(F.col("report")[3]).alias("f1"),
+        F.col("report")[4].alias("support"),
+    )
+
+
+# ---------------------------------------------------------------- labelled lines
+
+
+def _lines(spark, sf, mode, stop=False):
+    from textlens.operators.lines import read_lines
+    from textlens.sources.corpus import labelled_lines
+
+    lines = labelled_lines(spark, sf)
+    total = lines.count()  # one number: the line count fixes the train/test amounts
+    t = total * P.LINE_TRAIN_PCT // 100
+    return read_lines(lines, t, total - t, mode, stopwords=stop)
+
+
+@register(
+    "line_label",
+    S.with_(S.line_ctes()) + "SELECT line_no, label, class, CAST(len(words) AS INTEGER) AS n_words FROM lt",
+)
+def q_line_label(spark, sf):
+    from textlens.operators.lines import line_tokens
+    from textlens.sources.corpus import labelled_lines
+
+    t = line_tokens(labelled_lines(spark, sf))
+    return t.select("line_no", "label", "class", F.size("words").alias("n_words"))
+
+
+_LINE_OUT = "CAST(len(words) AS INTEGER) AS n_words"
+
+
+@register(
+    "line_split_clean",
+    S.with_(S.line_ctes())
+    + f"SELECT line_no AS doc_id, line_no, class, 'train' AS split, {_LINE_OUT} FROM lt, n WHERE line_no < n.t "
+    f"UNION ALL SELECT line_no, line_no, class, 'test', {_LINE_OUT} FROM lt, n "
+    "WHERE line_no >= n.t AND line_no < n.t + n.s",
+)
+def q_line_split_clean(spark, sf):
+    return _lines(spark, sf, "clean").select("doc_id", "line_no", "class", "split", F.size("words").alias("n_words"))
+
+
+@register(
+    "line_split_as_coded",
+    S.with_(S.line_ctes())
+    + f"SELECT line_no AS doc_id, line_no, class, 'train' AS split, {_LINE_OUT} FROM lt, n WHERE line_no < n.t "
+    "UNION ALL SELECT CASE WHEN line_no < n.t THEN line_no ELSE line_no - 1 END, line_no, class, 'test', "
+    f"{_LINE_OUT} FROM lt, n WHERE line_no <> n.t "
+    "AND CASE WHEN line_no < n.t THEN line_no ELSE line_no - 1 END < n.s "
+    "AND CASE WHEN line_no < n.t THEN line_no ELSE line_no - 1 END < greatest(n.total - n.t - 1, 0)",
+)
+def q_line_split_as_coded(spark, sf):
+    return _lines(spark, sf, "as_coded").select("doc_id", "line_no", "class", "split", F.size("words").alias("n_words"))

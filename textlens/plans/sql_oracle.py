@@ -18,8 +18,33 @@ CORPUS = {
     "source": "SELECT doc_id, source AS class, text FROM documents",
     "quality": "SELECT l.doc_id, CAST(l.quality AS VARCHAR) AS class, d.text "
     "FROM labels l JOIN documents d USING (doc_id)",
+    "role": "SELECT CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS doc_id, role AS class, text, conv_id, turn "
+    "FROM conversations",
 }
 
+# labelled-line stand-in: one line per labelled document, text on one line, a tab, the label
+LINES = (
+    "lines AS (SELECT CAST(row_number() OVER (ORDER BY l.doc_id) - 1 AS BIGINT) AS line_no, "
+    "regexp_replace(d.text, '{ws}', ' ', 'g') || chr(9) || CAST(l.quality AS VARCHAR) AS line "
+    "FROM labels l JOIN documents d USING (doc_id))"
+)
+
+
+def line_ctes(train_pct: int = P.LINE_TRAIN_PCT, stop: bool = False) -> str:
+    """lines -> lt(line_no, label, class, words) -> n(total, t, s)."""
+    stop_cond = f" AND NOT list_contains([{sql_list()}], w)" if stop else ""
+    return ",\n".join(
+        [
+            LINES.format(ws=WHITESPACE_RE2),
+            f"lt0 AS (SELECT line_no, list_filter(string_split_regex(lower(translate(line, '{PUNCT_SQL}', '')), "
+            f"'{WHITESPACE_RE2}'), lambda w: w <> '') AS allw FROM lines)",
+            "lt AS (SELECT line_no, allw[-1] AS label, allw[-1] AS class, "
+            f"list_filter(allw, lambda w: w NOT IN ('0', '1'){stop_cond}) AS words FROM lt0 WHERE len(allw) > 0)",
+            f"n AS (SELECT count(*) AS total, count(*) * {train_pct} // 100 AS t, count(*) - count(*) * {train_pct} // 100 AS s "
+            "FROM lt)",
+        ]
+    )
+
 
 def words_expr(text: str = "text", stop: bool = False, digits: bool = False) -> str:
     cond = "w <> ''"
@@ -33,7 +58,9 @@ def words_expr(text: str = "text", stop: bool = False, digits: bool = False) ->
     )
 
 
-def split_ctes(key: str, pick: int = 100, ratio: int = P.RATIO, balanced: bool = False, stop: bool = False) -> str:
+def split_ctes(
+    key: str, pick: int = 100, ratio: int = P.RATIO, balanced: bool = False, stop: bool = False, order: str = "c.doc_id"
+) -> str:
     """corpus -> sizes -> quota -> split -> docs(doc_id, class, split, rn, words)."""
     if balanced:
         quota = f"CAST(least(10000, min(n) OVER ()) * {pick} // 100 AS BIGINT)"
@@ -42,7 +69,7 @@ def split_ctes(key: str, pick: int = 100, ratio: int = P.RATIO, balanced: bool =
     return f"""corpus AS ({CORPUS[key]}),
 sizes AS (SELECT class, count(*) AS n FROM corpus GROUP BY class),
 quota AS (SELECT class, n, {quota} AS quota FROM sizes),
-ranked AS (SELECT c.*, row_number() OVER (PARTITION BY c.class ORDER BY c.doc_id) AS rn FROM corpus c),
+ranked AS (SELECT c.*, row_number() OVER (PARTITION BY c.class ORDER BY {order}) AS rn FROM corpus c),
 split AS (
   SELECT r.doc_id, r.class, r.text, r.rn, q.quota,
          CASE WHEN r.rn <= {ratio} * q.quota // 100 THEN 'train' ELSE 'test' END AS split

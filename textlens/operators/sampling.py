@@ -2,11 +2,13 @@
 
 The per-class "take the first n" of the original is a rank within a class.
 A window ``partitionBy(class)`` would put a whole class into one task, and a
-class may hold a third of all rows, so ``rank_within`` ranks through a range
-partitioning instead: rows are range-partitioned and sorted on
-``(class, order)``, each task numbers its own rows, and a small table of
-per-(task, class) counts gives every task its offset. That table has at most
-``#partitions + #classes`` rows, so broadcasting it is safe.
+class may hold a third of all rows, so ``rank_within`` ranks in buckets of the
+ordering key instead: the high bits of the (integral) first ordering column
+cut every class into buckets of at most ``2**bucket_bits`` keys, a small table
+of bucket sizes gives each bucket its offset (a running sum over the buckets
+of a class), and a ``row_number`` inside (class, bucket) adds the rest.
+Everything is a deterministic function of the data, so a recomputed task
+(after an executor loss) gets the same ranks.
 """
 
 from __future__ import annotations
@@ -18,29 +20,21 @@ TRAIN = "train"
 TEST = "test"
 
 
-def rank_within(df: DataFrame, part_col: str, order_cols, num_partitions: int | None = None) -> DataFrame:
-    """Adds ``rn`` (1-based) = rank of each row inside its ``part_col`` group by ``order_cols``.
+def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int = 12) -> DataFrame:
+    """Adds ``rn`` (1-based) = rank of each row inside its ``part_cols`` group by ``order_cols``.
 
-    ``(part_col, *order_cols)`` must be unique. Exact; no single-partition step.
+    The first ordering column must be integral (an id, a hash, a line number);
+    the following ones break ties. Exact.
     """
+    part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
     order_cols = list(order_cols)
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [part_col, *order_cols]
-    s = (
-        df.repartitionByRange(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_mid", F.monotonically_increasing_id())
-    )
-    # first local id and row count of each (task, class) run; ids are dense inside a task
-    runs = s.groupBy("_pid", part_col).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    w = Window.partitionBy(part_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    runs = runs.withColumn("_offset", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    runs = runs.select("_pid", part_col, "_first", "_offset")
-    out = s.join(F.broadcast(runs), ["_pid", part_col])
-    return out.withColumn("rn", F.col("_offset") + (F.col("_mid") - F.col("_first")) + 1).drop(
-        "_pid", "_mid", "_first", "_offset"
-    )
+    x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
+    sizes = x.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*part_cols, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy(*part_cols, "_b").orderBy(*order_cols)
+    out = x.join(offsets, [*part_cols, "_b"]).withColumn("rn", F.col("_off") + F.row_number().over(inside))
+    return out.drop("_b", "_off")
 
 
 def class_sizes(corpus: DataFrame) -> DataFrame:
@@ -83,7 +77,8 @@ def split_by_ratio(
         order = ["_ord", *order_cols]
     else:
         order = list(order_cols)
-    ranked = rank_within(corpus, "class", order)
+    # hashed orders spread over the whole 64-bit range: use wider buckets
+    ranked = rank_within(corpus, "class", order, bucket_bits=44 if shuffle_seed is not None else 12)
     out = ranked.join(q.select("class", "quota"), "class").where(F.col("rn") <= F.col("quota"))
     train_n = F.expr(f"{int(ratio)} * quota div 100")
     out = out.withColumn("split", F.when(F.col("rn") <= train_n, F.lit(TRAIN)).otherwise(F.lit(TEST)))

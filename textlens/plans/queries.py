@@ -793,3 +793,65 @@ def q_line_split_clean(spark, sf):
 )
 def q_line_split_as_coded(spark, sf):
     return _lines(spark, sf, "as_coded").select("doc_id", "line_no", "class", "split", F.size("words").alias("n_words"))
+
+
+# ---------------------------------------------------------------- experiments (M7, M8)
+
+
+def _curve_sql() -> str:
+    from textlens.functions.stopwords import sql_list
+
+    return S.with_(
+        S.line_ctes(),
+        f"lt2 AS (SELECT line_no, class, words, list_filter(words, lambda w: NOT list_contains([{sql_list()}], w)) "
+        "AS words_s FROM lt)",
+        "sz AS (SELECT CAST(j * 5 AS BIGINT) AS size, CAST(j * 5 * 24 // 100 AS BIGINT) AS t FROM range(5, 205, 5) r(j))",
+        "g AS (SELECT size, t, size - t AS s, m FROM sz, (SELECT 0 AS m UNION ALL SELECT 1) ms)",
+        "tr AS (SELECT g.size, g.m, lt2.line_no, lt2.class, CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words "
+        "FROM g JOIN lt2 ON lt2.line_no < g.t)",
+        "te0 AS (SELECT g.size, g.m, g.t, g.s, lt2.line_no, lt2.class, "
+        "CASE WHEN lt2.line_no < g.t THEN lt2.line_no ELSE lt2.line_no - 1 END AS sample, "
+        "CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words FROM g JOIN lt2 ON lt2.line_no <> g.t)",
+        "te AS (SELECT te0.size, te0.m, te0.sample, te0.class, te0.words FROM te0, n "
+        "WHERE te0.sample < te0.s AND te0.sample < greatest(n.total - te0.t - 1, 0) AND len(te0.words) > 0)",
+        "pri AS (SELECT size, m, class, count(*) AS n_docs FROM tr GROUP BY size, m, class)",
+        "lk AS (SELECT size, m, class, word, count(*) AS cnt FROM (SELECT size, m, class, unnest(words) AS word FROM tr) "
+        "GROUP BY size, m, class, word)",
+        "tot AS (SELECT size, m, class, sum(cnt) AS n_words FROM lk GROUP BY size, m, class)",
+        "fs AS (SELECT size, m, class, min(line_no) AS first_seen FROM tr WHERE len(words) > 0 GROUP BY size, m, class)",
+        "hdr AS (SELECT t.size, t.m, t.class, p.n_docs, t.n_words, "
+        "row_number() OVER (PARTITION BY t.size, t.m ORDER BY f.first_seen, t.class) AS k "
+        "FROM tot t JOIN pri p USING (size, m, class) JOIN fs f USING (size, m, class))",
+        "tw AS (SELECT size, m, sample, class, unnest(words) AS word, unnest(range(len(words))) AS pos FROM te)",
+        "terms AS (SELECT tw.size, tw.m, tw.sample, tw.class, h.class AS cand, h.k, h.n_docs, tw.pos, "
+        "(CAST(coalesce(l.cnt, 0) AS DOUBLE) + 1) / h.n_words AS term FROM tw JOIN hdr h ON h.size = tw.size AND h.m = tw.m "
+        "LEFT JOIN lk l ON l.size = tw.size AND l.m = tw.m AND l.class = h.class AND l.word = tw.word)",
+        "scores AS (SELECT size, m, sample, class, cand, k, "
+        "list_reduce(list_prepend(CAST(n_docs AS DOUBLE), list(term ORDER BY pos)), lambda a, x: a * x) AS score "
+        "FROM terms GROUP BY size, m, sample, class, cand, k, n_docs)",
+        "best AS (SELECT size, m, sample, class, CASE WHEN score > -1000000.0 THEN cand ELSE '' END AS pred, "
+        "row_number() OVER (PARTITION BY size, m, sample ORDER BY score DESC, k) AS r FROM scores)",
+    ) + (
+        "SELECT size, m = 1 AS stop_words, CAST(sum(CASE WHEN pred = class THEN 1 ELSE 0 END) AS BIGINT) AS correct, "
+        "count(*) AS total, "
+        + S.r6("sum(CASE WHEN pred = class THEN 1 ELSE 0 END) / count(*)")
+        + " AS accuracy FROM best WHERE r = 1 GROUP BY size, m"
+    )
+
+
+@register("learning_curve", _curve_sql())
+def q_learning_curve(spark, sf):
+    from textlens.plans.experiments import learning_curve
+    from textlens.sources.corpus import labelled_lines
+
+    lc = learning_curve(labelled_lines(spark, sf), stopwords=True, train_perc=24)
+    return lc.withColumn("accuracy", r6(F.col("accuracy")))
+
+
+@register("repeat_mean")
+def q_repeat_mean(spark, sf):
+    """M7: five re-sampled runs (seeded hash shuffles) and their mean; rows-only
+    check because the shuffle order is Spark's own ``xxhash64``."""
+    from textlens.plans.experiments import repeat_mean
+
+    return repeat_mean(corpus(spark, sf, "source"), seeds=[1, 2, 3, 4, 5], reject=FIXED_FLOOR_REJECT)

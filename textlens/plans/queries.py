@@ -855,3 +855,110 @@ def q_repeat_mean(spark, sf):
     from textlens.plans.experiments import repeat_mean
 
     return repeat_mean(corpus(spark, sf, "source"), seeds=[1, 2, 3, 4, 5], reject=FIXED_FLOOR_REJECT)
+
+
+# ---------------------------------------------------------------- linear SVM baseline
+
+
+@register("random_split")
+def q_random_split(spark, sf):
+    """Seeded random train/test fractions (rows-only: Spark's own ``rand``)."""
+    from textlens.operators.sampling import random_split
+
+    return random_split(corpus(spark, sf, "source"), pick=1.0, ratio_pct=P.RATIO, seed=7).select("doc_id", "class", "split")
+
+
+@register("svm_report")
+def q_svm_report(spark, sf):
+    """C9+M6: one-vs-rest linear SVM on ``quality`` (random 75/25 split), per-class
+    report with macro and support-weighted means (rows-only: an iterative fit)."""
+    from textlens.operators.sampling import random_split
+    from textlens.operators.svm import svm_predict
+
+    split = random_split(corpus(spark, sf, "quality"), pick=1.0, ratio_pct=P.RATIO, seed=7)
+    pred = svm_predict(split, c=1.0, stopwords=True)
+    rows = ev.class_report(ev.confusion(pred))
+    means = ev.weighted_means(rows)
+    return rows.select(
+        "class", "precision", "recall", "f1", "support"
+    ).unionByName(
+        means.select(
+            F.lit("macro").alias("class"), F.col("macro_precision").alias("precision"),
+            F.col("macro_recall").alias("recall"), F.col("macro_f1").alias("f1"), "support",
+        )
+    ).unionByName(
+        means.select(
+            F.lit("weighted").alias("class"), F.col("weighted_precision").alias("precision"),
+            F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"), "support",
+        )
+    )
+
+
+# ---------------------------------------------------------------- files: folder scan, model tables, run log
+
+
+def _scratch(spark, name):
+    """A fresh folder under the shared checkpoint folder of the session."""
+    import uuid
+
+    from textlens.session import checkpoint_dir
+
+    return f"{checkpoint_dir(spark).rstrip('/')}/textlens-{name}-{uuid.uuid4().hex}"
+
+
+@register(
+    "folder_scan",
+    S.with_(f"corpus AS ({S.CORPUS['lang']})", f"docs AS (SELECT class, {S.words_expr()} AS words FROM corpus)")
+    + "SELECT class, count(*) AS n_docs, CAST(sum(len(words)) AS BIGINT) AS n_words FROM docs GROUP BY class",
+)
+def q_folder_scan(spark, sf):
+    """``documents`` written as one file per sample in class folders, then
+    read back as a class-folder corpus."""
+    from textlens.sources.corpus import folder_corpus, write_folder_corpus
+
+    root = _scratch(spark, "folders")
+    write_folder_corpus(corpus(spark, sf, "lang"), root)
+    fc = tokenize(folder_corpus(spark, root, partitioned=True))
+    return fc.groupBy("class").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size("words")).cast("long").alias("n_words"))
+
+
+@register(
+    "model_roundtrip",
+    S.with_(S.split_ctes("lang"), S.model_ctes())
+    + "SELECT l.class, l.word, l.cnt, p.n_docs FROM lik l JOIN priors p USING (class)",
+)
+def q_model_roundtrip(spark, sf):
+    """S5+S6+S7: save the model (likelihood partitioned by class), dump it as
+    JSON for examination, and read it back with fixed schemas."""
+    from textlens.sources.model_io import dump_model, load_model, save_model
+
+    root = _scratch(spark, "model")
+    docs = prepare(corpus(spark, sf, "lang"))
+    m = train(docs)
+    save_model(m, root, test=test_token_lists(docs))
+    dump_model(m, root)
+    back = load_model(spark, root)
+    return back.likelihood.join(back.priors, "class").select("class", "word", "cnt", "n_docs")
+
+
+@register("run_log")
+def q_run_log(spark, sf):
+    """Append the repeat-mean result of a run to a run log and read it back
+    (rows-only: Spark's own hash shuffle and the wall time)."""
+    import time
+
+    from textlens.plans.experiments import repeat_mean
+    from textlens.sources.model_io import append_run_metrics
+
+    root = _scratch(spark, "runlog")
+    t0 = time.time()
+    rm = repeat_mean(corpus(spark, sf, "source"), seeds=[1, 2, 3], pick_pct=100, reject=FIXED_FLOOR_REJECT)
+    row = rm.select("mean_accuracy", "runs").first()
+    secs = time.time() - t0
+    metrics = spark.createDataFrame(
+        [(100.0, float(row["mean_accuracy"]), int(row["runs"]), "documents.source", secs)],
+        "pick_pct double, mean_accuracy double, runs long, dataset string, seconds double",
+    )
+    append_run_metrics(metrics, root)
+    append_run_metrics(metrics, root)
+    return spark.read.parquet(root)

@@ -52,13 +52,22 @@ def conversations_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def folder_corpus(spark: SparkSession, root: str) -> DataFrame:
+def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``<root>/<class>/<sample>`` text files, whole text per file.
 
     Class and sample name come from the file path (``_metadata.file_path``).
+    ``partitioned``: the layout Spark itself writes with
+    ``partitionBy("class", "doc_id")``: ``class=<c>/doc_id=<d>/part-*``.
     """
-    raw = spark.read.option("wholetext", "true").text(root.rstrip("/") + "/*/*")
     path = F.col("_metadata.file_path")
+    if partitioned:
+        raw = spark.read.text(root.rstrip("/") + "/*/*/*", wholetext=True)
+        return raw.select(
+            F.regexp_extract(path, r"doc_id=([^/]+)/[^/]+$", 1).alias("doc_id"),
+            F.regexp_extract(path, r"class=([^/]+)/doc_id=[^/]+/[^/]+$", 1).alias("class"),
+            F.col("value").alias("text"),
+        )
+    raw = spark.read.text(root.rstrip("/") + "/*/*", wholetext=True)
     return raw.select(
         F.regexp_extract(path, r"([^/]+)$", 1).alias("doc_id"),
         F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("class"),
@@ -66,6 +75,13 @@ def folder_corpus(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def write_folder_corpus(corpus: DataFrame, root: str) -> None:
+    """Write a corpus as one text file per sample under ``class=<c>/doc_id=<d>/``."""
+    corpus.select("class", F.col("doc_id").cast("string").alias("doc_id"), "text").write.mode("overwrite").partitionBy(
+        "class", "doc_id"
+    ).text(root)
+
+
 def folder_target(corpus: DataFrame) -> DataFrame:
     """S3: numeric target per class, classes numbered alphabetically from 0."""
     from pyspark.ml.feature import StringIndexer

@@ -962,3 +962,29 @@ def q_run_log(spark, sf):
     append_run_metrics(metrics, root)
     append_run_metrics(metrics, root)
     return spark.read.parquet(root)
+
+
+# ---------------------------------------------------------------- streaming scorer
+
+
+@register("stream_scores", _pred_sql("source", "floor", FIXED_FLOOR, FIXED_FLOOR_REJECT))
+def q_stream_scores(spark, sf):
+    """The held-out documents arrive as files and are scored by the streaming
+    scorer against the saved model; the sink holds the same predictions as
+    ``nb_fixed_floor``."""
+    from textlens.sources.model_io import load_model, save_model
+    from textlens.streaming.scorer import start_scoring
+
+    root = _scratch(spark, "stream")
+    docs = prepare(corpus(spark, sf, "source"))
+    save_model(train(docs), f"{root}/model")
+    test_ids = docs.where(F.col("split") == "test").select("doc_id")
+    incoming = corpus(spark, sf, "source").join(test_ids, "doc_id", "left_semi")
+    incoming.repartition(4).write.parquet(f"{root}/incoming")
+    q = start_scoring(
+        spark, f"{root}/incoming", incoming.schema, load_model(spark, f"{root}/model"), f"{root}/sink",
+        f"{root}/checkpoint", FLOOR, FIXED_FLOOR, FIXED_FLOOR_REJECT,
+    )
+    q.awaitTermination()
+    out = spark.read.parquet(f"{root}/sink")
+    return out.select("doc_id", "class", "pred", r6(F.col("score")).alias("score"))

@@ -45,6 +45,20 @@ def percent_map(values: Column, k: int, prior: bool = False) -> Column:
     return F.transform(values, lambda x: F.try_divide(((F.lit(2.0) * avg) - x) * s, avg))
 
 
+def percent_cols(xs, prior: bool = False):
+    """E1/E2 unrolled over K element columns (code-generated, same operation order
+    as ``percent_map``: a left sum from 0, then the per-element formula)."""
+    k = len(xs)
+    s = F.lit(_scale(k))
+    acc = F.lit(0.0)
+    for x in xs:
+        acc = acc + x
+    avg = acc / F.lit(float(k))
+    if prior:
+        return [F.try_divide(x * s, avg) for x in xs]
+    return [F.try_divide(((F.lit(2.0) * avg) - x) * s, avg) for x in xs]
+
+
 def position_terms(
     test_docs: DataFrame, model: Model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR, keep=("class",)
 ) -> DataFrame:
@@ -112,13 +126,13 @@ def word_coords(pt: DataFrame, k: int, start=None, end=None) -> DataFrame:
     rows = pt.select("doc_id", "words", F.posexplode("pterms").alias("pos", "v")).where(
         (F.col("pos") >= s) & (F.col("pos") < e)
     )
-    rows = rows.select(
+    pcts = percent_cols([F.element_at("v", i + 1) for i in range(k)])
+    return rows.select(
         "doc_id",
         "pos",
         numbered_word(F.col("pos") + 1, F.element_at("words", F.col("pos") + 1)).alias("label"),
-        percent_map(F.col("v"), k).alias("pct"),
+        *[p.alias(f"p{i}") for i, p in enumerate(pcts)],
     )
-    return rows.select("doc_id", "pos", "label", *[F.col("pct")[i].alias(f"p{i}") for i in range(k)])
 
 
 def _range_sums(k: int, s: Column, e: Column) -> Column:
@@ -207,9 +221,8 @@ def running_score(pt: DataFrame, k: int, chunk: int = 25, start=None, end=None)
     w = Window.partitionBy("doc_id", "chunk_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for j in range(k):
         rows = rows.withColumn(f"c{j}", F.sum(F.element_at("v", j + 1)).over(w))
-    pct = percent_map(F.array(*[F.col(f"c{j}") for j in range(k)]), k)
-    out = rows.select("doc_id", "pos", "i", "chunk_id", pct.alias("pct"))
-    return out.select("doc_id", "pos", "i", "chunk_id", *[F.col("pct")[j].alias(f"p{j}") for j in range(k)])
+    pcts = percent_cols([F.col(f"c{j}") for j in range(k)])
+    return rows.select("doc_id", "pos", "i", "chunk_id", *[p.alias(f"p{j}") for j, p in enumerate(pcts)])
 
 
 def reset_points(running: DataFrame, pt: DataFrame, header, chunk: int = 25) -> DataFrame:
@@ -245,6 +258,19 @@ def _top_and_second(v: Column, k: int) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), init, step)
 
 
+def _top_and_second_cols(xs):
+    """``_top_and_second`` unrolled over element columns: ``(mx, sec, idx)``."""
+    mx, sec, idx = F.lit(0.0), F.lit(0.0), F.lit(-1)
+    for j, x in enumerate(xs):
+        up = x > mx
+        mx, sec, idx = (
+            F.when(up, x).otherwise(mx),
+            F.when(up, mx).when((sec == 0) | (sec < x), x).otherwise(sec),
+            F.when(up, F.lit(j)).otherwise(idx),
+        )
+    return mx, sec, idx
+
+
 def word_uniqueness(pt: DataFrame, header, start=None, end=None) -> DataFrame:
     """Per distinct word of the range: winning class and ``top − second`` %,
     occurrences; words with difference 0 are dropped. ``rank`` orders each
@@ -254,12 +280,15 @@ def word_uniqueness(pt: DataFrame, header, start=None, end=None) -> DataFrame:
     s, e = _full_range(start, end)
     rows = pt.select("doc_id", "words", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
     rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
-    tsc = _top_and_second(percent_map(F.col("v"), k), k)
+    rows = rows.select(
+        "doc_id", "pos", "words", *[p.alias(f"q{i}") for i, p in enumerate(percent_cols([F.element_at("v", i + 1) for i in range(k)]))]
+    )
+    mx, sec, idx = _top_and_second_cols([F.col(f"q{i}") for i in range(k)])
     rows = rows.select(
         "doc_id",
         F.element_at("words", F.col("pos") + 1).alias("word"),
-        F.when(tsc["idx"] >= 0, F.element_at(names, tsc["idx"] + 1)).alias("winner"),
-        (tsc["mx"] - tsc["sec"]).alias("diff"),
+        F.when(idx >= 0, F.element_at(names, idx + 1)).alias("winner"),
+        (mx - sec).alias("diff"),
     )
     # the same word always has the same terms, hence the same winner and diff
     g = rows.groupBy("doc_id", "winner", "word").agg(F.first("diff").alias("diff"), F.count(F.lit(1)).alias("count"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from textlens.functions.text import numbered_word, rebuild_text, sample_label, word_slice, word_with_count
 from textlens.operators.model import Model
-from textlens.operators.scoring import FIXED_FLOOR, FLOOR, _header_array, term, total, with_word_counts
+from textlens.operators.scoring import FIXED_FLOOR, FLOOR, _header_structs, term, total, with_word_counts
 
 # Fixed values of the original percent map and axis.
 THIRD = 33.33  # percent share of one of three candidates
@@ -63,16 +63,17 @@ def position_terms(
     test_docs: DataFrame, model: Model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR, keep=("class",)
 ) -> DataFrame:
     """C7 (per position): ``(doc_id, ..keep, words, lps, pterms, totals)``."""
-    hdr = _header_array(header)
+    hs = _header_structs(header)
     t = term(mode, zero_fix)
+    tot = total(mode, zero_fix)
     out = with_word_counts(test_docs, model, header, keep)
     return out.select(
         "doc_id",
         *[c for c in keep if c in out.columns],
         "words",
-        F.transform(hdr, lambda h: h["lp"]).alias("lps"),
-        F.transform("wcnt", lambda c: F.transform(hdr, lambda h: t(h, c))).alias("pterms"),
-        F.transform(hdr, total(mode, zero_fix)).alias("totals"),
+        F.array(*[h["lp"] for h in hs]).alias("lps"),
+        F.transform("wcnt", lambda c: F.array(*[t(h, c) for h in hs])).alias("pterms"),
+        F.array(*[tot(h) for h in hs]).alias("totals"),
     )
 
 

@@ -53,6 +53,20 @@ def _header_array(header) -> Column:
     )
 
 
+def _header_structs(header):
+    """The K candidates as literal structs (for expressions unrolled over classes)."""
+    return [
+        F.struct(
+            F.lit(k).alias("k"),
+            F.lit(c).alias("cls"),
+            F.lit(float(p)).alias("prior"),
+            F.lit(math.log(p)).alias("lp"),
+            F.lit(float(n)).alias("n"),
+        )
+        for k, (c, p, n) in enumerate(header)
+    ]
+
+
 def class_index(spark, header) -> DataFrame:
     """``(class, k)`` for the K candidates; K rows, broadcast-safe."""
     return spark.createDataFrame([(c, k) for k, (c, _, _) in enumerate(header)], "class string, k int")
@@ -156,10 +170,10 @@ def score(
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     header = header if header is not None else model.header(classes)
-    hdr = _header_array(header)
     tot = total(mode, zero_fix)
+    # one ordered fold per candidate, unrolled over the K classes
     scored = with_word_counts(test_docs, model, header, keep, with_words=False).withColumn(
-        "scores", F.transform(hdr, tot)
+        "scores", F.array(*[tot(h) for h in _header_structs(header)])
     )
     return scored.withColumn("pred", argmax(F.col("scores"), [c for c, _, _ in header], reject)).drop("wcnt")
 

@@ -20,14 +20,30 @@ TRAIN = "train"
 TEST = "test"
 
 
-def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int = 12) -> DataFrame:
+MAX_BUCKETS_BITS = 20  # at most ~2**20 buckets per class in the offset table
+
+
+def bucket_bits_for(df: DataFrame, col: str) -> int:
+    """Bucket width from the key's range (one min/max aggregate): at most about
+    ``2**20`` buckets per class whatever the density of the ids."""
+    r = df.agg(F.min(col).cast("long").alias("lo"), F.max(col).cast("long").alias("hi")).first()
+    if r["lo"] is None:
+        return 0
+    span = int(r["hi"]) - int(r["lo"]) + 1
+    return max(0, span.bit_length() - MAX_BUCKETS_BITS)
+
+
+def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None) -> DataFrame:
     """Adds ``rn`` (1-based) = rank of each row inside its ``part_cols`` group by ``order_cols``.
 
     The first ordering column must be integral (an id, a hash, a line number);
-    the following ones break ties. Exact.
+    the following ones break ties. Exact. ``bucket_bits=None`` sizes the
+    buckets from the key's range.
     """
     part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
     order_cols = list(order_cols)
+    if bucket_bits is None:
+        bucket_bits = bucket_bits_for(df, order_cols[0])
     x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
     sizes = x.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,7 +94,7 @@ def split_by_ratio(
     else:
         order = list(order_cols)
     # hashed orders spread over the whole 64-bit range: use wider buckets
-    ranked = rank_within(corpus, "class", order, bucket_bits=44 if shuffle_seed is not None else 12)
+    ranked = rank_within(corpus, "class", order, bucket_bits=44 if shuffle_seed is not None else None)
     out = ranked.join(q.select("class", "quota"), "class").where(F.col("rn") <= F.col("quota"))
     train_n = F.expr(f"{int(ratio)} * quota div 100")
     out = out.withColumn("split", F.when(F.col("rn") <= train_n, F.lit(TRAIN)).otherwise(F.lit(TEST)))

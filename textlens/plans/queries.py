@@ -720,7 +720,7 @@ def q_model_merge(spark, sf):
 
 @register("payload_json")
 def q_payload_json(spark, sf):
-    """One JSON payload per chosen class (rows-only check)."""
+    """The payload as JSON lines (rows-only check: JSON text)."""
     from textlens.sources.model_io import payload
 
     run, pt = _explain(spark, sf)
@@ -742,22 +742,20 @@ def q_payload_json(spark, sf):
     ),
 )
 def q_payload_roundtrip(spark, sf):
-    """S9 -> S10: write the payload as JSON text and parse it back."""
+    """S9 -> S10: write the payload as JSON lines and parse it back."""
     from textlens.sources.model_io import parse_payload, payload
 
     run, pt = _explain(spark, sf)
-    p = parse_payload(payload(run.model, pt, run.report(), run.header))
-    n_trace = F.aggregate(
-        F.map_values("testSampsProbs"),
-        F.lit(0).cast("long"),
-        lambda a, m: a + F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda b, arr: b + F.size(arr)),
-    )
-    return p.select(
+    classes, words, samples = parse_payload(payload(run.model, pt, run.report(), run.header))
+    nv = words.groupBy("class").agg(F.count(F.lit(1)).alias("n_vocab"))
+    trace_len = F.aggregate(F.map_values("probs"), F.lit(0).cast("long"), lambda a, arr: a + F.size(arr))
+    nt = samples.groupBy("class").agg(F.count(F.lit(1)).alias("n_test"), F.sum(trace_len).alias("n_trace"))
+    return classes.join(nv, "class").join(nt, "class").select(
         "class",
         F.col("sampleAmount").alias("sample_amount"),
-        F.size(F.map_keys("wordFreqs")).cast("long").alias("n_vocab"),
-        F.size(F.map_keys("testSamps")).cast("long").alias("n_test"),
-        n_trace.alias("n_trace"),
+        "n_vocab",
+        "n_test",
+        "n_trace",
         r6(F.col("report")[0]).alias("precision"),
         r6(F.col("report")[1]).alias("recall"),
         r6(F.col("report")[3]).alias("f1"),

@@ -243,22 +243,6 @@ def reset_points(running: DataFrame, pt: DataFrame, header, chunk: int = 25) ->
     )
 
 
-def _top_and_second(v: Column, k: int) -> Column:
-    """The original's scan: max from 0 with strict ``>``; the second value is
-    replaced when it is 0 or smaller than a non-max value. Returns
-    ``struct(mx, sec, idx)``; ``idx = -1`` when no value is above 0."""
-    init = F.struct(F.lit(0.0).alias("mx"), F.lit(0.0).alias("sec"), F.lit(-1).alias("idx"))
-
-    def step(acc, j):
-        x = F.element_at(v, j + 1)
-        up = F.struct(x.alias("mx"), acc["mx"].alias("sec"), j.alias("idx"))
-        sec = F.when((acc["sec"] == 0) | (acc["sec"] < x), x).otherwise(acc["sec"])
-        keep = F.struct(acc["mx"].alias("mx"), sec.alias("sec"), acc["idx"].alias("idx"))
-        return F.when(x > acc["mx"], up).otherwise(keep)
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), init, step)
-
-
 def _top_and_second_cols(xs):
     """``_top_and_second`` unrolled over element columns: ``(mx, sec, idx)``."""
     mx, sec, idx = F.lit(0.0), F.lit(0.0), F.lit(-1)

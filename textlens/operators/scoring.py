@@ -198,33 +198,3 @@ def scores_long(scored: DataFrame, header, keep=("doc_id", "class", "pred")) ->
     return scored.select(*keep, F.posexplode("scores").alias("cand_order", "score")).withColumn(
         "cand", F.element_at(names, F.col("cand_order") + 1)
     )
-
-
-def with_terms(
-    docs: DataFrame, model: Model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR, keep=("class",)
-) -> DataFrame:
-    """C7 in array form: adds ``lps ARRAY<DOUBLE>`` (ln prior per candidate),
-    ``terms ARRAY<ARRAY<DOUBLE>>`` (per candidate, per word) and
-    ``totals ARRAY<DOUBLE>`` (the web app's stored final value)."""
-    hdr = _header_array(header)
-    t = term(mode, zero_fix)
-    tot = total(mode, zero_fix)
-    out = with_word_counts(docs, model, header, keep)
-    out = out.withColumn("lps", F.transform(hdr, lambda h: h["lp"]))
-    out = out.withColumn("terms", F.transform(hdr, lambda h: F.transform(F.col("wcnt"), lambda c: t(h, c))))
-    return out.withColumn("totals", F.transform(hdr, tot)).drop("wcnt")
-
-
-def trace_long(termed: DataFrame, header) -> DataFrame:
-    """C7 long form ``(doc_id, class, cand, cand_order, pos, word, term)``."""
-    names = F.array(*[F.lit(c) for c, _, _ in header])
-    per_cand = termed.select(
-        "doc_id", "class", "words", F.posexplode("terms").alias("cand_order", "cterms")
-    ).withColumn("cand", F.element_at(names, F.col("cand_order") + 1))
-    return per_cand.select(
-        "doc_id",
-        "class",
-        "cand",
-        "cand_order",
-        F.posexplode(F.arrays_zip(F.col("words").alias("word"), F.col("cterms").alias("term"))).alias("pos", "wt"),
-    ).select("doc_id", "class", "cand", "cand_order", "pos", F.col("wt.word").alias("word"), F.col("wt.term").alias("term"))

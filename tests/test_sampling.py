@@ -73,3 +73,14 @@ def test_preferred_fallback():
     assert preferred_fallback(["a", "b", "c"], "b") == ("b", ["a", "c"])
     assert preferred_fallback(["a", "b", "c"], None) == ("c", ["a", "b"])
     assert preferred_fallback(["a", "b", "c"], "z") == ("c", ["a", "b"])
+
+
+def test_rank_within_sparse_ids(spark):
+    rnd = random.Random(5)
+    ids = list({rnd.getrandbits(63) - 2**62 for _ in range(2000)})
+    rows = [(i, "a" if k % 3 else "b") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows, "doc_id long, class string")
+    got = {r["doc_id"]: r["rn"] for r in rank_within(df, "class", ["doc_id"]).collect()}
+    for c in ("a", "b"):
+        for k, d in enumerate(sorted(i for i, cc in rows if cc == c), start=1):
+            assert got[d] == k

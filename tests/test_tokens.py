@@ -57,3 +57,18 @@ def test_labels(spark):
     assert r["id"] == "104359"
     assert r["z"] == "Value: 1 / 100000000"
     assert r["z2"] == "Value: 1 / " + str(round(10 ** 4.5))
+
+
+def test_random_texts_match_python(spark):
+    import random
+    import string
+
+    from textlens.functions.text import WHITESPACE_CHARS
+
+    rnd = random.Random(11)
+    alphabet = string.ascii_letters + "éÉßøÅ" + string.punctuation + WHITESPACE_CHARS + "01"
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randrange(0, 60))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r["i"]: r["w"] for r in df.select("i", clean_words(F.col("t")).alias("w")).collect()}
+    for i, t in enumerate(texts):
+        assert got[i] == py_words(t), repr(t)

@@ -87,3 +87,26 @@ def test_range_summary_and_winner(pt):
     w = X.range_winner(X.range_summary(pt[0], 3), pt[1]).first()
     with_p = s["with_prior"]
     assert w["winner"] == ["en", "fr", "de"][with_p.index(max(with_p))]
+
+
+def test_top_second_quirk_and_true_second():
+    # the original scan: second stays 0 when both lower values are negative and the top comes last
+    assert pyref.top_second([-5.0, -3.0, 108.0]) == (108.0, 0, 2)
+    assert pyref.top_second([108.0, -5.0, -3.0]) == (108.0, -3.0, 0)
+
+
+def test_word_uniqueness_true_second(pt):
+    terms, _, _, words = _terms(pt)
+    names = [c for c, _, _ in pt[1]]
+    want = {}
+    for w, t in zip(words, terms):
+        p = pyref.pmap(list(t))
+        mx, _, idx = pyref.top_second(p)
+        diff = mx - sorted(p, reverse=True)[1]
+        key = (names[idx] if idx >= 0 else None, w)
+        if key in want:
+            want[key][1] += 1
+        elif diff != 0:
+            want[key] = [diff, 1]
+    got = {(r["winner"], r["word"]): [r["diff"], r["count"]] for r in X.word_uniqueness(pt[0], pt[1], second="true").collect()}
+    assert got == want

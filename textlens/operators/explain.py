@@ -256,10 +256,15 @@ def _top_and_second_cols(xs):
     return mx, sec, idx
 
 
-def word_uniqueness(pt: DataFrame, header, start=None, end=None) -> DataFrame:
+def word_uniqueness(pt: DataFrame, header, start=None, end=None, second: str = "as_coded") -> DataFrame:
     """Per distinct word of the range: winning class and ``top − second`` %,
     occurrences; words with difference 0 are dropped. ``rank`` orders each
-    class's list by (diff, word, count) descending."""
+    class's list by (diff, word, count) descending.
+
+    ``second="as_coded"`` reproduces the original scan, whose second value is 0
+    when the two lower values are both negative and the largest comes last;
+    ``second="true"`` uses the true second-largest value.
+    """
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
     s, e = _full_range(start, end)
@@ -268,7 +273,12 @@ def word_uniqueness(pt: DataFrame, header, start=None, end=None) -> DataFrame:
     rows = rows.select(
         "doc_id", "pos", "words", *[p.alias(f"q{i}") for i, p in enumerate(percent_cols([F.element_at("v", i + 1) for i in range(k)]))]
     )
-    mx, sec, idx = _top_and_second_cols([F.col(f"q{i}") for i in range(k)])
+    qs = [F.col(f"q{i}") for i in range(k)]
+    mx, sec, idx = _top_and_second_cols(qs)
+    if second == "true":
+        sec = F.element_at(F.sort_array(F.array(*qs), asc=False), 2) if k > 1 else F.lit(0.0)
+    elif second != "as_coded":
+        raise ValueError(f"unknown second mode {second!r}")
     rows = rows.select(
         "doc_id",
         F.element_at("words", F.col("pos") + 1).alias("word"),

@@ -2,8 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
-
 from textlens.operators.lines import line_tokens, read_lines
 from textlens.operators.model import tokenize
 from textlens.sources.corpus import folder_corpus, folder_target, text_lines
@@ -37,4 +35,3 @@ def test_labelled_lines_from_file(spark, tmp_path):
     assert toks[1]["label"] == "0" and toks[1]["words"] == ["battery", "died", "in", "day"]
     split = read_lines(tl, 3, 2, "clean")
     assert {r["doc_id"]: r["split"] for r in split.collect()} == {0: "train", 1: "train", 3: "test", 4: "test"}
-    assert F

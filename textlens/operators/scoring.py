@@ -37,24 +37,8 @@ FIXED_FLOOR = 1e-8  # batch runner floor
 FIXED_FLOOR_REJECT = -1e7  # batch runner start of the arg-max
 
 
-def _header_array(header) -> Column:
-    """Literal ``ARRAY<STRUCT<k, cls, prior, lp, n>>`` of the K candidates in class order."""
-    return F.array(
-        *[
-            F.struct(
-                F.lit(k).alias("k"),
-                F.lit(c).alias("cls"),
-                F.lit(float(p)).alias("prior"),
-                F.lit(math.log(p)).alias("lp"),
-                F.lit(float(n)).alias("n"),
-            )
-            for k, (c, p, n) in enumerate(header)
-        ]
-    )
-
-
 def _header_structs(header):
-    """The K candidates as literal structs (for expressions unrolled over classes)."""
+    """The K candidates ``(k, cls, prior, lp, n)`` as literal structs, in class order."""
     return [
         F.struct(
             F.lit(k).alias("k"),
@@ -67,6 +51,11 @@ def _header_structs(header):
     ]
 
 
+def _header_array(header) -> Column:
+    """The same candidates as one literal ``ARRAY<STRUCT<..>>``."""
+    return F.array(*_header_structs(header))
+
+
 def class_index(spark, header) -> DataFrame:
     """``(class, k)`` for the K candidates; K rows, broadcast-safe."""
     return spark.createDataFrame([(c, k) for k, (c, _, _) in enumerate(header)], "class string, k int")
@@ -164,8 +153,9 @@ def score(
 ) -> DataFrame:
     """Score test docs ``(doc_id, class, words, ..)`` against every candidate.
 
-    Adds ``scores ARRAY<DOUBLE>`` (one per candidate, class order) and ``pred``.
-    ``classes`` restricts and orders the candidates (P9).
+    Returns ``(doc_id, ..keep, scores, pred)``: ``scores ARRAY<DOUBLE>`` has one
+    total per candidate in class order. ``classes`` restricts and orders the
+    candidates (P9).
     """
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")

@@ -110,3 +110,12 @@ def test_word_uniqueness_true_second(pt):
             want[key] = [diff, 1]
     got = {(r["winner"], r["word"]): [r["diff"], r["count"]] for r in X.word_uniqueness(pt[0], pt[1], second="true").collect()}
     assert got == want
+
+
+def test_percent_map_of_zero_priors_is_null(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([([0.0, 0.0, 0.0],)], "v array<double>")  # ln of three priors of 1
+    r = df.select(X.percent_map(F.col("v"), 3, prior=True).alias("p"), *[c.alias(f"q{i}") for i, c in enumerate(
+        X.percent_cols([F.col("v")[i] for i in range(3)], prior=True))]).first()
+    assert r["p"] == [None, None, None] and [r["q0"], r["q1"], r["q2"]] == [None, None, None]

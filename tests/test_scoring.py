@@ -96,3 +96,16 @@ def test_class_without_words_is_not_a_candidate(spark):
     assert [c for c, _, _ in model.header()] == ["a"]
     assert {r["class"]: r["n_docs"] for r in model.priors.collect()} == {"a": 1, "b": 1}
     assert score(held_out(df), model, FLOOR).first()["pred"] == "a"
+
+
+def test_one_word_document_as_coded(spark):
+    import math
+
+    rows = [(1, "a", "x y", "train"), (2, "b", "y z z", "train"), (3, "a", "x", "test")]
+    df = tokenize(spark.createDataFrame(rows, "doc_id long, class string, text string, split string"))
+    model = train(df)
+    header = model.header()
+    r = score(held_out(df), model, ADDONE_AS_CODED, header=header).first()
+    # one word: the total is ln prior counted twice, the only word is never added
+    assert r["scores"] == [2 * math.log(1), 2 * math.log(1)]
+    assert r["pred"] == "a"  # tie: first class

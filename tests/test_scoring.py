@@ -109,3 +109,23 @@ def test_one_word_document_as_coded(spark):
     # one word: the total is ln prior counted twice, the only word is never added
     assert r["scores"] == [2 * math.log(1), 2 * math.log(1)]
     assert r["pred"] == "a"  # tie: first class
+
+
+@pytest.mark.parametrize("mode", [FLOOR, ADDONE])
+def test_sparse_sum_equals_dense(spark, mode):
+    from conftest import SF01
+    from textlens.operators.scoring import score_sparse
+    from textlens.plans.classify import prepare
+    from textlens.sources.corpus import documents_corpus
+
+    docs = prepare(documents_corpus(spark, SF01, "source")).persist()
+    model = train(docs).persist()
+    header = model.header()
+    test = held_out(docs)
+    dense = {r["doc_id"]: r for r in score(test, model, mode, zero_fix=1e-5, header=header).collect()}
+    sparse = {r["doc_id"]: r for r in score_sparse(test, model, header, mode, zero_fix=1e-5).collect()}
+    assert dense.keys() == sparse.keys()
+    for d, r in dense.items():
+        for a, b in zip(r["scores"], sparse[d]["scores"]):
+            assert a == pytest.approx(b, rel=1e-9)
+        assert r["pred"] == sparse[d]["pred"]

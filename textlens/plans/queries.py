@@ -1019,3 +1019,17 @@ def q_stream_scores(spark, sf):
     q.awaitTermination()
     out = spark.read.parquet(f"{root}/sink")
     return out.select("doc_id", "class", "pred", r6(F.col("score")).alias("score"))
+
+
+@register("nb_addone_sparse", _pred_sql("source", "addone", None, DEFAULT_REJECT))
+def q_nb_addone_sparse(spark, sf):
+    """C4 by the sum form (``score_sparse``): same predictions and scores (to 6
+    places) as ``nb_addone`` with another data movement."""
+    from textlens.operators.model import test_token_lists as held_out
+    from textlens.operators.scoring import score_sparse
+
+    docs = prepare(corpus(spark, sf, "source"))
+    model = train(docs).persist()
+    header = model.header()
+    sc = score_sparse(held_out(docs), model, header, ADDONE)
+    return sc.select("doc_id", "class", "pred", r6(F.array_max("scores")).alias("score"))

@@ -225,12 +225,13 @@ def score_sparse(
     tf = docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
     lik = model.likelihood.join(F.broadcast(class_index(spark, header)), "class").select("word", "k", "cnt")
     corr = tf.join(lik, "word").groupBy("doc_id", "k").agg(F.sum(F.col("tf") * delta).alias("corr"))
-    # at most K corrections per doc: one short list per doc, then K scores in class order
-    per_doc = corr.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "corr"))).alias("cm"))
+    # at most K corrections per doc, pivoted on the class index (the K values are given: no extra job)
+    per_doc = corr.groupBy("doc_id").pivot("k", list(range(k_n))).agg(F.first("corr"))
+    per_doc = per_doc.toDF("doc_id", *[f"_c{k}" for k in range(k_n)])
     out = docs.join(per_doc, "doc_id", "left")
     scores = F.array(
         *[
-            F.lit(math.log(p)) + F.col("m") * F.lit(base[k]) + F.coalesce(F.try_element_at(F.col("cm"), F.lit(k)), F.lit(0.0))
+            F.lit(math.log(p)) + F.col("m") * F.lit(base[k]) + F.coalesce(F.col(f"_c{k}"), F.lit(0.0))
             for k, (_, p, _) in enumerate(header)
         ]
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from textlens.operators import evaluate as ev
 from textlens.operators.model import Model, test_token_lists, tokenize, train
 from textlens.operators.sampling import split_by_ratio
-from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR, score
+from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR, score, score_sparse
 
 
 @dataclass
@@ -68,11 +68,14 @@ def classify(
     shuffle_seed: int | None = None,
     stopwords=None,
     order_cols=("doc_id",),
+    exact: bool = True,
 ) -> Run:
     """Train on the train split and score the test split.
 
     With ``classes`` the model and the test set are restricted to those
     classes, in that order (P9, as the web app does before scoring).
+    ``exact=False`` uses the sum form (``score_sparse``) for the floored and
+    add-one scores: less data moved, sums equal up to rounding.
     """
     docs = prepare(corpus, pick_pct, ratio, balanced, shuffle_seed, stopwords, order_cols)
     if classes is not None:
@@ -80,13 +83,18 @@ def classify(
     # the split and tokenised corpus feeds both training and the test set: cache it once
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     model = train(docs).persist()
-    run = classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes)
+    run = classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes, exact)
     run.cached.append(docs)
     return run
 
 
-def classify_with(model: Model, test: DataFrame, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, classes=None) -> Run:
+def classify_with(
+    model: Model, test: DataFrame, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, classes=None, exact=True
+) -> Run:
     """Score an existing test set against an existing model."""
     header = model.header(classes)
-    scored = score(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
+    if exact:
+        scored = score(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
+    else:
+        scored = score_sparse(test, model, header, mode=mode, zero_fix=zero_fix, reject=reject)
     return Run(model, test, scored, header)

@@ -100,7 +100,8 @@ def q_split_shuffled(spark, sf):
 @register(
     "tokens",
     S.with_(f"corpus AS ({S.CORPUS['lang']})", f"docs AS (SELECT doc_id, class, {S.words_expr()} AS words FROM corpus)")
-    + "SELECT doc_id, class, unnest(range(len(words))) AS pos, unnest(words) AS word FROM docs",
+    + "SELECT doc_id, class, CAST(pos AS INTEGER) AS pos, word FROM "
+    "(SELECT doc_id, class, unnest(range(len(words))) AS pos, unnest(words) AS word FROM docs)",
 )
 def q_tokens(spark, sf):
     return explode_tokens(tokenize(corpus(spark, sf, "lang")), "doc_id", "class")
@@ -112,7 +113,8 @@ def q_tokens(spark, sf):
         f"corpus AS ({S.CORPUS['lang']})",
         f"docs AS (SELECT doc_id, class, {S.words_expr(stop=True)} AS words FROM corpus)",
     )
-    + "SELECT doc_id, class, unnest(range(len(words))) AS pos, unnest(words) AS word FROM docs",
+    + "SELECT doc_id, class, CAST(pos AS INTEGER) AS pos, word FROM "
+    "(SELECT doc_id, class, unnest(range(len(words))) AS pos, unnest(words) AS word FROM docs)",
 )
 def q_tokens_nostop(spark, sf):
     return explode_tokens(tokenize(corpus(spark, sf, "lang"), stopwords=True), "doc_id", "class")
@@ -322,7 +324,7 @@ def _top_sql(prob: bool, preferred=P.PREFERRED) -> str:
         ]
         v = [S.r6(x) for x in v]
     return S.with_(*ctes) + (
-        f"SELECT t.rank, t.word, {v[0]} AS v_pref, {v[1]} AS v_other1, {v[2]} AS v_other2 FROM top t "
+        f"SELECT CAST(t.rank AS INTEGER) AS rank, t.word, {v[0]} AS v_pref, {v[1]} AS v_other1, {v[2]} AS v_other2 FROM top t "
         f"LEFT JOIN lik a ON a.class = '{o1}' AND a.word = t.word LEFT JOIN lik b ON b.class = '{o2}' AND b.word = t.word"
     )
 
@@ -451,7 +453,7 @@ def q_sample_select(spark, sf):
 
 @register(
     "word_trace",
-    S.explain_sql(select=f"SELECT doc_id, class, cand, k AS cand_order, pos, word, {S.r6('term')} AS term FROM terms"),
+    S.explain_sql(select=f"SELECT doc_id, class, cand, k AS cand_order, CAST(pos AS INTEGER) AS pos, word, {S.r6('term')} AS term FROM terms"),
 )
 def q_word_trace(spark, sf):
     from textlens.operators.explain import word_trace
@@ -465,7 +467,9 @@ def q_word_trace(spark, sf):
     "word_coords",
     S.explain_sql(
         S.POS_VEC,
-        select="SELECT doc_id, pos, CAST(pos + 1 AS VARCHAR) || '. ' || word AS label, " + S.pmap_cols("v") + " FROM pv",
+        select="SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(pos + 1 AS VARCHAR) || '. ' || word AS label, "
+        + S.pmap_cols("v")
+        + " FROM pv",
     ),
 )
 def q_word_coords(spark, sf):
@@ -555,7 +559,7 @@ _RUN_CTES = (
     "cu AS (SELECT doc_id, k, chunk_id, unnest(ps) AS pos, unnest(list_transform(range(1, len(ts) + 1), "
     "lambda n: list_reduce(list_prepend(0.0::DOUBLE, ts[1:n]), lambda a, x: a + x))) AS c FROM ch)",
     "rv AS (SELECT doc_id, pos, chunk_id, list(c ORDER BY k) AS v FROM cu GROUP BY doc_id, pos, chunk_id)",
-    "run AS (SELECT doc_id, pos, pos AS i, chunk_id, " + S.pmap_cols("v") + " FROM rv)",
+    "run AS (SELECT doc_id, CAST(pos AS INTEGER) AS pos, CAST(pos AS INTEGER) AS i, chunk_id, " + S.pmap_cols("v") + " FROM rv)",
 )
 
 
@@ -613,7 +617,7 @@ def _uniq_sql() -> str:
         f"g AS (SELECT doc_id, CASE WHEN idx >= 0 THEN [{names}][idx + 1] END AS winner, word, "
         f"any_value(mx - sec) AS diff, count(*) AS count FROM u{K3} GROUP BY ALL)",
         select="SELECT doc_id, winner, word, " + S.r6("diff") + " AS diff, count, "
-        "row_number() OVER (PARTITION BY doc_id, winner ORDER BY diff DESC, word DESC, count DESC) AS rank, "
+        "CAST(row_number() OVER (PARTITION BY doc_id, winner ORDER BY diff DESC, word DESC, count DESC) AS INTEGER) AS rank, "
         "word || '(' || CAST(count AS VARCHAR) || ')' AS label FROM g WHERE diff <> 0",
     )
 
@@ -745,7 +749,7 @@ def q_payload_json(spark, sf):
         S.confusion_ctes(),
         S.report_ctes(),
         "nv AS (SELECT class, count(*) AS n_vocab FROM lik GROUP BY class)",
-        "nt AS (SELECT class, count(*) AS n_test, sum(len(words) + 2) * 3 AS n_trace FROM test GROUP BY class)",
+        "nt AS (SELECT class, count(*) AS n_test, CAST(sum(len(words) + 2) * 3 AS BIGINT) AS n_trace FROM test GROUP BY class)",
         select="SELECT p.class, p.n_docs AS sample_amount, nv.n_vocab, nt.n_test, nt.n_trace, "
         f"{S.r6('r.precision')} AS precision, {S.r6('r.recall')} AS recall, {S.r6('r.f1')} AS f1, "
         "CAST(r.support AS DOUBLE) AS support "

@@ -90,7 +90,7 @@ def model_ctes(classes=None) -> str:
     return f"""priors AS (SELECT class, count(*) AS n_docs FROM docs WHERE split = 'train'{train_restrict} GROUP BY class),
 lik AS (SELECT class, word, count(*) AS cnt
         FROM (SELECT class, unnest(words) AS word FROM docs WHERE split = 'train'{train_restrict}) GROUP BY class, word),
-totals AS (SELECT class, sum(cnt) AS n_words FROM lik GROUP BY class),
+totals AS (SELECT class, CAST(sum(cnt) AS BIGINT) AS n_words FROM lik GROUP BY class),
 hdr AS (SELECT t.class, p.n_docs, t.n_words, CAST(row_number() OVER (ORDER BY {order}) - 1 AS INTEGER) AS k
         FROM totals t JOIN priors p USING (class){restrict}),
 test AS (SELECT doc_id, class, words FROM docs WHERE split = 'test' AND len(words) > 0{test_restrict})"""

@@ -3,6 +3,8 @@ can express the result, ``ORACLE[name]`` for DuckDB."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from textlens.llm.common import table
 
 QUERIES: dict = {}
@@ -28,3 +30,19 @@ def op5_token_counts(spark, sf_dir):
     from textlens.llm.token_counts import token_counts
 
     return token_counts(spark, table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op6_decontaminate(spark, sf_dir):
+    from textlens.llm.decontaminate import contamination
+
+    found = contamination(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        "contaminated",
+        "longest",
+    )

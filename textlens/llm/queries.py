@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from textlens.llm.common import table
+from textlens.llm.common import crc_mod, table
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +46,13 @@ def op6_decontaminate(spark, sf_dir):
         "contaminated",
         "longest",
     )
+
+
+@query
+def op10_language_id(spark, sf_dir):
+    from textlens.llm.language_id import identify, train, training_windows
+
+    docs = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    net = train(training_windows(docs, F.col("lang"), ~held_out))
+    return identify(spark, docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "share")

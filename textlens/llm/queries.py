@@ -56,3 +56,10 @@ def op10_language_id(spark, sf_dir):
     held_out = crc_mod(F.col("doc_id"), 4) == 2
     net = train(training_windows(docs, F.col("lang"), ~held_out))
     return identify(spark, docs, net).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "share")
+
+
+@query
+def op9_ngram_join(spark, sf_dir):
+    from textlens.llm.ngram_join import jaccard_components
+
+    return jaccard_components(spark, table(spark, sf_dir, "documents"))

@@ -83,3 +83,39 @@ def mix64(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))
+
+
+def rows(columns: dict) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
+
+
+def packed(records: np.ndarray, key: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Records (a structured array) packed by bucket, ``key`` modulo ``buckets``: (bucket, records)."""
+    bucket = (key % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    records, edge = records[order], np.searchsorted(bucket[order], np.arange(buckets + 1))
+    some = np.flatnonzero(np.diff(edge))
+    return rows({"bucket": pa.array(some, pa.int32()), "records": pa.array([records[edge[b] : edge[b + 1]].tobytes() for b in some], pa.binary())})
+
+
+def unpacked(table: pa.Table, kind: np.dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in table.column("records").to_pylist())])
+
+
+def vector_blocks(vector: np.ndarray, blocks: int) -> pa.RecordBatch:
+    """A task's share of a vector of counts in blocks (block, counts), for ``vector_sum``."""
+    parts = vector.astype(np.int64).reshape(blocks, -1)
+    return rows({"block": pa.array(range(blocks), pa.int32()), "counts": pa.array([p.tobytes() for p in parts], pa.binary())})
+
+
+def vector_sum(parts: DataFrame, n: int, blocks: int) -> np.ndarray:
+    """The sum of all tasks' vectors, added block by block on the executors; the driver gets ``n`` counts."""
+
+    def add(key, table):
+        total = sum(np.frombuffer(c, np.int64) for c in table.column("counts").to_pylist())
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((blocks, n // blocks), np.int64)
+    for r in parts.groupBy("block").applyInArrow(add, "block int, counts binary").collect():
+        out[r["block"]] = np.frombuffer(r["counts"], np.int64)
+    return out.reshape(-1)

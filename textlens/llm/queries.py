@@ -63,3 +63,10 @@ def op9_ngram_join(spark, sf_dir):
     from textlens.llm.ngram_join import jaccard_components
 
     return jaccard_components(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_lm_score(spark, sf_dir):
+    from textlens.llm.lm_score import lm_scores
+
+    return lm_scores(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))

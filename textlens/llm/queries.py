@@ -70,3 +70,25 @@ def op3_lm_score(spark, sf_dir):
     from textlens.llm.lm_score import lm_scores
 
     return lm_scores(spark, table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.tiktoken"))
+
+
+@query
+def op1_pii(spark, sf_dir):
+    from textlens.llm.pii import KINDS, with_spans
+
+    found = with_spans(spark, table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in KINDS],
+        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
+    )

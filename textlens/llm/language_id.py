@@ -22,12 +22,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from textlens.llm.common import binaries, shards, small_batches
+from textlens.llm.common import binaries, shards, small_batches, written
 
 #: Bytes in a window, units in each direction, windows that run at once.
 WINDOW, HIDDEN, TOGETHER = 64, 8, 2048
 #: The bounded training sample: about this many documents of each language, windows of each.
 DOCS_PER_LANG, WINDOWS_PER_DOC = 400, 6
+#: More languages than this are joined by a shuffle, not broadcast.
+MOST_LANGS = 10_000
 STEPS, BATCH, RATE, SEED = 240, 160, 0.02, 7
 SHARD_BYTES = 2 << 20
 UNDETERMINED = "und"
@@ -171,9 +173,9 @@ def training_windows(docs: DataFrame, lang: Column, usable: Column) -> list[tupl
     hash of the id; ``WINDOWS_PER_DOC`` windows from anywhere in each. This bounds what the driver
     holds by languages x documents x windows."""
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), lang.cast("string").alias("lang")).where(usable & lang.isNotNull() & F.col("text").rlike(r"\p{L}"))
-    sizes = rows.groupBy("lang").count().withColumnRenamed("count", "of")
-    # a language has as many rows here as documents name it: joined as any table, no size assumed
-    picked = rows.join(sizes, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < F.lit((1 << 30) * DOCS_PER_LANG) / F.col("of"))
+    sizes = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("of")), "langs")
+    # one row for each language: broadcast, so that no text is shuffled, if they are as few as they should be
+    picked = rows.join(F.broadcast(sizes) if sizes.count() <= MOST_LANGS else sizes, "lang").where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30)) < F.lit((1 << 30) * DOCS_PER_LANG) / F.col("of"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -92,3 +92,11 @@ def op1_pii(spark, sf_dir):
         joined(F.col("spans")).alias("spans"),
         F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
     )
+
+
+@query
+def op4_license_scan(spark, sf_dir):
+    from textlens.llm.licenses import licenses
+
+    found = licenses(spark, table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})

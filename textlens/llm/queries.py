@@ -100,3 +100,10 @@ def op4_license_scan(spark, sf_dir):
 
     found = licenses(spark, table(spark, sf_dir, "documents"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
+
+
+@query
+def op7_near_vectors(spark, sf_dir):
+    from textlens.llm.near_vectors import near_vectors
+
+    return near_vectors(spark, table(spark, sf_dir, "embeddings"))

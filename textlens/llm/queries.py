@@ -107,3 +107,10 @@ def op7_near_vectors(spark, sf_dir):
     from textlens.llm.near_vectors import near_vectors
 
     return near_vectors(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_quotations(spark, sf_dir):
+    from textlens.llm.quotations import in_reply_order, linked_messages
+
+    return in_reply_order(linked_messages(spark, table(spark, sf_dir, "conversations")))

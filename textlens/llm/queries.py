@@ -114,3 +114,19 @@ def op2_quotations(spark, sf_dir):
     from textlens.llm.quotations import in_reply_order, linked_messages
 
     return in_reply_order(linked_messages(spark, table(spark, sf_dir, "conversations")))
+
+
+#: The registered mixture: domains from the labels table, and the shares of tokens to reach.
+MIX = {"good": 0.7, "plain": 0.3, "toxic": 0.0}
+
+
+def label_domain():
+    """toxic, else good or plain by quality; null without labels."""
+    return F.when(F.col("toxic") == 1, "toxic").when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "plain")
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    from textlens.llm.mixing import mixture
+
+    return mixture(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_domain(), MIX)

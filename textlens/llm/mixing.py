@@ -24,7 +24,7 @@ from textlens.llm.hashing import word_hashes
 
 #: Features of the classifier (hashed words), and about how many labelled documents of each domain it is fitted on.
 FEATURES_LOG, DOCS_PER_DOMAIN = 16, 2000
-STEPS, RATE, DECAY, SEED = 120, 0.1, 1e-4, 3
+STEPS, RATE, DECAY, SEED = 60, 0.1, 3e-4, 3
 #: Rounds at most, and the least relative change of the objective that is worth another one.
 ROUNDS, ENOUGH = 40, 1e-4
 #: Weight of staying near the first rates against meeting the targets.
@@ -41,7 +41,7 @@ class Classifier:
     domains: list[str]
     weights: np.ndarray  # features x domains
     bias: np.ndarray
-    idf: np.ndarray  # of the features, over the sample
+    emphasis: np.ndarray  # how unevenly the domains of the sample use each feature
 
 
 def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -53,9 +53,9 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return pairs // FEATURES, pairs % FEATURES, 1 + np.log(n), sizes
 
 
-def weighted(of: np.ndarray, slot: np.ndarray, value: np.ndarray, idf: np.ndarray, n: int) -> np.ndarray:
-    """Values by inverse document frequency, of unit length for each text."""
-    v = value * idf[slot]
+def weighted(of: np.ndarray, slot: np.ndarray, value: np.ndarray, emphasis: np.ndarray, n: int) -> np.ndarray:
+    """Values by the features' emphasis, of unit length for each text."""
+    v = value * emphasis[slot]
     return v / np.sqrt(np.bincount(of, v * v, n) + 1e-12)[of]
 
 
@@ -74,10 +74,14 @@ def fit(samples: list[tuple[str, np.ndarray, np.ndarray]]) -> Classifier:
     n = len(samples)
     of = np.repeat(np.arange(n), [len(s[1]) for s in samples])
     slot, value = (np.concatenate([s[i] for s in samples]) for i in (1, 2))
-    m.idf = np.log((n + 1) / (np.bincount(slot, minlength=FEATURES) + 1)) + 0.1
-    value = weighted(of, slot, value, m.idf, n)
     label = np.array([domains.index(s[0]) for s in samples])
-    m.bias = np.log(np.bincount(label, minlength=len(domains)) / n)
+    size = np.bincount(label, minlength=len(domains))
+    used = np.stack([np.bincount(slot[label[of] == d], minlength=FEATURES) for d in range(len(domains))], 1)
+    # the largest log ratio of a feature's use inside and outside a domain
+    inside, outside = (used + 2) / (size + 4), (used.sum(1, keepdims=True) - used + 2) / (n - size + 4)
+    m.emphasis = np.abs(np.log(inside / outside)).max(1)
+    value = weighted(of, slot, value, m.emphasis, n)
+    m.bias = np.log(size / n)
     one, two = np.zeros_like(m.weights), np.zeros_like(m.weights)
     for step in range(1, STEPS + 1):
         off = posteriors(m, of, slot, value, n)
@@ -127,7 +131,7 @@ def memberships(spark: SparkSession, docs: DataFrame, model: Classifier) -> Data
         for shard in shards(batches, SHARD_BYTES):
             m, texts = shared.value, [t or b"" for t in binaries(shard.column("text").combine_chunks())]
             of, slot, value, sizes = features(texts)
-            p = posteriors(m, of, slot, weighted(of, slot, value, m.idf, len(texts)), len(texts))
+            p = posteriors(m, of, slot, weighted(of, slot, value, m.emphasis, len(texts)), len(texts))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1) * p.shape[1], pa.int32()), pa.array(p.reshape(-1)))
             yield rows({"doc_id": shard.column("doc_id").combine_chunks(), "row": shard.column("row").combine_chunks(), "tokens": pa.array(sizes), "posterior": flat})
 

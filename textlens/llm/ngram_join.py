@@ -272,53 +272,82 @@ def jaccard_components(
     return named.unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def _may_link(percent: int, common: str, rest: str, a: str, b: str) -> F.Column:
+    """Sets of at least sizes ``a`` and ``b`` that share ``common`` shingles of their prefixes can link.
+    All else that they share lies, for one of them, beyond its prefix: at most ``rest`` shingles."""
+    return F.expr(f"{100 + percent} * (cast({common} as long) + {rest}) >= {percent} * (cast({a} as long) + {b})")
+
+
+def _rest(size: str, percent: int) -> str:
+    """Shingles of a set beyond its prefix."""
+    return f"(({percent}L * {size} + 99) div 100 - 1)"
+
+
+def _compared(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    pairs = written(pairs, "pairs")
+    sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    return written(_overlaps(pairs, _picked_sets(docs, k, sets)), "compared")
+
+
+def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """(leader, set) pairs of the blocks that share enough of their prefixes."""
+    pairs = written(lists.where("leader is not null").select(F.col("leader").alias("a"), F.col("set").alias("b"), F.col("leader_size").alias("size_a"), F.col("size").alias("size_b")).distinct(), "pairs")
+    with_b = pairs.join(lists.select("token", F.col("set").alias("b")), "b")
+    common = with_b.join(lists.select("token", F.col("set").alias("a")), ["token", "a"]).groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("common"))
+    rest = f"greatest({_rest('size_a', percent)}, {_rest('size_b', percent)})"
+    return common.where(_may_link(percent, "common", rest, "size_a", "size_b")).select("a", "b")
+
+
+def _stars(links: DataFrame) -> DataFrame:
+    """(set, leader, out, least, most, star_out): for each linked set the leader that it overlaps most
+    and how many of its shingles the leader lacks; leaders lead themselves. least, most, star_out:
+    over the leader's star."""
+    leaders = links.select(F.col("a").alias("set"), F.col("size_a").alias("size")).distinct()
+    members = links.groupBy("b").agg(F.max(F.struct("overlap", "a", "size_b")).alias("m"))
+    members = members.select(F.col("b").alias("set"), F.col("m.a").alias("leader"), F.col("m.size_b").alias("size"), (F.col("m.size_b") - F.col("m.overlap")).alias("out"))
+    members = members.join(leaders.select("set"), "set", "left_anti")
+    every = written(members.unionByName(leaders.select("set", F.col("set").alias("leader"), "size", F.lit(0).alias("out"))), "stars")
+    span = every.groupBy("leader").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max("out").alias("star_out"))
+    return every.drop("size").join(span, "leader")
+
+
 def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame:
     """Links (a, b) of sets that connect whatever all links connect."""
+    won = _linked(percent, "size_a", "size_b", "overlap")
     # 1. leaders and their blocks
-    pairs = written(lists.where("leader is not null").select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
-    sets = written(_picked_sets(docs, k, lists.select("set").distinct()), "sets")
-    first = written(_overlaps(pairs, sets), "compared")
-    links = first.where(_linked(percent, "size_a", "size_b", "overlap"))
-    roots = components(links.select("a", "b"))
-    # one leader for each set: the one that it overlaps most; leaders keep themselves
-    star = links.groupBy("b").agg(F.max(F.struct("overlap", "a", "size_a", "size_b")).alias("m"))
-    star = star.select(F.col("b").alias("set"), F.col("m.a").alias("leader"), F.col("m.size_a").alias("leader_size"), (F.col("m.size_b") - F.col("m.overlap")).alias("out"))
-    star = star.join(links.select(F.col("a").alias("set")).distinct(), "set", "left_anti")
-    entry = lists.select("token", "set", "size", "at").join(star, "set", "left").join(roots.withColumnRenamed("node", "set"), "set", "left")
+    first = _compared(docs, _leader_pairs(lists, percent), k)
+    links = first.where(won)
+    roots = components(links.select("a", "b")).withColumnRenamed("node", "set")
+    entry = lists.select("token", "set", "size", "at").join(_stars(links), "set", "left").join(roots, "set", "left")
     entry = entry.select(
-        "token", "set", "size", "at", F.coalesce("leader", "set").alias("leader"), F.coalesce("leader_size", "size").alias("leader_size"),
-        F.coalesce("out", F.lit(0)).alias("out"), F.coalesce("root", "set").alias("root"),
+        "token", "set", "size", "at", F.coalesce("leader", "set").alias("leader"), F.coalesce("root", "set").alias("root"),
+        F.coalesce("out", F.lit(0)).alias("out"), F.coalesce("star_out", F.lit(0)).alias("star_out"),
+        F.coalesce("least", "size").alias("least"), F.coalesce("most", "size").alias("most"),
     )
     open_lists = entry.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
     entry = written(entry.join(open_lists, "token"), "entries")
-    # 2. leaders whose stars meet in a list
-    heads = entry.groupBy("token", "leader", "root").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max(F.col("size") - F.col("at")).alias("rest"))
+    # 2. leaders of different components whose stars meet in lists
+    heads = entry.groupBy("token", "leader", "root", "least", "most", "star_out").agg(F.max(F.col("size") - F.col("at")).alias("from"))
     x, y = heads.alias("x"), heads.alias("y")
-    meet = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.leader") < F.col("y.leader")) & (F.col("x.root") != F.col("y.root")))
-    # some sizes of the two could link, with this shingle the first that they share: it and all after it
-    possible = F.expr(
-        f"x.most * 100L >= y.least * {percent}L and y.most * 100L >= x.least * {percent}L and "
-        f"{100 + percent}L * least(x.rest, y.rest) >= {percent}L * (x.least + y.least)"
-    )
-    pairs = meet.where(possible).select(F.col("x.leader").alias("a"), F.col("y.leader").alias("b")).distinct()
-    pairs = written(pairs, "pairs")
-    second = written(_overlaps(pairs.join(first, ["a", "b"], "left_anti"), sets).unionByName(first.join(pairs, ["a", "b"], "left_semi")), "compared")
-    won = _linked(percent, "size_a", "size_b", "overlap")
+    meet = x.join(y, F.expr(f"x.token = y.token and x.leader < y.leader and x.root != y.root and x.most * 100L >= y.least * {percent}L and y.most * 100L >= x.least * {percent}L"))
+    # a shingle can be the first that linked members share if it and all after it are enough
+    can_start = F.expr(f"{100 + percent}L * least(x.from, y.from) >= {percent}L * (x.least + y.least)")
+    met = meet.groupBy(
+        F.col("x.leader").alias("a"), F.col("y.leader").alias("b"), F.col("x.least").alias("least_a"), F.col("y.least").alias("least_b"),
+        F.col("x.most").alias("most_a"), F.col("y.most").alias("most_b"), (F.col("x.star_out") + F.col("y.star_out")).alias("out"),
+    ).agg(F.count(F.lit(1)).alias("common"), F.max(can_start).alias("can_start"))
+    rest = f"greatest({_rest('most_a', percent)}, {_rest('most_b', percent)})"
+    met = written(met.where("can_start").where(_may_link(percent, "common", rest, "least_a", "least_b")).select("a", "b", "least_a", "least_b", "out"), "met")
+    second = _compared(docs, met.select("a", "b").join(first, ["a", "b"], "left_anti"), k).unionByName(first.join(met, ["a", "b"], "left_semi"))
     links = links.select("a", "b").union(second.where(won).select("a", "b"))
     # 3. what the leaders' overlap leaves open, member by member
-    spread = entry.groupBy("leader").agg(F.max("out").alias("out"), F.min("size").alias("least"))
-    a, b = (spread.select(*[F.col(c).alias(f"{c}_{s}") for c in spread.columns]) for s in "ab")
-    undecided = second.where(~won).join(a, F.col("a") == F.col("leader_a")).join(b, F.col("b") == F.col("leader_b"))
-    undecided = undecided.where(f"(out_a > 0 or out_b > 0) and {100 + percent}L * (overlap + out_a + out_b) >= {percent}L * (least_a + least_b)")
+    undecided = met.join(second.where(~won).select("a", "b", "overlap"), ["a", "b"]).where("out > 0").where(_may_link(percent, "overlap", "out", "least_a", "least_b"))
     undecided = written(undecided.select("a", "b", "overlap"), "undecided")
     if undecided.isEmpty():
         return links
     x = entry.select("token", F.col("leader").alias("a"), F.col("set").alias("x"), F.col("size").alias("size_x"), F.col("at").alias("at_x"), F.col("out").alias("out_x"))
     y = entry.select("token", F.col("leader").alias("b"), F.col("set").alias("y"), F.col("size").alias("size_y"), F.col("at").alias("at_y"), F.col("out").alias("out_y"))
-    met = x.join(undecided, "a").join(y, ["token", "b"])
-    met = met.where(
-        f"{100 + percent}L * (overlap + out_x + out_y) >= {percent}L * (size_x + size_y) and "
-        f"{100 + percent}L * least(size_x - at_x, size_y - at_y) >= {percent}L * (size_x + size_y)"
-    )
-    third = _overlaps(met.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), sets)
+    pairs = x.join(undecided, "a").join(y, ["token", "b"]).where(_may_link(percent, "overlap", "out_x + out_y", "size_x", "size_y"))
+    pairs = pairs.where(f"{100 + percent}L * least(size_x - at_x, size_y - at_y) >= {percent}L * (size_x + size_y)")
+    third = _compared(docs, pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), k)
     return links.union(third.where(won).select("a", "b"))

@@ -73,7 +73,7 @@ def _batch(columns: dict) -> pa.RecordBatch:
 
 
 def _survey(docs: DataFrame, k: int, log: int) -> DataFrame:
-    """Rows of two kinds. For each document: doc_id, size, set. For each block of the sketch and task:
+    """Rows of two kinds. For each document: doc_id, row, size, set. For each block of the sketch and task:
     block, counts (one byte each, at most 255, compressed by the shuffle)."""
 
     def survey(batches):
@@ -86,15 +86,15 @@ def _survey(docs: DataFrame, k: int, log: int) -> DataFrame:
                 all_sets.append(s)
             counts += np.bincount((np.concatenate(all_sets) >> U64(64 - log)).astype(np.int64), minlength=1 << log)
             n = len(size)
-            yield _batch({"doc_id": shard.column("doc_id").combine_chunks(), "size": pa.array(size, INT), "set": pa.array(sid, LONG), "block": pa.nulls(n, INT), "counts": pa.nulls(n, pa.binary())})
+            yield _batch({"doc_id": shard.column("doc_id").combine_chunks(), "row": shard.column("row").combine_chunks(), "size": pa.array(size, INT), "set": pa.array(sid, LONG), "block": pa.nulls(n, INT), "counts": pa.nulls(n, pa.binary())})
         if counts.any():
             blocks = np.minimum(counts, 255).astype(np.uint8).reshape(SKETCH_BLOCKS, -1)
             none = pa.nulls(SKETCH_BLOCKS, INT)
-            yield _batch({"doc_id": none.cast(doc_type), "size": none, "set": none.cast(LONG), "block": pa.array(range(SKETCH_BLOCKS), INT), "counts": pa.array([b.tobytes() for b in blocks], pa.binary())})
+            yield _batch({"doc_id": none.cast(doc_type), "row": none.cast(LONG), "size": none, "set": none.cast(LONG), "block": pa.array(range(SKETCH_BLOCKS), INT), "counts": pa.array([b.tobytes() for b in blocks], pa.binary())})
 
     kind = docs.schema["doc_id"].dataType
     doc_type = to_arrow_type(kind)
-    return docs.mapInArrow(survey, f"doc_id {kind.simpleString()}, size int, set long, block int, counts binary")
+    return docs.mapInArrow(survey, f"doc_id {kind.simpleString()}, row long, size int, set long, block int, counts binary")
 
 
 def _ranks(survey: DataFrame, log: int) -> np.ndarray:
@@ -245,9 +245,10 @@ def _linked(percent: int, a: str, b: str, overlap: str) -> F.Column:
 def jaccard_components(
     spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id for each row of ``docs``: the size of its set of ``k``-word
-    shingles and the smallest doc_id that it reaches by links, itself included. Two rows link when
-    their sets' Jaccard similarity is ``percent`` percent or more.
+    """doc_id, row (a hash of the text), n_shingles, component_id and first for each row of ``docs``: the
+    size of its set of ``k``-word shingles, the smallest doc_id that it reaches by links, itself
+    included, and whether it is the one row that can stand for all of these (repeated rows are alike).
+    Two rows link when their sets' Jaccard similarity is ``percent`` percent or more.
 
     A text of fewer words is one shingle; null, empty and blank texts have size 0 and link with
     nothing. Repeated rows and ids stay one row each; equal texts are in one component. A null id
@@ -255,27 +256,37 @@ def jaccard_components(
     id and text columns are read. An empty table gives no rows.
     """
     small_batches(spark)
-    docs = id_text(docs, id_col, text_col)
+    docs = id_text(docs, id_col, text_col).withColumn("row", F.xxhash64("text"))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     log = int(np.clip(np.ceil(np.log2(max(size / 6 / PER_COUNTER, 1))), LEAST_LOG, MOST_LOG))
     survey = written(_survey(docs, k, log), "survey")
-    members = survey.where("block is null").select("doc_id", F.col("size").cast("long").alias("n_shingles"), "set")
+    members = survey.where("block is null").select("doc_id", "row", F.col("size").cast("long").alias("n_shingles"), "set")
     ranks = spark.sparkContext.broadcast(_ranks(survey, log))
     buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     lists = written(_lists(_postings(docs, k, percent, log, ranks, buckets), percent), "lists")
     links = _links(docs, lists, k, percent)
     roots = components(links).select(F.col("node").alias("set"), "root")
-    # every set's own component: the smallest doc_id of all its sets; the empty set is no set
+    # every set's own component, named by its smallest doc_id; the empty set is no set
     some = members.where("n_shingles > 0").join(roots, "set", "left").withColumn("root", F.coalesce("root", "set"))
-    least = some.groupBy("root").agg(F.min("doc_id").alias("least"))
-    named = some.join(least, "root").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    return named.unionByName(members.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    some = some.withColumn("rank", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    least = some.groupBy("root").agg(F.min("rank").alias("least"))
+    named = some.join(least, "root").select("doc_id", "row", "n_shingles", F.col("least.doc_id").alias("component_id"), (F.col("rank") == F.col("least")).alias("first"))
+    alone = members.where("n_shingles = 0").select("doc_id", "row", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("first"))
+    return named.unionByName(alone)
 
 
-def _may_link(percent: int, common: str, rest: str, a: str, b: str) -> F.Column:
-    """Sets of at least sizes ``a`` and ``b`` that share ``common`` shingles of their prefixes can link.
-    All else that they share lies, for one of them, beyond its prefix: at most ``rest`` shingles."""
-    return F.expr(f"{100 + percent} * (cast({common} as long) + {rest}) >= {percent} * (cast({a} as long) + {b})")
+def one_of_each(spark: SparkSession, docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """``docs`` (all columns) with one row of each component, the one with the smallest doc_id; equal rows
+    (id and text) are one. Rows without words are no copies of each other unless they are equal."""
+    found = jaccard_components(spark, docs, k, percent).where("first").select(F.col("doc_id").alias("__join_id"), F.col("row").alias("__join_row")).distinct()
+    row = F.xxhash64(docs["text"].cast("string"))
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(F.col("__join_id")) & (row == F.col("__join_row")))
+    return kept.dropDuplicates(["__join_id", "__join_row"]).select(*[docs[c] for c in docs.columns])
+
+
+def _may_link(percent: int, overlap: str, a: str, b: str) -> F.Column:
+    """Sets of at least sizes ``a`` and ``b`` that share at most ``overlap`` shingles can link."""
+    return F.expr(f"{100 + percent} * cast({overlap} as long) >= {percent} * (cast({a} as long) + {b})")
 
 
 def _rest(size: str, percent: int) -> str:
@@ -285,17 +296,28 @@ def _rest(size: str, percent: int) -> str:
 
 def _compared(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     pairs = written(pairs, "pairs")
-    sets = pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct()
+    sets = pairs.select(F.col("a").alias("set")).union(pairs.select(F.col("b").alias("set"))).distinct()
     return written(_overlaps(pairs, _picked_sets(docs, k, sets)), "compared")
 
 
+#: After the last shingle that two prefixes share, at most the rest of the shorter remainder can be common.
+TAIL = "least(size_a - at_a, size_b - at_b)"
+
+
+def _promising(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) out of their common index entries (a, b, size_a, at_a, size_b, at_b): those that
+    start early enough and share enough of their prefixes to link."""
+    start = F.max(F.expr(f"{100 + percent}L * {TAIL} >= {percent}L * (cast(size_a as long) + size_b)")).alias("start")
+    met = entries.groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("common"), F.min(F.expr(TAIL)).alias("tail"), start)
+    most = f"common + least(tail - 1, greatest({_rest('size_a', percent)}, {_rest('size_b', percent)}))"
+    return met.where("start").where(_may_link(percent, most, "size_a", "size_b")).select("a", "b")
+
+
 def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(leader, set) pairs of the blocks that share enough of their prefixes."""
-    pairs = written(lists.where("leader is not null").select(F.col("leader").alias("a"), F.col("set").alias("b"), F.col("leader_size").alias("size_a"), F.col("size").alias("size_b")).distinct(), "pairs")
-    with_b = pairs.join(lists.select("token", F.col("set").alias("b")), "b")
-    common = with_b.join(lists.select("token", F.col("set").alias("a")), ["token", "a"]).groupBy("a", "b", "size_a", "size_b").agg(F.count(F.lit(1)).alias("common"))
-    rest = f"greatest({_rest('size_a', percent)}, {_rest('size_b', percent)})"
-    return common.where(_may_link(percent, "common", rest, "size_a", "size_b")).select("a", "b")
+    pairs = written(lists.where("leader is not null").select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
+    one, two = (lists.select("token", F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("at").alias(f"at_{c}")) for c in "ab")
+    return _promising(pairs.join(two, "b").join(one, ["token", "a"]), percent)
 
 
 def _stars(links: DataFrame) -> DataFrame:
@@ -322,12 +344,12 @@ def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame
     entry = entry.select(
         "token", "set", "size", "at", F.coalesce("leader", "set").alias("leader"), F.coalesce("root", "set").alias("root"),
         F.coalesce("out", F.lit(0)).alias("out"), F.coalesce("star_out", F.lit(0)).alias("star_out"),
-        F.coalesce("least", "size").alias("least"), F.coalesce("most", "size").alias("most"),
+        F.coalesce("least", "size").alias("least"), F.coalesce("most", "size").alias("most"), F.col("leader").isNull().alias("single"),
     )
     open_lists = entry.groupBy("token").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 != r2").select("token")
     entry = written(entry.join(open_lists, "token"), "entries")
     # 2. leaders of different components whose stars meet in lists
-    heads = entry.groupBy("token", "leader", "root", "least", "most", "star_out").agg(F.max(F.col("size") - F.col("at")).alias("from"))
+    heads = entry.groupBy("token", "leader", "root", "least", "most", "star_out", "single").agg(F.max(F.col("size") - F.col("at")).alias("from"))
     x, y = heads.alias("x"), heads.alias("y")
     meet = x.join(y, F.expr(f"x.token = y.token and x.leader < y.leader and x.root != y.root and x.most * 100L >= y.least * {percent}L and y.most * 100L >= x.least * {percent}L"))
     # a shingle can be the first that linked members share if it and all after it are enough
@@ -335,19 +357,26 @@ def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame
     met = meet.groupBy(
         F.col("x.leader").alias("a"), F.col("y.leader").alias("b"), F.col("x.least").alias("least_a"), F.col("y.least").alias("least_b"),
         F.col("x.most").alias("most_a"), F.col("y.most").alias("most_b"), (F.col("x.star_out") + F.col("y.star_out")).alias("out"),
-    ).agg(F.count(F.lit(1)).alias("common"), F.max(can_start).alias("can_start"))
+        F.expr("x.single and y.single").alias("single"),
+    ).agg(F.count(F.lit(1)).alias("common"), F.max(can_start).alias("can_start"), F.min(F.expr("least(x.from, y.from)")).alias("tail"))
+    # the tail after the last common shingle is known for single sets, for stars that of the prefixes
     rest = f"greatest({_rest('most_a', percent)}, {_rest('most_b', percent)})"
-    met = written(met.where("can_start").where(_may_link(percent, "common", rest, "least_a", "least_b")).select("a", "b", "least_a", "least_b", "out"), "met")
+    most = f"common + if(single, least(tail - 1, {rest}), {rest})"
+    met = written(met.where("can_start").where(_may_link(percent, most, "least_a", "least_b")).select("a", "b", "least_a", "least_b", "out", "single"), "met")
     second = _compared(docs, met.select("a", "b").join(first, ["a", "b"], "left_anti"), k).unionByName(first.join(met, ["a", "b"], "left_semi"))
     links = links.select("a", "b").union(second.where(won).select("a", "b"))
-    # 3. what the leaders' overlap leaves open, member by member
-    undecided = met.join(second.where(~won).select("a", "b", "overlap"), ["a", "b"]).where("out > 0").where(_may_link(percent, "overlap", "out", "least_a", "least_b"))
+    # 3. what the leaders' overlap leaves open, member by member, as far as still not connected
+    undecided = met.join(second.where(~won).select("a", "b", "overlap"), ["a", "b"]).where("not single").where(_may_link(percent, "overlap + out", "least_a", "least_b"))
     undecided = written(undecided.select("a", "b", "overlap"), "undecided")
     if undecided.isEmpty():
         return links
-    x = entry.select("token", F.col("leader").alias("a"), F.col("set").alias("x"), F.col("size").alias("size_x"), F.col("at").alias("at_x"), F.col("out").alias("out_x"))
-    y = entry.select("token", F.col("leader").alias("b"), F.col("set").alias("y"), F.col("size").alias("size_y"), F.col("at").alias("at_y"), F.col("out").alias("out_y"))
-    pairs = x.join(undecided, "a").join(y, ["token", "b"]).where(_may_link(percent, "overlap", "out_x + out_y", "size_x", "size_y"))
-    pairs = pairs.where(f"{100 + percent}L * least(size_x - at_x, size_y - at_y) >= {percent}L * (size_x + size_y)")
-    third = _compared(docs, pairs.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), k)
+    links = written(links.distinct(), "links")
+    roots = components(links)
+    for c in "ab":
+        undecided = undecided.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    undecided = undecided.where("root_a != root_b").select("a", "b", "overlap")
+    x, y = (entry.select("token", F.col("leader").alias(f"leader_{c}"), F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("at").alias(f"at_{c}"), F.col("out").alias(f"out_{c}")) for c in "ab")
+    undecided = undecided.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "overlap")
+    pairs = x.join(undecided, "leader_a").join(y, ["token", "leader_b"]).where(_may_link(percent, "overlap + out_a + out_b", "size_a", "size_b"))
+    third = _compared(docs, _promising(pairs, percent), k)
     return links.union(third.where(won).select("a", "b"))

@@ -62,7 +62,7 @@ def op10_language_id(spark, sf_dir):
 def op9_ngram_join(spark, sf_dir):
     from textlens.llm.ngram_join import jaccard_components
 
-    return jaccard_components(spark, table(spark, sf_dir, "documents"))
+    return jaccard_components(spark, table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
 @query

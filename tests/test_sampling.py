@@ -42,31 +42,19 @@ def test_quotas_and_split(spark):
     assert first_test == 7
 
 
-def _as_coded(n_lines, t, s):
-    """(sample, line) test rows of the original reader's second loop."""
-    lines = list(range(n_lines))
-    it = iter(lines)
-    kept = []
-    for ith, line in enumerate(it):
-        if ith == t:
-            break
-        kept.append(line)
-    out = []
-    for ith, line in enumerate(it):
-        if ith == s:
-            break
-        kept.append(line)
-        out.append((ith, kept[ith]))
-    return out
-
-
 def test_line_split_as_coded(spark):
-    for n, t, s in [(20, 15, 5), (20, 5, 30), (10, 12, 3), (12, 4, 4)]:
+    # worked by hand: line T is lost; entry i is line i before it and line i + 1 after it; there are
+    # at most as many entries as lines after T
+    cases = {
+        (20, 15, 5): [(0, 0), (1, 1), (2, 2), (3, 3)],
+        (20, 5, 30): [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 6), (6, 7), (7, 8), (8, 9), (9, 10), (10, 11), (11, 12), (12, 13), (13, 14)],
+        (10, 12, 3): [],
+        (12, 4, 4): [(0, 0), (1, 1), (2, 2), (3, 3)],
+    }
+    for (n, t, s), expected in cases.items():
         df = spark.range(0, n).select(F.lit("f").alias("source"), F.col("id").alias("line_no"))
-        got = sorted(
-            (r["sample"], r["line_no"]) for r in line_split(df, t, s, "as_coded").where("split = 'test'").collect()
-        )
-        assert got == _as_coded(n, t, s), (n, t, s)
+        test = line_split(df, t, s, "as_coded").where("split = 'test'")
+        assert sorted((r["sample"], r["line_no"]) for r in test.collect()) == expected, (n, t, s)
 
 
 def test_preferred_fallback():

@@ -119,3 +119,24 @@ def test_percent_map_of_zero_priors_is_null(spark):
     r = df.select(X.percent_map(F.col("v"), 3, prior=True).alias("p"), *[c.alias(f"q{i}") for i, c in enumerate(
         X.percent_cols([F.col("v")[i] for i in range(3)], prior=True))]).first()
     assert r["p"] == [None, None, None] and [r["q0"], r["q1"], r["q2"]] == [None, None, None]
+
+
+def test_samples_that_share_a_name_stay_apart(spark):
+    """Sample numbers that restart in every class: each sample's running score is its own."""
+    from pyspark.sql import functions as F
+
+    from textlens.operators.explain import position_terms, running_score
+    from textlens.operators.scoring import FLOOR
+    from textlens.plans.classify import classify
+
+    rows = [(i, c, f"{c} {c} word{i} shared") for c in ("aa", "bb", "cc") for i in range(8)]
+    corpus = spark.createDataFrame(rows, "doc_id long, class string, text string")
+    run = classify(corpus, FLOOR, 1e-6, classes=["aa", "bb", "cc"])
+    pt = position_terms(run.test, run.model, run.header, FLOOR, 1e-6)
+    rs = running_score(pt, 3, 25)
+    alone = {c: running_score(pt.where(F.col("class") == c), 3, 25).collect() for c in ("aa", "bb", "cc")}
+    assert rs.count() == 3 * 2 * 4
+    for c, expected in alone.items():
+        got = rs.where(F.col("class") == c).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+    run.release()

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from textlens.operators.sampling import line_split, preferred_fallback, quotas, rank_within, split_by_ratio
+from textlens.operators.sampling import line_split, preferred_fallback, quotas, random_split, rank_within, split_by_ratio
 
 
 def test_rank_within_many_buckets_and_skew(spark):
@@ -72,3 +72,29 @@ def test_rank_within_sparse_ids(spark):
     for c in ("a", "b"):
         for k, d in enumerate(sorted(i for i, cc in rows if cc == c), start=1):
             assert got[d] == k
+
+
+def test_rank_within_names(spark):
+    rnd = random.Random(9)
+    names = [f"s {rnd.randrange(10**6)}.txt" for _ in range(300)] + ["", "a", "ä", "zzzzzzzzzz", "zzzzzzzzza"]
+    rows = [(n, "x" if k % 2 else None) for k, n in enumerate(dict.fromkeys(names))]
+    df = spark.createDataFrame(rows, "doc_id string, class string")
+    got = {(r["class"], r["doc_id"]): r["rn"] for r in rank_within(df, "class", ["doc_id"]).collect()}
+    assert len(got) == len(rows)
+    for c in ("x", None):
+        for k, n in enumerate(sorted((n for n, cc in rows if cc == c), key=str.encode), start=1):
+            assert got[c, n] == k
+
+
+def test_random_split_does_not_depend_on_the_layout(spark):
+    df = spark.range(0, 3000).select(F.col("id").alias("doc_id"), (F.col("id") % 4).cast("string").alias("class"))
+    one, two = (sorted(map(tuple, random_split(x, 0.9, 75.0, 3).collect())) for x in (df.repartition(3), df.coalesce(1).orderBy(F.desc("doc_id"))))
+    assert one == two
+    share = sum(r[2] == "train" for r in one) / 3000
+    assert abs(share - 0.675) < 0.03
+
+
+def test_cap_is_optional(spark):
+    df = spark.createDataFrame([(i, "a" if i < 30 else "b") for i in range(80)], "doc_id long, class string")
+    assert {r["quota"] for r in quotas(df, balanced=True).collect()} == {30}
+    assert {r["quota"] for r in quotas(df, balanced=True, cap=20).collect()} == {20}

@@ -35,3 +35,21 @@ def test_labelled_lines_from_file(spark, tmp_path):
     assert toks[1]["label"] == "0" and toks[1]["words"] == ["battery", "died", "in", "day"]
     split = read_lines(tl, 3, 2, "clean")
     assert {r["doc_id"]: r["split"] for r in split.collect()} == {0: "train", 1: "train", 3: "test", 4: "test"}
+
+
+def test_plain_class_folders_train_and_score(spark, tmp_path):
+    """``<class>/<sample>`` files whose names are no numbers, hold spaces and repeat between classes."""
+    from textlens.plans.classify import classify
+    from textlens.sources.corpus import folder_corpus
+
+    words = {"revs-yelp 1": "good food", "a+b 50%": "loud music"}
+    for c, text in words.items():
+        (tmp_path / c).mkdir()
+        for i in range(8):
+            (tmp_path / c / f"s {i}.txt").write_text(f"{text} number{i}")
+    corpus = folder_corpus(spark, str(tmp_path))
+    assert {(r["class"], r["doc_id"]) for r in corpus.collect()} == {(c, f"s {i}.txt") for c in words for i in range(8)}
+    run = classify(corpus)
+    report = {r["class"]: r for r in run.report().collect()}
+    assert report["revs-yelp 1"]["recall"] == report["a+b 50%"]["recall"] == 1
+    run.release()

@@ -68,8 +68,7 @@ def clean_words(text, stopwords=None, drop_digit_labels: bool = False) -> Column
         words = F.array_remove(F.array_remove(words, "0"), "1")
     stop = list(stopwords or [])
     if stop:
-        stop_arr = F.array(*[F.lit(s) for s in stop])
-        words = F.filter(words, lambda w: ~F.array_contains(stop_arr, w))
+        words = F.filter(words, lambda w: ~w.isin(stop))  # a hash set, not a scan per token
     return words
 
 

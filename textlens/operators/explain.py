@@ -83,6 +83,10 @@ def _full_range(start, end):
     return s, e
 
 
+#: What names a sample: class and name. Names may repeat between classes.
+SAMPLE = ("class", "doc_id")
+
+
 def word_trace(pt: DataFrame, header) -> DataFrame:
     """C7 long form: ``(doc_id, class, cand, cand_order, pos, word, term)``."""
     names = F.array(*[F.lit(c) for c, _, _ in header])
@@ -117,19 +121,21 @@ def sample_axis_min(coords: DataFrame, k: int) -> DataFrame:
 
 
 def select_samples(pt: DataFrame, selection: DataFrame) -> DataFrame:
-    """The rows of the chosen samples; ``selection`` has ``doc_id`` (a click, or any table of ids)."""
-    return pt.join(selection.select("doc_id").distinct(), "doc_id", "left_semi")
+    """The rows of the chosen samples; ``selection`` has ``doc_id`` (a click, or any table of ids) and,
+    where names repeat between classes, ``class``."""
+    key = [c for c in SAMPLE if c in selection.columns]
+    return pt.join(selection.select(*key).distinct(), key, "left_semi")
 
 
 def word_coords(pt: DataFrame, k: int, start=None, end=None) -> DataFrame:
-    """E8 (+T13): per word in ``[start, end)``: ``(doc_id, pos, label, p0..)``; label ``"<pos+1>. word"``."""
+    """E8 (+T13): per word in ``[start, end)``: ``(class, doc_id, pos, label, p0..)``; label ``"<pos+1>. word"``."""
     s, e = _full_range(start, end)
-    rows = pt.select("doc_id", "words", F.posexplode("pterms").alias("pos", "v")).where(
+    rows = pt.select(*SAMPLE, "words", F.posexplode("pterms").alias("pos", "v")).where(
         (F.col("pos") >= s) & (F.col("pos") < e)
     )
     pcts = percent_cols([F.element_at("v", i + 1) for i in range(k)])
     return rows.select(
-        "doc_id",
+        *SAMPLE,
         "pos",
         numbered_word(F.col("pos") + 1, F.element_at("words", F.col("pos") + 1)).alias("label"),
         *[p.alias(f"p{i}") for i, p in enumerate(pcts)],
@@ -149,15 +155,15 @@ def range_summary(pt: DataFrame, k: int, start=None, end=None) -> DataFrame:
     range sums) and ``with_prior`` (E1 of range sums + ln prior)."""
     s, e = _full_range(start, end)
     sums = _range_sums(k, s, e)
-    w = pt.select("doc_id", "lps", sums.alias("sums"))
+    w = pt.select(*SAMPLE, "lps", sums.alias("sums"))
     with_p = F.zip_with("sums", "lps", lambda a, b: a + b)
     kinds = F.array(
         F.struct(F.lit("prior").alias("kind"), percent_map(F.col("lps"), k, prior=True).alias("pct")),
         F.struct(F.lit("no_prior").alias("kind"), percent_map(F.col("sums"), k).alias("pct")),
         F.struct(F.lit("with_prior").alias("kind"), percent_map(with_p, k).alias("pct")),
     )
-    out = w.select("doc_id", F.explode(kinds).alias("r")).select("doc_id", "r.kind", "r.pct")
-    return out.select("doc_id", "kind", *[F.col("pct")[i].alias(f"p{i}") for i in range(k)])
+    out = w.select(*SAMPLE, F.explode(kinds).alias("r")).select(*SAMPLE, "r.kind", "r.pct")
+    return out.select(*SAMPLE, "kind", *[F.col("pct")[i].alias(f"p{i}") for i in range(k)])
 
 
 def _first_max(values: Column, k: int, start: float) -> Column:
@@ -176,10 +182,10 @@ def range_winner(summary: DataFrame, header) -> DataFrame:
     """Class with the largest ``with_prior`` percentage (strict ``>`` from -1E6)."""
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
-    wp = summary.where(F.col("kind") == "with_prior").select("doc_id", F.array(*[F.col(f"p{i}") for i in range(k)]).alias("v"))
+    wp = summary.where(F.col("kind") == "with_prior").select(*SAMPLE, F.array(*[F.col(f"p{i}") for i in range(k)]).alias("v"))
     best = _first_max(F.col("v"), k, ARGMAX_START)
     return wp.select(
-        "doc_id",
+        *SAMPLE,
         F.when(best["i"] >= 0, F.element_at(names, best["i"] + 1)).alias("winner"),
         best["s"].alias("pct"),
     )
@@ -187,20 +193,20 @@ def range_winner(summary: DataFrame, header) -> DataFrame:
 
 def word_axis_min(coords: DataFrame, summary: DataFrame, k: int) -> DataFrame:
     """Per doc and candidate ``min(33, word pcts, prior, no_prior, with_prior)``."""
-    a = coords.groupBy("doc_id").agg(*[F.min(f"p{i}").alias(f"w{i}") for i in range(k)])
-    b = summary.groupBy("doc_id").agg(*[F.min(f"p{i}").alias(f"s{i}") for i in range(k)])
-    j = b.join(a, "doc_id", "left")
+    a = coords.groupBy(*SAMPLE).agg(*[F.min(f"p{i}").alias(f"w{i}") for i in range(k)])
+    b = summary.groupBy(*SAMPLE).agg(*[F.min(f"p{i}").alias(f"s{i}") for i in range(k)])
+    j = b.join(a, list(SAMPLE), "left")
     vals = [
         F.least(F.lit(float(AXIS_START)), F.coalesce(F.col(f"w{i}"), F.lit(float(AXIS_START))), F.col(f"s{i}"))
         for i in range(k)
     ]
-    return j.select("doc_id", F.posexplode(F.array(*vals)).alias("cand_order", "axis_min"))
+    return j.select(*SAMPLE, F.posexplode(F.array(*vals)).alias("cand_order", "axis_min"))
 
 
 def sample_text(pt: DataFrame, start=None, end=None) -> DataFrame:
     """T11+T12: the words of ``[start, end)`` each followed by one space."""
     s, e = _full_range(start, end)
-    return pt.select("doc_id", rebuild_text(word_slice(F.col("words"), s, e)).alias("text"))
+    return pt.select(*SAMPLE, rebuild_text(word_slice(F.col("words"), s, e)).alias("text"))
 
 
 def running_score(pt: DataFrame, k: int, chunk: int = 25, start=None, end=None) -> DataFrame:
@@ -210,20 +216,20 @@ def running_score(pt: DataFrame, k: int, chunk: int = 25, start=None, end=None)
     with ``i != 0 and i % chunk == 0`` (so the first chunk has ``chunk + 1``
     words). Running sums are a window partitioned by ``(doc, chunk_id)``,
     ordered by position: each group holds at most ``chunk + 1`` words.
-    Output ``(doc_id, pos, i, chunk_id, p0..)``.
+    Output ``(class, doc_id, pos, i, chunk_id, p0..)``.
     """
     s, e = _full_range(start, end)
-    rows = pt.select("doc_id", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
+    rows = pt.select(*SAMPLE, F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
     rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
     i = F.col("pos") - F.col("_s")
     rows = rows.withColumn("i", i).withColumn(
         "chunk_id", F.greatest(F.lit(0), F.ceil(F.col("i") / F.lit(int(chunk))) - 1).cast("int")
     )
-    w = Window.partitionBy("doc_id", "chunk_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy(*SAMPLE, "chunk_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for j in range(k):
         rows = rows.withColumn(f"c{j}", F.sum(F.element_at("v", j + 1)).over(w))
     pcts = percent_cols([F.col(f"c{j}") for j in range(k)])
-    return rows.select("doc_id", "pos", "i", "chunk_id", *[p.alias(f"p{j}") for j, p in enumerate(pcts)])
+    return rows.select(*SAMPLE, "pos", "i", "chunk_id", *[p.alias(f"p{j}") for j, p in enumerate(pcts)])
 
 
 def reset_points(running: DataFrame, pt: DataFrame, header, chunk: int = 25) -> DataFrame:
@@ -232,10 +238,10 @@ def reset_points(running: DataFrame, pt: DataFrame, header, chunk: int = 25) ->
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
     pts = running.where((F.col("i") != 0) & (F.col("i") % F.lit(int(chunk)) == 0))
-    pts = pts.join(pt.select("doc_id", "words"), "doc_id")
+    pts = pts.join(pt.select(*SAMPLE, "words"), list(SAMPLE))
     best = _first_max(F.array(*[F.col(f"p{j}") for j in range(k)]), k, 0.0)
     return pts.select(
-        "doc_id",
+        *SAMPLE,
         "pos",
         numbered_word(F.col("pos") + 1, F.element_at("words", F.col("pos") + 1)).alias("label"),
         best["s"].alias("best_pct"),
@@ -268,10 +274,10 @@ def word_uniqueness(pt: DataFrame, header, start=None, end=None, second: str = "
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
     s, e = _full_range(start, end)
-    rows = pt.select("doc_id", "words", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
+    rows = pt.select(*SAMPLE, "words", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
     rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
     rows = rows.select(
-        "doc_id", "pos", "words", *[p.alias(f"q{i}") for i, p in enumerate(percent_cols([F.element_at("v", i + 1) for i in range(k)]))]
+        *SAMPLE, "pos", "words", *[p.alias(f"q{i}") for i, p in enumerate(percent_cols([F.element_at("v", i + 1) for i in range(k)]))]
     )
     qs = [F.col(f"q{i}") for i in range(k)]
     mx, sec, idx = _top_and_second_cols(qs)
@@ -280,15 +286,15 @@ def word_uniqueness(pt: DataFrame, header, start=None, end=None, second: str = "
     elif second != "as_coded":
         raise ValueError(f"unknown second mode {second!r}")
     rows = rows.select(
-        "doc_id",
+        *SAMPLE,
         F.element_at("words", F.col("pos") + 1).alias("word"),
         F.when(idx >= 0, F.element_at(names, idx + 1)).alias("winner"),
         (mx - sec).alias("diff"),
     )
     # the same word always has the same terms, hence the same winner and diff
-    g = rows.groupBy("doc_id", "winner", "word").agg(F.first("diff").alias("diff"), F.count(F.lit(1)).alias("count"))
+    g = rows.groupBy(*SAMPLE, "winner", "word").agg(F.first("diff").alias("diff"), F.count(F.lit(1)).alias("count"))
     g = g.where(F.col("diff") != 0)
-    w = Window.partitionBy("doc_id", "winner").orderBy(F.desc("diff"), F.desc("word"), F.desc("count"))
+    w = Window.partitionBy(*SAMPLE, "winner").orderBy(F.desc("diff"), F.desc("word"), F.desc("count"))
     return g.withColumn("rank", F.row_number().over(w)).withColumn("label", word_with_count(F.col("word"), F.col("count")))
 
 

@@ -13,20 +13,40 @@ Everything is a deterministic function of the data, so a recomputed task
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 TRAIN = "train"
 TEST = "test"
 
 
 MAX_BUCKETS_BITS = 20  # at most ~2**20 buckets per class in the offset table
+SHUFFLE_BITS = 52  # bits of a seeded order value: exact as a double
+
+# names are bucketed by their first bytes, read as one number: this keeps their order
+NAME_BYTES = 7
+
+
+def seeded_order(seed: int, *cols) -> Column:
+    """A repeatable order value in ``[0, 2**52)`` from the seed and the row's key. It depends on
+    nothing else, so neither the partition layout nor a recomputed task changes it."""
+    key = F.concat_ws("|", F.lit(str(int(seed))), *[F.col(c).cast("string") for c in cols])
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, SHUFFLE_BITS // 4), 16, 10).cast("long")
+
+
+def _bucket_key(df: DataFrame, col: str) -> Column:
+    if not isinstance(df.schema[col].dataType, StringType):
+        return F.col(col).cast("long")
+    head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, NAME_BYTES)), 2 * NAME_BYTES, "0")
+    return F.conv(head, 16, 10).cast("long")
 
 
 def bucket_bits_for(df: DataFrame, col: str) -> int:
     """Bucket width from the key's range (one min/max aggregate): at most about
     ``2**20`` buckets per class whatever the density of the ids."""
-    r = df.agg(F.min(col).cast("long").alias("lo"), F.max(col).cast("long").alias("hi")).first()
+    key = _bucket_key(df, col)
+    r = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
     if r["lo"] is None:
         return 0
     span = int(r["hi"]) - int(r["lo"]) + 1
@@ -36,21 +56,25 @@ def bucket_bits_for(df: DataFrame, col: str) -> int:
 def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None) -> DataFrame:
     """Adds ``rn`` (1-based) = rank of each row inside its ``part_cols`` group by ``order_cols``.
 
-    The first ordering column must be integral (an id, a hash, a line number);
-    the following ones break ties. Exact. ``bucket_bits=None`` sizes the
-    buckets from the key's range.
+    The first ordering column is integral (an id, a hash, a line number) or a
+    string (a file name, ordered by its bytes); the following ones break ties.
+    Exact; rows with a null group or key are ranked too (nulls first).
+    ``bucket_bits=None`` sizes the buckets from the key's range.
     """
     part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
     order_cols = list(order_cols)
     if bucket_bits is None:
         bucket_bits = bucket_bits_for(df, order_cols[0])
-    x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
+    x = df.withColumn("_b", F.shiftright(_bucket_key(df, order_cols[0]), int(bucket_bits)))
     sizes = x.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*part_cols, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*part_cols, "_b").orderBy(*order_cols)
-    out = x.join(offsets, [*part_cols, "_b"]).withColumn("rn", F.col("_off") + F.row_number().over(inside))
-    return out.drop("_b", "_off")
+    keys = [*part_cols, "_b"]
+    offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(keys)], "_off")
+    same = [x[c].eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(keys)]
+    out = x.join(offsets, same).withColumn("rn", F.col("_off") + F.row_number().over(inside))
+    return out.drop("_b", "_off", *[f"_o{i}" for i in range(len(keys))])
 
 
 def class_sizes(corpus: DataFrame) -> DataFrame:
@@ -58,17 +82,18 @@ def class_sizes(corpus: DataFrame) -> DataFrame:
     return corpus.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
 
 
-def quotas(corpus: DataFrame, pick_pct: int = 100, balanced: bool = False, cap: int = 10000) -> DataFrame:
+def quotas(corpus: DataFrame, pick_pct: int = 100, balanced: bool = False, cap: int | None = None) -> DataFrame:
     """``(class, n, quota)``.
 
     Proportional: ``n * pct div 100``. Balanced: every class gets
-    ``min(cap, smallest class) * pct div 100``.
+    ``smallest class * pct div 100``; with ``cap`` at most ``cap * pct div 100``.
     """
     sizes = class_sizes(corpus)
     if balanced:
         # K rows: a global window over the class table is one small task
         smallest = F.min("n").over(Window.partitionBy())
-        quota = F.expr(f"cast(least({int(cap)}, _m) * {int(pick_pct)} div 100 as long)")
+        most = "_m" if cap is None else f"least({int(cap)}, _m)"
+        quota = F.expr(f"cast({most} * {int(pick_pct)} div 100 as long)")
         return sizes.withColumn("_m", smallest).withColumn("quota", quota).drop("_m")
     return sizes.withColumn("quota", F.expr(f"cast(n * {int(pick_pct)} div 100 as long)"))
 
@@ -80,21 +105,22 @@ def split_by_ratio(
     balanced: bool = False,
     shuffle_seed: int | None = None,
     order_cols=("doc_id",),
+    cap: int | None = None,
 ) -> DataFrame:
     """P4+P5+P6: take ``quota`` docs per class in order, first ``ratio*quota div 100`` are train.
 
-    Order is ``order_cols``; with ``shuffle_seed`` it is a seeded hash of the
-    doc id (repeatable shuffle). Adds ``rn`` (1-based), ``quota`` and ``split``.
+    Order is ``order_cols``; with ``shuffle_seed`` it is a seeded hash of class
+    and doc id (repeatable shuffle). ``cap`` bounds balanced quotas. Adds ``rn`` (1-based), ``quota`` and ``split``.
     Docs past the quota are dropped: they are not part of the sample.
     """
-    q = quotas(corpus, pick_pct, balanced)
+    q = F.broadcast(quotas(corpus, pick_pct, balanced, cap))  # one row for each class
     if shuffle_seed is not None:
-        corpus = corpus.withColumn("_ord", F.xxhash64(F.col("doc_id"), F.lit(int(shuffle_seed))))
+        corpus = corpus.withColumn("_ord", seeded_order(shuffle_seed, "class", "doc_id"))
         order = ["_ord", *order_cols]
     else:
         order = list(order_cols)
-    # hashed orders spread over the whole 64-bit range: use wider buckets
-    ranked = rank_within(corpus, "class", order, bucket_bits=44 if shuffle_seed is not None else None)
+    # seeded orders spread over their whole range: no need to look for it
+    ranked = rank_within(corpus, "class", order, bucket_bits=SHUFFLE_BITS - MAX_BUCKETS_BITS if shuffle_seed is not None else None)
     out = ranked.join(q.select("class", "quota"), "class").where(F.col("rn") <= F.col("quota"))
     train_n = F.expr(f"{int(ratio)} * quota div 100")
     out = out.withColumn("split", F.when(F.col("rn") <= train_n, F.lit(TRAIN)).otherwise(F.lit(TEST)))
@@ -102,9 +128,12 @@ def split_by_ratio(
 
 
 def random_split(corpus: DataFrame, pick: float = 1.0, ratio_pct: float = 75.0, seed: int = 42) -> DataFrame:
-    """Random train/test fractions ``r = pick*ratio/100`` and ``pick - r`` (rest unused)."""
+    """Random train/test fractions ``r = pick*ratio/100`` and ``pick - r`` (rest unused).
+
+    The uniform value is a hash of the seed and the sample (class, doc_id), so a sample is on the same
+    side in every evaluation and layout."""
     r = pick * ratio_pct / 100.0
-    u = F.rand(seed)
+    u = seeded_order(seed, "class", "doc_id") / F.lit(float(1 << SHUFFLE_BITS))
     return corpus.withColumn(
         "split", F.when(u < r, F.lit(TRAIN)).when(u < pick, F.lit(TEST)).otherwise(F.lit(None))
     ).where(F.col("split").isNotNull())

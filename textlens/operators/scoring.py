@@ -222,13 +222,12 @@ def score_sparse(
         delta = F.ln((F.col("cnt") + 1) / n_k) - F.ln(F.lit(1.0) / n_k)
         base = [math.log(1.0 / float(n)) for _, _, n in header]
     docs = test_docs.select("doc_id", "class", F.size("words").alias("m"), "words")
-    tf = docs.select("doc_id", F.explode("words").alias("word")).groupBy("doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
+    tf = docs.select("class", "doc_id", F.explode("words").alias("word")).groupBy("class", "doc_id", "word").agg(F.count(F.lit(1)).alias("tf"))
     lik = model.likelihood.join(F.broadcast(class_index(spark, header)), "class").select("word", "k", "cnt")
-    corr = tf.join(lik, "word").groupBy("doc_id", "k").agg(F.sum(F.col("tf") * delta).alias("corr"))
-    # at most K corrections per doc, pivoted on the class index (the K values are given: no extra job)
-    per_doc = corr.groupBy("doc_id").pivot("k", list(range(k_n))).agg(F.first("corr"))
-    per_doc = per_doc.toDF("doc_id", *[f"_c{k}" for k in range(k_n)])
-    out = docs.join(per_doc, "doc_id", "left")
+    # K conditional sums in one aggregate: only the classes that have the word send a row
+    sums = [F.sum(F.when(F.col("k") == k, F.col("tf") * delta)).alias(f"_c{k}") for k in range(k_n)]
+    per_doc = tf.join(lik, "word").groupBy("class", "doc_id").agg(*sums)
+    out = docs.join(per_doc, ["class", "doc_id"], "left")
     scores = F.array(
         *[
             F.lit(math.log(p)) + F.col("m") * F.lit(base[k]) + F.coalesce(F.col(f"_c{k}"), F.lit(0.0))

@@ -63,12 +63,22 @@ def q_class_sizes(spark, sf):
 @register(
     "quota_balanced",
     S.with_(f"corpus AS ({S.CORPUS['lang']})", "sizes AS (SELECT class, count(*) AS n FROM corpus GROUP BY class)")
-    + "SELECT class, n, CAST(least(10000, min(n) OVER ()) * 50 // 100 AS BIGINT) AS quota FROM sizes",
+    + "SELECT class, n, CAST(min(n) OVER () * 50 // 100 AS BIGINT) AS quota FROM sizes",
 )
 def q_quota_balanced(spark, sf):
     return quotas(corpus(spark, sf, "lang"), pick_pct=50, balanced=True)
 
 
+@register(
+    "quota_balanced_cap",
+    S.with_(f"corpus AS ({S.CORPUS['lang']})", "sizes AS (SELECT class, count(*) AS n FROM corpus GROUP BY class)")
+    + "SELECT class, n, CAST(least(15, min(n) OVER ()) * 50 // 100 AS BIGINT) AS quota FROM sizes",
+)
+def q_quota_balanced_cap(spark, sf):
+    """P2 with a cap that binds; callers who want the usual one pass ``cap=10000``."""
+    return quotas(corpus(spark, sf, "lang"), pick_pct=50, balanced=True, cap=15)
+
+
 @register(
     "quota_proportional",
     S.with_(f"corpus AS ({S.CORPUS['lang']})", "sizes AS (SELECT class, count(*) AS n FROM corpus GROUP BY class)")
@@ -86,9 +96,13 @@ def q_split_ratio(spark, sf):
     return split_by_ratio(corpus(spark, sf, "lang"), P.PICK_PCT, P.RATIO).select("doc_id", "class", "rn", "split")
 
 
-@register("split_shuffled")
+@register(
+    "split_shuffled",
+    S.with_(S.split_ctes("lang", pick=P.PICK_PCT, order=S.seeded_order(7, "c") + ", c.doc_id"))
+    + "SELECT doc_id, class, rn, split FROM split",
+)
 def q_split_shuffled(spark, sf):
-    """Repeatable shuffle by a seeded hash; rows-only check (the hash is Spark's own)."""
+    """Repeatable shuffle by a seeded hash."""
     return split_by_ratio(corpus(spark, sf, "lang"), P.PICK_PCT, P.RATIO, shuffle_seed=7).select(
         "doc_id", "class", "rn", "split"
     )
@@ -513,8 +527,8 @@ def q_range_winner(spark, sf):
     from textlens.operators.explain import range_summary, range_winner
 
     run, pt = _explain(spark, sf)
-    summ = range_summary(pt, K3).select("doc_id", "kind", *_pcols())
-    return range_winner(summ, run.header)
+    summ = range_summary(pt, K3).select("class", "doc_id", "kind", *_pcols())
+    return range_winner(summ, run.header).drop("class")
 
 
 @register(
@@ -536,9 +550,9 @@ def q_word_axis_min(spark, sf):
     from textlens.operators.explain import range_summary, word_axis_min, word_coords
 
     _, pt = _explain(spark, sf)
-    coords = word_coords(pt, K3).select("doc_id", *_pcols())
-    summ = range_summary(pt, K3).select("doc_id", "kind", *_pcols())
-    return word_axis_min(coords, summ, K3)
+    coords = word_coords(pt, K3).select("class", "doc_id", *_pcols())
+    summ = range_summary(pt, K3).select("class", "doc_id", "kind", *_pcols())
+    return word_axis_min(coords, summ, K3).drop("class")
 
 
 @register(
@@ -549,7 +563,7 @@ def q_sample_text(spark, sf):
     from textlens.operators.explain import sample_text
 
     _, pt = _explain(spark, sf)
-    return sample_text(pt)
+    return sample_text(pt).drop("class")
 
 
 _RUN_CTES = (
@@ -587,8 +601,8 @@ def q_reset_points(spark, sf):
     from textlens.operators.explain import reset_points, running_score
 
     run, pt = _explain(spark, sf)
-    rs = running_score(pt, K3, P.CHUNK).select("doc_id", "pos", "i", "chunk_id", *_pcols())
-    return reset_points(rs, pt, run.header, P.CHUNK)
+    rs = running_score(pt, K3, P.CHUNK).select("class", "doc_id", "pos", "i", "chunk_id", *_pcols())
+    return reset_points(rs, pt, run.header, P.CHUNK).drop("class")
 
 
 def _uniq_sql() -> str:
@@ -895,9 +909,13 @@ def q_repeat_mean(spark, sf):
 # ---------------------------------------------------------------- linear SVM baseline
 
 
-@register("random_split")
+@register(
+    "random_split",
+    S.with_(f"corpus AS ({S.CORPUS['source']})")
+    + f"SELECT c.doc_id, c.class, CASE WHEN {S.seeded_order(7, 'c')} / 4503599627370496.0 < {P.RATIO} / 100.0 THEN 'train' ELSE 'test' END AS split FROM corpus c",
+)
 def q_random_split(spark, sf):
-    """Seeded random train/test fractions (rows-only: Spark's own ``rand``)."""
+    """Seeded random train/test fractions."""
     from textlens.operators.sampling import random_split
 
     return random_split(corpus(spark, sf, "source"), pick=1.0, ratio_pct=P.RATIO, seed=7).select("doc_id", "class", "split")

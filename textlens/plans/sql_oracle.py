@@ -58,12 +58,18 @@ def words_expr(text: str = "text", stop: bool = False, digits: bool = False) ->
     )
 
 
+def seeded_order(seed: int, row: str) -> str:
+    """The order value of a seeded shuffle: the first 52 bits of md5 over seed, class and doc_id."""
+    return f"CAST('0x' || substr(md5('{seed}|' || {row}.class || '|' || CAST({row}.doc_id AS VARCHAR)), 1, 13) AS BIGINT)"
+
+
 def split_ctes(
-    key: str, pick: int = 100, ratio: int = P.RATIO, balanced: bool = False, stop: bool = False, order: str = "c.doc_id"
+    key: str, pick: int = 100, ratio: int = P.RATIO, balanced: bool = False, stop: bool = False, order: str = "c.doc_id", cap: int | None = None
 ) -> str:
     """corpus -> sizes -> quota -> split -> docs(doc_id, class, split, rn, words)."""
     if balanced:
-        quota = f"CAST(least(10000, min(n) OVER ()) * {pick} // 100 AS BIGINT)"
+        most = "min(n) OVER ()" if cap is None else f"least({cap}, min(n) OVER ())"
+        quota = f"CAST({most} * {pick} // 100 AS BIGINT)"
     else:
         quota = f"CAST(n * {pick} // 100 AS BIGINT)"
     return f"""corpus AS ({CORPUS[key]}),

@@ -42,14 +42,17 @@ def _context(spark: SparkSession):
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting names a shared file system and is only read here.
-    Only when it is unset (tests, local runs) a fresh scratch folder is chosen.
+    On a cluster the setting names a shared file system and is only read here;
+    a missing one is an error, because executors would each write to their own
+    disk. Only a local session without it (tests) gets a fresh scratch folder.
     """
     sc = _context(spark)
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="textlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:

@@ -55,22 +55,32 @@ def conversations_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``<root>/<class>/<sample>`` text files, whole text per file.
 
-    Class and sample name come from the file path (``_metadata.file_path``).
+    Class and sample name come from the file path (``_metadata.file_path``), decoded.
+    Spark does not read files whose names start with ``_`` or ``.``.
     ``partitioned``: the layout Spark itself writes with
     ``partitionBy("class", "doc_id")``: ``class=<c>/doc_id=<d>/part-*``.
     """
     path = F.col("_metadata.file_path")
+
+    def name(pattern, times=1):
+        """A part of the path without URL escapes; the decoder would turn a plus into a space."""
+        part = F.regexp_extract(path, pattern, 1)
+        for _ in range(times):
+            part = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+        return part
+
     if partitioned:
         raw = spark.read.text(root.rstrip("/") + "/*/*/*", wholetext=True)
         return raw.select(
-            F.regexp_extract(path, r"doc_id=([^/]+)/[^/]+$", 1).alias("doc_id"),
-            F.regexp_extract(path, r"class=([^/]+)/doc_id=[^/]+/[^/]+$", 1).alias("class"),
+            # escaped once as a partition value and once as a path
+            name(r"doc_id=([^/]+)/[^/]+$", 2).alias("doc_id"),
+            name(r"class=([^/]+)/doc_id=[^/]+/[^/]+$", 2).alias("class"),
             F.col("value").alias("text"),
         )
     raw = spark.read.text(root.rstrip("/") + "/*/*", wholetext=True)
     return raw.select(
-        F.regexp_extract(path, r"([^/]+)$", 1).alias("doc_id"),
-        F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("class"),
+        name(r"([^/]+)$").alias("doc_id"),
+        name(r"([^/]+)/[^/]+$").alias("class"),
         F.col("value").alias("text"),
     )
 

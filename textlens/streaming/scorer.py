@@ -2,7 +2,8 @@
 
 New documents land as files in a folder; each micro-batch is tokenised and
 scored against a fixed, saved model with the batch scorer (``foreachBatch``),
-and the predictions are appended to a parquet sink. Progress is kept in a
+and the predictions go to a parquet sink, one folder ``epoch=<id>`` for each
+batch: a batch that is run again replaces its own rows. Progress is kept in a
 checkpoint folder under the session's shared ``spark.checkpoint.dir``, so a
 restarted query neither loses nor repeats a batch.
 """
@@ -45,7 +46,7 @@ def start_scoring(
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        score_batch(batch, model, header, mode, zero_fix, reject).write.mode("append").parquet(sink_dir)
+        score_batch(batch, model, header, mode, zero_fix, reject).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -138,8 +138,8 @@ def test_rates_meet_targets(spark, monkeypatch):
     posterior = rng.dirichlet([0.3, 0.3, 0.3], 60)
     members = spark.createDataFrame([(i, int(t), p.tolist()) for i, (t, p) in enumerate(zip(tokens, posterior))], "doc_id long, tokens long, posterior array<double>").cache()
     targets = np.array([0.6, 0.4, 0.0]) * tokens.sum()
-    rate, info = rates(members, 3, targets)
-    got = np.array([r["rate"] for r in members.withColumn("rate", rate).orderBy("doc_id").collect()])
+    found, info = rates(members, 3, targets)
+    got = np.array([r["rate"] for r in found.orderBy("doc_id").collect()])
     from textlens.llm.mixing import STAY
 
     best = brute_rates(tokens, posterior, targets, STAY)

@@ -140,28 +140,29 @@ def memberships(spark: SparkSession, docs: DataFrame, model: Classifier) -> Data
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("row")).mapInArrow(assign, f"doc_id {kind}, row long, tokens long, posterior array<double>")
 
 
-def _rate(history: list[tuple[np.ndarray, float]], step: float, mean: float) -> Column:
-    """A document's (rate, ahead) after the rounds of ``history``, from 1: each a step from ``ahead``
-    against the gradient, cut off at 0, and ``ahead`` the next place to look at (accelerated projected
-    gradient). The gradient is the document's tokens by domain times the round's errors, in units of the
-    mean document, plus the pull back to 1."""
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
-    if not history:
-        return start
-    rounds = F.array(*[F.struct(F.array(*[F.lit(float(x)) for x in e]).alias("e"), F.lit(float(m)).alias("m")) for e, m in history])
-    weight = F.col("tokens") / F.lit(float(mean))
+Round = tuple[np.ndarray, float]
 
-    def after(s, h):
-        error = F.aggregate(F.zip_with("posterior", h["e"], lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
-        rate = F.greatest(F.lit(0.0), s["ahead"] - F.lit(step) * (weight * error + F.lit(STAY) * (s["ahead"] - 1)))
-        return F.struct(rate.alias("rate"), (rate + h["m"] * (rate - s["rate"])).alias("ahead"))
 
-    return F.aggregate(rounds, start, after)
+def followed(tokens: np.ndarray, posterior: np.ndarray, history: list[Round], step: float, mean: float) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's rate and the place ahead of it after the rounds of ``history``, from 1: each a step
+    from the place ahead against the gradient, cut off at 0 (accelerated projected gradient). The
+    gradient is the document's tokens by domain times the round's errors, in units of the mean
+    document, plus the pull back to 1."""
+    rate = ahead = np.ones(len(tokens))
+    weight = tokens / mean
+    for error, momentum in history:
+        past, rate = rate, np.maximum(0, ahead - step * (weight * (posterior @ error) + STAY * (ahead - 1)))
+        ahead = rate + momentum * (rate - past)
+    return rate, ahead
 
 
-def rates(members: DataFrame, domains: int, targets: np.ndarray) -> tuple[Column, dict]:
-    """A column over ``members`` with each document's rate, and what was reached: tokens by domain
-    before and after, targets, rounds.
+def _columns(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column("tokens").to_numpy(), batch.column("posterior").flatten().to_numpy().reshape(-1, domains)
+
+
+def rates(members: DataFrame, domains: int, targets: np.ndarray) -> tuple[DataFrame, dict]:
+    """``members`` with each document's rate, and what was reached: tokens by domain before and after,
+    targets, rounds.
 
     Least: half the squared errors of the domains' expected tokens against ``targets``, as shares of all
     tokens and each over the domain's own share (so that a small domain weighs as much), plus STAY / 2
@@ -169,30 +170,49 @@ def rates(members: DataFrame, domains: int, targets: np.ndarray) -> tuple[Column
     written table.
     """
 
-    def totals(rate, name):
-        return [F.sum(rate * F.col("tokens") * F.get("posterior", F.lit(d))).alias(f"{name}{d}") for d in range(domains)]
-
-    whole = members.agg(F.count(F.lit(1)).alias("n"), F.sum("tokens").alias("t"), *totals(F.lit(1.0), "d")).first()
-    n, mean = whole["n"] or 0, (whole["t"] or 0) / max(whole["n"] or 1, 1)
-    first = np.array([whole[f"d{d}"] or 0.0 for d in range(domains)])
-    if not mean:
-        return F.lit(1.0), {"before": first, "after": first, "targets": targets, "rounds": 0}
-    scale = np.maximum(np.maximum(first, targets) / (mean * n), 1e-3)
+    def totals(history, step, mean):
+        """Sums over the documents: tokens by domain at the rates and at the places ahead, squared tokens
+        by domain, squared distance of the rates from 1, documents, tokens. A row for each batch, added up."""
+
+        def add(batches):
+            for b in batches:
+                if b.num_rows:
+                    n, p = _columns(b, domains)
+                    rate, ahead = followed(n, p, history, step, mean)
+                    parts = [(rate * n) @ p, (ahead * n) @ p, ((n[:, None] / mean * p) ** 2).sum(0), [((rate - 1) ** 2).sum(), len(n), n.sum()]]
+                    yield rows({f"s{i}": pa.array([float(x)]) for i, x in enumerate(np.concatenate(parts))})
+
+        names = [f"s{i}" for i in range(3 * domains + 3)]
+        part = members.select("tokens", "posterior").mapInArrow(add, ", ".join(f"{c} double" for c in names))
+        s = np.array([x or 0.0 for x in part.agg(*[F.sum(c).alias(c) for c in names]).first()])
+        return s[:domains], s[domains : 2 * domains], s[2 * domains : 3 * domains], *s[3 * domains :]
+
+    first, _, _, _, n, all_tokens = totals([], 0.0, 1.0)
+    history, info = [], {"before": first, "after": first, "targets": targets, "rounds": 0}
+    if not all_tokens:
+        return members.withColumn("rate", F.lit(1.0)), info
+    mean = all_tokens / n
+    scale = np.maximum(np.maximum(first, targets) / all_tokens, 1e-3)
     # the gradient's steepest slope is at most its trace
-    slope = sum(F.avg((F.col("tokens") / F.lit(float(mean)) * F.get("posterior", F.lit(d))) ** 2) / float(x) for d, x in enumerate(scale))
-    step = 1.0 / (members.agg(slope.alias("s")).first()["s"] + STAY)
-    history, ahead, after, past, t = [], first, first, np.inf, 1.0
+    squares = totals([], 0.0, mean)[2]
+    step = 1.0 / ((squares / n / scale).sum() + STAY)
+    ahead, past, t = first, np.inf, 1.0
     for _ in range(ROUNDS):
         t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        history.append(((ahead - targets) / (mean * n) / scale, (before - 1) / t))
-        state = members.withColumn("state", _rate(history, step, mean))
-        now = state.agg(*totals(F.col("state.rate"), "r"), *totals(F.col("state.ahead"), "a"), F.avg((F.col("state.rate") - 1) ** 2).alias("moved")).first()
-        after, ahead = (np.array([now[f"{c}{d}"] for d in range(domains)]) for c in "ra")
-        value = (((after - targets) / (mean * n)) ** 2 / scale).sum() / 2 + STAY / 2 * now["moved"]
+        history.append(((ahead - targets) / all_tokens / scale, (before - 1) / t))
+        after, ahead, _, moved, _, _ = totals(history, step, mean)
+        value = (((after - targets) / all_tokens) ** 2 / scale).sum() / 2 + STAY / 2 * moved / n
         if abs(past - value) <= ENOUGH * value:
             break
         past = value
-    return _rate(history, step, mean)["rate"], {"before": first, "after": after, "targets": targets, "rounds": len(history)}
+
+    def rated(batches):
+        for b in batches:
+            rate, _ = followed(*_columns(b, domains), history, step, mean)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rate)], [*b.schema.names, "rate"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema)
+    return members.mapInArrow(rated, f"{fields}, rate double"), info | {"after": after, "rounds": len(history)}
 
 
 def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float]) -> DataFrame:
@@ -211,9 +231,8 @@ def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, domain: Col
     total = members.agg(F.sum("tokens")).first()[0] or 0
     share = np.array([max(weights.get(d, 0.0), 0.0) for d in model.domains])
     share = share / share.sum() if share.sum() else np.full(len(share), 1 / len(share))
-    rate, _ = rates(members, len(model.domains), share * total)
+    members, _ = rates(members, len(model.domains), share * total)
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
-    members = members.withColumn("rate", rate)
     return members.select(
         "doc_id",
         F.col("tokens").alias("n_tokens"),

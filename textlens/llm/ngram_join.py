@@ -174,7 +174,8 @@ def _lists(postings: DataFrame, percent: int) -> DataFrame:
                 stop = start + int(np.searchsorted(size[start:end], size[start] * 100 // percent, "right"))
                 block[start:stop] = n
                 n, start = n + 1, stop
-        order = np.lexsort((p["set"], block))
+        # every list has a leader of its own, so a set meets many and a dense group is soon connected
+        order = np.lexsort((mix64((p["set"] ^ p["token"]).view(U64)), block))
         head = order[np.searchsorted(block[order], block)] if len(p) else block
         at, least = p["at"].astype(np.int64), needed(size, size[head], percent)
         can = (head != np.arange(len(p))) & (at <= size - least) & (at[head] <= size[head] - least)
@@ -315,7 +316,7 @@ def _promising(entries: DataFrame, percent: int) -> DataFrame:
 
 def _leader_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """(leader, set) pairs of the blocks that share enough of their prefixes."""
-    pairs = written(lists.where("leader is not null").select(F.col("leader").alias("a"), F.col("set").alias("b")).distinct(), "pairs")
+    pairs = written(lists.where("leader is not null").select(F.least("leader", "set").alias("a"), F.greatest("leader", "set").alias("b")).distinct(), "pairs")
     one, two = (lists.select("token", F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("at").alias(f"at_{c}")) for c in "ab")
     return _promising(pairs.join(two, "b").join(one, ["token", "a"]), percent)
 
@@ -328,9 +329,17 @@ def _stars(links: DataFrame) -> DataFrame:
     members = links.groupBy("b").agg(F.max(F.struct("overlap", "a", "size_b")).alias("m"))
     members = members.select(F.col("b").alias("set"), F.col("m.a").alias("leader"), F.col("m.size_b").alias("size"), (F.col("m.size_b") - F.col("m.overlap")).alias("out"))
     members = members.join(leaders.select("set"), "set", "left_anti")
-    every = written(members.unionByName(leaders.select("set", F.col("set").alias("leader"), "size", F.lit(0).alias("out"))), "stars")
+    every = members.unionByName(leaders.select("set", F.col("set").alias("leader"), "size", F.lit(0).alias("out")))
     span = every.groupBy("leader").agg(F.min("size").alias("least"), F.max("size").alias("most"), F.max("out").alias("star_out"))
-    return every.drop("size").join(span, "leader")
+    return written(every.join(span, "leader"), "stars")
+
+
+def _apart(pairs: DataFrame, links: DataFrame) -> DataFrame:
+    """The pairs (a, b, ...) that links do not connect yet."""
+    roots, columns = components(links), pairs.columns
+    for c in "ab":
+        pairs = pairs.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    return pairs.where("root_a != root_b").select(*columns)
 
 
 def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame:
@@ -340,7 +349,8 @@ def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame
     first = _compared(docs, _leader_pairs(lists, percent), k)
     links = first.where(won)
     roots = components(links.select("a", "b")).withColumnRenamed("node", "set")
-    entry = lists.select("token", "set", "size", "at").join(_stars(links), "set", "left").join(roots, "set", "left")
+    stars = _stars(links.select("a", "b", "size_a", "size_b", "overlap"))
+    entry = lists.select("token", "set", "size", "at").join(stars.drop("size"), "set", "left").join(roots, "set", "left")
     entry = entry.select(
         "token", "set", "size", "at", F.coalesce("leader", "set").alias("leader"), F.coalesce("root", "set").alias("root"),
         F.coalesce("out", F.lit(0)).alias("out"), F.coalesce("star_out", F.lit(0)).alias("star_out"),
@@ -362,21 +372,54 @@ def _links(docs: DataFrame, lists: DataFrame, k: int, percent: int) -> DataFrame
     # the tail after the last common shingle is known for single sets, for stars that of the prefixes
     rest = f"greatest({_rest('most_a', percent)}, {_rest('most_b', percent)})"
     most = f"common + if(single, least(tail - 1, {rest}), {rest})"
-    met = written(met.where("can_start").where(_may_link(percent, most, "least_a", "least_b")).select("a", "b", "least_a", "least_b", "out", "single"), "met")
-    second = _compared(docs, met.select("a", "b").join(first, ["a", "b"], "left_anti"), k).unionByName(first.join(met, ["a", "b"], "left_semi"))
-    links = links.select("a", "b").union(second.where(won).select("a", "b"))
+    met = written(met.where("can_start").where(_may_link(percent, most, "least_a", "least_b")).select("a", "b", "least_a", "least_b", "out", "single", "common"), "met")
+    rest = met.select("a", "b", "common").join(first, ["a", "b"], "left_anti")
+    pool = written(_picked_sets(docs, k, rest.select(F.col("a").alias("set")).union(rest.select("b")).distinct()), "sets")
+    links, second = links.select("a", "b"), first.join(met.select("a", "b"), ["a", "b"], "left_semi")
+    for last in (False, False, True):
+        # at first each leader's likeliest partner only, then all pairs that this has not connected
+        part = rest
+        if not last:
+            part = rest.groupBy("a").agg(F.max(F.struct("common", "b")).alias("m")).select("a", "m.b", "m.common")
+            part = part.union(rest.groupBy("b").agg(F.max(F.struct("common", "a")).alias("m")).select("m.a", "b", "m.common")).distinct()
+        got = written(_overlaps(part.select("a", "b"), pool), "compared")
+        second = second.unionByName(got)
+        links = links.union(got.where(won).select("a", "b"))
+        if not last:
+            links = written(links.distinct(), "links")
+            rest = written(_apart(rest.join(got, ["a", "b"], "left_anti"), links), "rest")
     # 3. what the leaders' overlap leaves open, member by member, as far as still not connected
     undecided = met.join(second.where(~won).select("a", "b", "overlap"), ["a", "b"]).where("not single").where(_may_link(percent, "overlap + out", "least_a", "least_b"))
     undecided = written(undecided.select("a", "b", "overlap"), "undecided")
     if undecided.isEmpty():
         return links
     links = written(links.distinct(), "links")
-    roots = components(links)
-    for c in "ab":
-        undecided = undecided.join(roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
-    undecided = undecided.where("root_a != root_b").select("a", "b", "overlap")
-    x, y = (entry.select("token", F.col("leader").alias(f"leader_{c}"), F.col("set").alias(c), F.col("size").alias(f"size_{c}"), F.col("at").alias(f"at_{c}"), F.col("out").alias(f"out_{c}")) for c in "ab")
-    undecided = undecided.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "overlap")
-    pairs = x.join(undecided, "leader_a").join(y, ["token", "leader_b"]).where(_may_link(percent, "overlap + out_a + out_b", "size_a", "size_b"))
-    third = _compared(docs, _promising(pairs, percent), k)
+    undecided = _apart(undecided, links)
+    # members against the other leader: as many comparisons as the two stars have members, not pairs of them
+    sizes = lists.select(F.col("set").alias("leader"), "size").distinct()
+    people = stars.where("set != leader").select("leader", "set", "size", "out").unionByName(sizes.select("leader", F.col("leader").alias("set"), "size", F.lit(0).alias("out")))
+
+    def sides(pairs):
+        """Each member of either star of the pairs, with the other leader: (leader, other, set, size, out, overlap)."""
+        ways = pairs.select(F.col("a").alias("leader"), F.col("b").alias("other"), "overlap").union(pairs.select("b", "a", "overlap"))
+        return ways.join(people, "leader")
+
+    def ordered(x, y):
+        return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+
+    def members_compared(pairs):
+        ways = sides(pairs).where("set != leader").join(sizes.select(F.col("leader").alias("other"), F.col("size").alias("other_size")), "other")
+        return _compared(docs, ways.where(_may_link(percent, "overlap + out", "size", "other_size")).select(*ordered("set", "other")).distinct(), k)
+
+    closer = members_compared(undecided)
+    links = written(links.union(closer.where(won).select("a", "b")).distinct(), "links")
+    undecided = written(_apart(undecided, links), "undecided")
+    # what is common to two members is common to one of them and the other's leader, or the leader lacks it
+    near = closer.select("a", "b", F.col("overlap").alias("near"))
+    side = sides(undecided).select("*", *ordered("set", "other")).join(near, ["a", "b"], "left")
+    side = side.withColumn("near", F.when(F.col("set") == F.col("leader"), F.col("overlap")).otherwise(F.coalesce("near", F.col("overlap") + F.col("out"))))
+    x, y = side.alias("x"), side.alias("y")
+    both = x.join(y, F.expr("x.leader = y.other and x.other = y.leader and x.leader < y.leader"))
+    both = both.where(_may_link(percent, "least(x.near + y.out, y.near + x.out)", "x.size", "y.size"))
+    third = _compared(docs, both.select(*ordered("x.set", "y.set")).distinct(), k)
     return links.union(third.where(won).select("a", "b"))

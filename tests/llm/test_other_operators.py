@@ -147,6 +147,39 @@ def test_rates_meet_targets(spark, monkeypatch):
     assert np.abs(info["after"] - targets)[:2].max() < 0.05 * tokens.sum()
 
 
+@pytest.mark.parametrize("long", [20_000, 2_000_000])
+def test_rates_with_a_few_very_long_documents(spark, long):
+    """Registered settings; long documents are up to thousands of times the mean."""
+    rng = np.random.default_rng(3)
+    n = 4000
+    tokens = rng.integers(20, 400, n)
+    tokens[:4] = long
+    kind = rng.choice(3, n, p=[0.6, 0.37, 0.03])
+    kind[:4] = [0, 1, 0, 1]
+    posterior = np.full((n, 3), 0.01) + 0.97 * np.eye(3)[kind]
+    members = spark.createDataFrame([(i, int(t), p.tolist()) for i, (t, p) in enumerate(zip(tokens, posterior))], "doc_id long, tokens long, posterior array<double>").cache()
+    targets = np.array([0.7, 0.3, 0.0]) * tokens.sum()
+    found, info = rates(members, 3, targets)
+    got = np.array([r["rate"] for r in found.orderBy("doc_id").collect()])
+    from textlens.llm.mixing import STAY
+
+    # at the least, and only there, each rate is what the domains' errors make it
+    after = (got * tokens) @ posterior
+    assert np.allclose(after, info["after"], rtol=1e-9)
+    error = (after - targets) / np.maximum(tokens @ posterior, targets)
+    best = np.maximum(0, 1 - tokens / tokens.mean() * (posterior @ error) / STAY)
+    assert np.abs(got - best).max() < 1e-2 * max(1, got.max())
+    objective = lambda r: ((((r * tokens) @ posterior - targets) ** 2 / np.maximum(tokens @ posterior, targets)).sum() / tokens.sum() + STAY * ((r - 1) ** 2).mean()) / 2
+    assert objective(got) <= objective(np.ones(n)) and all(objective(np.maximum(0, got + e * rng.standard_normal(n))) >= objective(got) for e in (1e-3, 1e-2, 0.1))
+
+
+def test_rates_fail_rather_than_stop_short(spark, monkeypatch):
+    monkeypatch.setattr("textlens.llm.mixing.ROUNDS", 1)
+    members = spark.createDataFrame([(i, 10 + 1000 * (i == 0), [0.9, 0.1] if i % 3 else [0.2, 0.8]) for i in range(50)], "doc_id long, tokens long, posterior array<double>")
+    with pytest.raises(RuntimeError, match="rounds leave"):
+        rates(members, 2, np.array([1.0, 0.0]) * 1500)
+
+
 def test_mixture(spark, docs, no_docs):
     labels = spark.createDataFrame([(i, "a" if i % 2 else "b") for i in range(15)] + [(None, "a"), (3, None), (99, "b")], "doc_id long, kind string")
     found = mixture(spark, docs, labels, F.col("kind"), {"a": 1.0}).collect()

@@ -3,14 +3,17 @@
 A classifier fitted on a labelled table gives every document a probability for each domain. The
 document's tokens count for each domain by these, and every document gets a rate (how often it is
 drawn, 0 or more) so that the expected tokens of each domain meet their targets. The rates are the
-least-squares solution near given first rates, found by projected gradient: a round is one aggregate
-over all documents (expected tokens by domain, a number each), and the rate of a document after any
-number of rounds follows from its own row and the rounds' gradients, which are a few numbers each.
-So no table of rates is rewritten, and a lost executor costs only its share of one round.
+least-squares solution near given first rates. At the solution a document's rate follows from its own
+row and one price for each domain, so the prices are all that is searched for, by Newton's method on
+the dual: a round is one aggregate over all documents (expected tokens by domain, and how they change
+with the prices). Newton's method does not depend on the scale of the documents' lengths, and it goes
+on until the prices agree with the tokens they give. No table of rates is rewritten, and a lost
+executor costs only its share of one round.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +28,9 @@ from textlens.llm.hashing import word_hashes
 #: Features of the classifier (hashed words), and about how many labelled documents of each domain it is fitted on.
 FEATURES_LOG, DOCS_PER_DOMAIN = 16, 2000
 STEPS, RATE, DECAY, SEED = 60, 0.1, 3e-4, 3
-#: Rounds at most, and the least relative change of the objective that is worth another one.
-ROUNDS, ENOUGH = 40, 1e-4
+#: The rounds end when every domain's share of the tokens is within ENOUGH of itself of what its price
+#: stands for; without that after ROUNDS, the run fails.
+ROUNDS, ENOUGH = 200, 1e-6
 #: Weight of staying near the first rates against meeting the targets.
 STAY = 0.005
 SHARD_BYTES = 4 << 20
@@ -35,6 +39,8 @@ MOST_DOMAINS = 1000
 
 FEATURES = 1 << FEATURES_LOG
 
+log = logging.getLogger(__name__)
+
 
 @dataclass
 class Classifier:
@@ -140,20 +146,9 @@ def memberships(spark: SparkSession, docs: DataFrame, model: Classifier) -> Data
     return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("row")).mapInArrow(assign, f"doc_id {kind}, row long, tokens long, posterior array<double>")
 
 
-Round = tuple[np.ndarray, float]
-
-
-def followed(tokens: np.ndarray, posterior: np.ndarray, history: list[Round], step: float, mean: float) -> tuple[np.ndarray, np.ndarray]:
-    """Each document's rate and the place ahead of it after the rounds of ``history``, from 1: each a step
-    from the place ahead against the gradient, cut off at 0 (accelerated projected gradient). The
-    gradient is the document's tokens by domain times the round's errors, in units of the mean
-    document, plus the pull back to 1."""
-    rate = ahead = np.ones(len(tokens))
-    weight = tokens / mean
-    for error, momentum in history:
-        past, rate = rate, np.maximum(0, ahead - step * (weight * (posterior @ error) + STAY * (ahead - 1)))
-        ahead = rate + momentum * (rate - past)
-    return rate, ahead
+def priced(tokens: np.ndarray, posterior: np.ndarray, prices: np.ndarray) -> np.ndarray:
+    """Each document's rate: 1 less its tokens at the domains' prices, cut off at 0."""
+    return np.maximum(0, 1 - tokens * (posterior @ prices))
 
 
 def _columns(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,57 +157,83 @@ def _columns(batch: pa.RecordBatch, domains: int) -> tuple[np.ndarray, np.ndarra
 
 def rates(members: DataFrame, domains: int, targets: np.ndarray) -> tuple[DataFrame, dict]:
     """``members`` with each document's rate, and what was reached: tokens by domain before and after,
-    targets, rounds.
+    targets, rounds, and how far the prices are from agreeing with the tokens (at most ENOUGH).
 
     Least: half the squared errors of the domains' expected tokens against ``targets``, as shares of all
     tokens and each over the domain's own share (so that a small domain weighs as much), plus STAY / 2
     times the mean squared distance of the rates from 1. ``members`` is read once a round and should be a
-    written table.
+    written table. Raises if ROUNDS rounds do not reach the least.
     """
+    upper = np.triu_indices(domains)
 
-    def totals(history, step, mean):
-        """Sums over the documents: tokens by domain at the rates and at the places ahead, squared tokens
-        by domain, squared distance of the rates from 1, documents, tokens. A row for each batch, added up."""
+    def totals(prices):
+        """Sums over the documents at the prices: documents, tokens, squared rates, expected tokens by domain,
+        and products of the tokens by domain of documents with a rate (a matrix). A row for each task and sum."""
 
         def add(batches):
+            sums = np.zeros(3 + domains + len(upper[0]))
             for b in batches:
-                if b.num_rows:
-                    n, p = _columns(b, domains)
-                    rate, ahead = followed(n, p, history, step, mean)
-                    parts = [(rate * n) @ p, (ahead * n) @ p, ((n[:, None] / mean * p) ** 2).sum(0), [((rate - 1) ** 2).sum(), len(n), n.sum()]]
-                    yield rows({f"s{i}": pa.array([float(x)]) for i, x in enumerate(np.concatenate(parts))})
-
-        names = [f"s{i}" for i in range(3 * domains + 3)]
-        part = members.select("tokens", "posterior").mapInArrow(add, ", ".join(f"{c} double" for c in names))
-        s = np.array([x or 0.0 for x in part.agg(*[F.sum(c).alias(c) for c in names]).first()])
-        return s[:domains], s[domains : 2 * domains], s[2 * domains : 3 * domains], *s[3 * domains :]
-
-    first, _, _, _, n, all_tokens = totals([], 0.0, 1.0)
-    history, info = [], {"before": first, "after": first, "targets": targets, "rounds": 0}
+                n, p = _columns(b, domains)
+                rate, own = priced(n, p, prices), n[:, None] * p
+                some = own[rate > 0]
+                sums += np.concatenate([[len(n), n.sum(), rate @ rate], rate @ own, (some.T @ some)[upper]])
+            if sums[0]:
+                yield rows({"place": pa.array(np.arange(len(sums)), pa.int32()), "s": pa.array(sums)})
+
+        found = members.select("tokens", "posterior").mapInArrow(add, "place int, s double").groupBy("place").agg(F.sum("s").alias("s")).toArrow()
+        s = np.zeros(3 + domains + len(upper[0]))
+        s[found.column("place").to_numpy()] = found.column("s").to_numpy()
+        products = np.zeros((domains, domains))
+        products[upper] = s[3 + domains :]
+        return s[0], s[1], s[2], s[3 : 3 + domains], products + np.triu(products, 1).T
+
+    prices = np.zeros(domains)
+    n, all_tokens, squares, first, products = totals(prices)
+    info = {"before": first, "after": first, "targets": targets, "rounds": 0, "off": 0.0}
     if not all_tokens:
         return members.withColumn("rate", F.lit(1.0)), info
     mean = all_tokens / n
-    scale = np.maximum(np.maximum(first, targets) / all_tokens, 1e-3)
-    # the gradient's steepest slope is at most its trace
-    squares = totals([], 0.0, mean)[2]
-    step = 1.0 / ((squares / n / scale).sum() + STAY)
-    ahead, past, t = first, np.inf, 1.0
-    for _ in range(ROUNDS):
-        t, before = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
-        history.append(((ahead - targets) / all_tokens / scale, (before - 1) / t))
-        after, ahead, _, moved, _, _ = totals(history, step, mean)
-        value = (((after - targets) / all_tokens) ** 2 / scale).sum() / 2 + STAY / 2 * moved / n
-        if abs(past - value) <= ENOUGH * value:
-            break
-        past = value
+    own = np.maximum(first, targets) / all_tokens
+    own = np.where(own > 0, own, 1.0)  # a domain that no document can have
+    aim = targets / all_tokens
+
+    # prices are for the tokens of the mean document from here on
+    def state(squares, reached, products, x):
+        """Of the dual: value, gradient, curvature."""
+        reached = reached / all_tokens
+        gradient = STAY * own * x + aim - reached
+        off = np.abs(gradient) - 1e-13 * (STAY * own * np.abs(x) + aim + reached)  # less what sums are rounded by
+        return STAY / 2 * (own * x) @ x + aim @ x + squares / n / 2, gradient, np.diag(STAY * own) + products / n / mean**2, (off / own).max()
+
+    x = np.zeros(domains)
+    value, gradient, curvature, off = state(squares, first, products, x)
+    after, step, reach = first, None, 1.0
+    rounds = 0
+    while off > ENOUGH:
+        if rounds == ROUNDS:
+            raise RuntimeError(f"rates: {ROUNDS} rounds leave a domain's share {off:.3g} of itself from its least; tokens {after.tolist()}, targets {targets.tolist()}")
+        if step is None:
+            # scaled by the diagonal: domains may differ by many orders of magnitude
+            d = 1 / np.sqrt(np.diag(curvature))
+            step, reach = -d * np.linalg.solve(curvature * d[:, None] * d, d * gradient), 1.0
+        slope = gradient @ step
+        _, _, squares, tried, products = totals((x + reach * step) / mean)
+        rounds += 1
+        found = state(squares, tried, products, x + reach * step)
+        rise = found[0] - value
+        if rise <= 1e-4 * reach * slope + 1e-14 * (abs(value) + 1) or found[3] <= ENOUGH:
+            x, after, step = x + reach * step, tried, None
+            value, gradient, curvature, off = found
+        else:  # too far: the least of the parabola through both ends
+            reach *= min(0.5, max(0.1, -slope * reach / (2 * (rise - slope * reach))))
+    prices = x / mean
 
     def rated(batches):
         for b in batches:
-            rate, _ = followed(*_columns(b, domains), history, step, mean)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rate)], [*b.schema.names, "rate"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(priced(*_columns(b, domains), prices))], [*b.schema.names, "rate"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in members.schema)
-    return members.mapInArrow(rated, f"{fields}, rate double"), info | {"after": after, "rounds": len(history)}
+    return members.mapInArrow(rated, f"{fields}, rate double"), info | {"after": after, "rounds": rounds, "off": off}
 
 
 def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, domain: Column, weights: dict[str, float]) -> DataFrame:
@@ -231,7 +252,9 @@ def mixture(spark: SparkSession, docs: DataFrame, labels: DataFrame, domain: Col
     total = members.agg(F.sum("tokens")).first()[0] or 0
     share = np.array([max(weights.get(d, 0.0), 0.0) for d in model.domains])
     share = share / share.sum() if share.sum() else np.full(len(share), 1 / len(share))
-    members, _ = rates(members, len(model.domains), share * total)
+    members, info = rates(members, len(model.domains), share * total)
+    for d, *tokens in zip(model.domains, info["before"], info["after"], info["targets"]):
+        log.info("domain %r: %.0f tokens, %.0f expected at the rates, target %.0f", d, *tokens)
     best = F.array_position("posterior", F.array_max("posterior")).cast("int")
     return members.select(
         "doc_id",

@@ -301,3 +301,52 @@ def test_lm_model_is_a_causal_distribution():
     assert np.allclose(M.score(model, ids), one_by_one)
     prefix = M.score(model, [ids[1][:50]])[0] - M.score(model, [ids[1][:49]])[0]
     assert math.isfinite(prefix)
+
+
+def test_lm_training_and_pairs_grow_with_the_corpus():
+    """Windows by length, none past its text; turns and shards without an upper bound."""
+    import numpy as np
+
+    from textlens.llm import lm_score as M
+
+    small, large = M.plan(10**6), M.plan(10**12)
+    assert large[0] == M.EVERY and large[1] * large[2] * M.SHARD_WINDOWS >= 10**12 / 4 / M.EVERY > 100 * small[1] * small[2] * M.SHARD_WINDOWS
+    counts = [sum(len(M.windows_of(i, [1] * n, 64.0)[0]) for i in range(200)) for n in (20, 2000, 20_000)]
+    assert all(abs(c / (200 * (n + 1) / 64) - 1) < 0.25 for c, n in zip(counts, (20, 2000, 20_000)))
+    assert (M.windows_of(7, [5, 6], 0.05)[0] == np.array([-1, 5, 6, M.END, *[-1] * 32])[np.arange(33)]).all(1).any()
+    keys, sizes = M.pair_keys([[5, 6], [], [7]])
+    assert [(int(k) >> 16, int(k) & 0xFFFF) for k in keys] == [(M.VOCABULARY, 5), (5, 6), (6, M.END), (M.VOCABULARY, M.END), (M.VOCABULARY, 7), (7, M.END)]
+    assert sizes.tolist() == [3, 1, 2]
+
+
+def test_lm_pairs(spark, monkeypatch):
+    """After an id the ids of a class add up to one; rare pairs by shuffle give what the table gives; and a
+    pair that was seen is likelier than the same words the other way round."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from textlens.llm import lm_score as M
+
+    monkeypatch.setattr(M, "STEPS", 5)
+    path = tokenizer("byte_bpe_50k.tiktoken")
+    texts = ["red green blue white " * 30, "green red white blue", "red green blue white"] + [f"some words {i} of text {i * i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3).cache()
+    held = F.col("doc_id").isin(1, 2)
+    found = {}
+    for log in (20, 2):
+        monkeypatch.setattr(M, "FREQUENT_LOG", log)
+        found[log] = {r["doc_id"]: r["score"] for r in M.lm_scores(spark, df, path, held_out=held).collect()}
+    assert found[20].keys() == found[2].keys() and all(abs(found[20][i] - found[2][i]) < 1e-6 for i in found[2])
+    assert found[20][2] > found[20][1] + 1
+    docs = df.select("doc_id", "text", held.alias("held_out"))
+    pairs = M.summed(M.gathered(docs, path, 4, 8.0, 3).where("bucket >= 0"), "pairs")
+    n = Counter(int(w) for r in pairs.collect() for x in np.frombuffer(r["records"], M.WORD) for w in [x["word"]] * int(x["n"]))
+    assert n == Counter(int(k) for i, t in enumerate(texts) if i not in (1, 2) for k in M.pair_keys([M.subwords(path, t)])[0])
+    ids = M.subword_counts(pairs)
+    assert ids.sum() == sum(n.values()) and ids[M.END] == len(texts) - 2
+    classes, share = M.class_shares(ids)
+    unseen = M.unseen_loss(pairs, classes)
+    for before in (M.VOCABULARY, M.subwords(path, "red")[0], 40_000):
+        keys = (np.uint64(before) << np.uint64(16)) | np.arange(M.VOCABULARY, dtype=np.uint64)
+        p = 10 ** (share + M.seen_gain(np.array([n[int(k)] for k in keys]), keys, share) - unseen[before, classes])
+        assert np.allclose(np.bincount(classes, p, M.CLASSES), 1, atol=1e-5)

@@ -36,3 +36,16 @@ def test_split_has_no_window_over_a_whole_class(spark):
     for line in p.splitlines():
         if "Window [row_number()" in line:
             assert "_b" in line
+
+
+def test_learning_curve_reaches_the_last_line(spark):
+    """More lines than the 1,001 of the original's sizes: every line after the train share is tested."""
+    from textlens.plans.experiments import learning_curve
+
+    rows = [("labels", i, f"{'good fine' if i % 2 else 'bad poor'} word\t{i % 2}") for i in range(1200)]
+    lines = spark.createDataFrame(rows, "source string, line_no long, line string")
+    got = {(r["size"], r["stop_words"]): (r["correct"], r["total"]) for r in learning_curve(lines).collect()}
+    assert {s for s, _ in got} == {30 * j for j in range(1, 41)} and len(got) == 80
+    assert all(got[s, m][1] == s - s * 24 // 100 for s, m in got)
+    assert got[1200, False] == (912, 912)
+    assert learning_curve(lines.limit(0)).count() == 0

@@ -847,22 +847,37 @@ def q_line_split_as_coded(spark, sf):
 # ---------------------------------------------------------------- experiments (M7, M8)
 
 
-def _curve_sql() -> str:
+def _curve_sql(whole: bool = False) -> str:
+    """Sizes 25, 50, ..., 1000 of the as-coded line split, or ``whole``: fortieths of all lines, clean split."""
     from textlens.functions.stopwords import sql_list
 
+    sizes = "sz AS (SELECT CAST(j * 5 AS BIGINT) AS size, CAST(j * 5 * 24 // 100 AS BIGINT) AS t FROM range(5, 205, 5) r(j))"
+    samples = [
+        "te0 AS (SELECT g.size, g.m, g.t, g.s, lt2.line_no, lt2.class, "
+        "CASE WHEN lt2.line_no < g.t THEN lt2.line_no ELSE lt2.line_no - 1 END AS sample, "
+        "CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words FROM g JOIN lt2 ON lt2.line_no <> g.t)",
+        "te AS (SELECT te0.size, te0.m, te0.sample, te0.class, te0.words FROM te0, n "
+        "WHERE te0.sample < te0.s AND te0.sample < greatest(n.total - te0.t - 1, 0) AND len(te0.words) > 0)",
+    ]
+    if whole:
+        sizes = (
+            "sz AS (SELECT DISTINCT CAST(n.total * j // 40 AS BIGINT) AS size, CAST((n.total * j // 40) * 24 // 100 AS BIGINT) AS t "
+            "FROM n, range(1, 41) r(j))"
+        )
+        samples = [
+            "te AS (SELECT size, m, sample, class, words FROM (SELECT g.size, g.m, lt2.line_no AS sample, lt2.class, "
+            "CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words "
+            "FROM g JOIN lt2 ON lt2.line_no >= g.t AND lt2.line_no < g.size) WHERE len(words) > 0)"
+        ]
     return S.with_(
         S.line_ctes(),
         f"lt2 AS (SELECT line_no, class, words, list_filter(words, lambda w: NOT list_contains([{sql_list()}], w)) "
         "AS words_s FROM lt)",
-        "sz AS (SELECT CAST(j * 5 AS BIGINT) AS size, CAST(j * 5 * 24 // 100 AS BIGINT) AS t FROM range(5, 205, 5) r(j))",
+        sizes,
         "g AS (SELECT size, t, size - t AS s, m FROM sz, (SELECT 0 AS m UNION ALL SELECT 1) ms)",
         "tr AS (SELECT g.size, g.m, lt2.line_no, lt2.class, CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words "
         "FROM g JOIN lt2 ON lt2.line_no < g.t)",
-        "te0 AS (SELECT g.size, g.m, g.t, g.s, lt2.line_no, lt2.class, "
-        "CASE WHEN lt2.line_no < g.t THEN lt2.line_no ELSE lt2.line_no - 1 END AS sample, "
-        "CASE WHEN g.m = 1 THEN lt2.words_s ELSE lt2.words END AS words FROM g JOIN lt2 ON lt2.line_no <> g.t)",
-        "te AS (SELECT te0.size, te0.m, te0.sample, te0.class, te0.words FROM te0, n "
-        "WHERE te0.sample < te0.s AND te0.sample < greatest(n.total - te0.t - 1, 0) AND len(te0.words) > 0)",
+        *samples,
         "pri AS (SELECT size, m, class, count(*) AS n_docs FROM tr GROUP BY size, m, class)",
         "lk AS (SELECT size, m, class, word, count(*) AS cnt FROM (SELECT size, m, class, unnest(words) AS word FROM tr) "
         "GROUP BY size, m, class, word)",
@@ -893,6 +908,15 @@ def q_learning_curve(spark, sf):
     from textlens.plans.experiments import learning_curve
     from textlens.sources.corpus import labelled_lines
 
+    lc = learning_curve(labelled_lines(spark, sf), stopwords=True, train_perc=24, sizes=range(25, 1001, 25), mode="as_coded")
+    return lc.withColumn("accuracy", r6(F.col("accuracy")))
+
+
+@register("learning_curve_whole", _curve_sql(whole=True))
+def q_learning_curve_whole(spark, sf):
+    from textlens.plans.experiments import learning_curve
+    from textlens.sources.corpus import labelled_lines
+
     lc = learning_curve(labelled_lines(spark, sf), stopwords=True, train_perc=24)
     return lc.withColumn("accuracy", r6(F.col("accuracy")))
 

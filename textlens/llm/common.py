@@ -54,6 +54,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def table_of(spark: SparkSession, files: list[str], schema) -> DataFrame:
+    """Some of a table's files."""
+    return spark.read.schema(schema).parquet(*files)
+
+
 def binaries(column: pa.Array) -> list:
     """UTF-8 bytes of a string column, ``None`` for null; no decoding."""
     if pa.types.is_string(column.type):

@@ -130,3 +130,60 @@ def op8_mixing(spark, sf_dir):
     from textlens.llm.mixing import mixture
 
     return mixture(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), label_domain(), MIX)
+
+
+@query
+def op11_exact_dedup(spark, sf_dir):
+    from textlens.llm.exact_dedup import exact_duplicates
+
+    return exact_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), g AS (
+  SELECT doc_id, t, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size FROM d
+)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256 FROM g
+"""
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    from textlens.llm.spelling import spelling_variants
+
+    return spelling_variants(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_lexical_search(spark, sf_dir):
+    from textlens.llm.lexical_search import lexical_search
+
+    return lexical_search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_lexical_search"] = """
+WITH terms AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term FROM documents
+), tf AS (
+  SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id
+), whole AS (
+  SELECT count(*) AS big_n, sum(n)::BIGINT AS big_l FROM sizes
+), asked AS (
+  SELECT item_id, term, count(*) AS k FROM (
+    SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')) AS term FROM benchmark
+  ) GROUP BY ALL
+), weights AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, whole WHERE term IN (SELECT term FROM asked) GROUP BY term, big_n
+), scored AS (
+  SELECT item_id, doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * big_n) // big_l))))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""

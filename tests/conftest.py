@@ -26,6 +26,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"

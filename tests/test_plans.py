@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF001
+from paths import SF001
 from textlens.plans import queries as Q
 
 

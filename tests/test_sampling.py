@@ -4,14 +4,14 @@ import random
 
 from pyspark.sql import functions as F
 
-from textlens.operators.sampling import line_split, preferred_fallback, quotas, random_split, rank_within, split_by_ratio
+from textlens.operators.sampling import line_split, preferred_fallback, quotas, random_split, rank_within, split_by_ratio, split_in_place, splitters
 
 
 def test_rank_within_many_buckets_and_skew(spark):
     rnd = random.Random(3)
     rows = [(i, "hot" if rnd.random() < 0.6 else f"c{rnd.randrange(4)}") for i in rnd.sample(range(100000), 3000)]
     df = spark.createDataFrame(rows, "doc_id long, class string")
-    got = {r["doc_id"]: r["rn"] for r in rank_within(df, "class", ["doc_id"], bucket_bits=4).collect()}
+    got = {r["doc_id"]: r["rn"] for r in rank_within(df, "class", ["doc_id"], bucket_rows=20).collect()}
     by_class = {}
     for d, c in rows:
         by_class.setdefault(c, []).append(d)
@@ -22,7 +22,7 @@ def test_rank_within_many_buckets_and_skew(spark):
 
 def test_rank_within_is_stable_across_evaluations(spark):
     df = spark.range(0, 5000).select(F.col("id").alias("doc_id"), (F.col("id") % 3).cast("string").alias("class"))
-    r = rank_within(df, "class", ["doc_id"], bucket_bits=6)
+    r = rank_within(df, "class", ["doc_id"], bucket_rows=50)
     a = sorted(map(tuple, r.collect()))
     b = sorted(map(tuple, r.collect()))
     assert a == b
@@ -98,3 +98,45 @@ def test_cap_is_optional(spark):
     df = spark.createDataFrame([(i, "a" if i < 30 else "b") for i in range(80)], "doc_id long, class string")
     assert {r["quota"] for r in quotas(df, balanced=True).collect()} == {30}
     assert {r["quota"] for r in quotas(df, balanced=True, cap=20).collect()} == {20}
+
+
+def _largest_bucket(df, order, bucket_rows):
+    """Rows of the largest bucket, and how many buckets there are."""
+    from textlens.operators.sampling import _bucket, _key
+
+    cuts = splitters(df, ["class"], order, bucket_rows).select("class", "cuts")
+    sizes = df.join(cuts, "class").groupBy("class", _bucket(F.col("cuts"), _key(order)).alias("b")).count().collect()
+    return max(r["count"] for r in sizes), len(sizes)
+
+
+def test_buckets_of_any_keys(spark):
+    """Names with one common prefix, a far outlier, and a first column that does not tell rows apart."""
+    ids = spark.range(20_000).select(F.lit("a").alias("class"), F.col("id"))
+    names = ids.select("class", F.format_string("message-%010d", "id").alias("doc_id"))
+    far = ids.select("class", "id").union(spark.createDataFrame([("a", 2**62)], "class string, id long")).withColumnRenamed("id", "doc_id")
+    same = ids.select("class", F.lit(7).alias("x"), F.col("id").alias("doc_id"))
+    for df, order in ((names, ["doc_id"]), (far, ["doc_id"]), (same, ["x", "doc_id"])):
+        largest, n = _largest_bucket(df, order, 200)
+        assert 50 < n < 200 and largest < 3000
+        ranks = {r["doc_id"]: r["rn"] for r in rank_within(df, "class", order, bucket_rows=200).collect()}
+        assert [ranks[d] for d in sorted(ranks)] == list(range(1, len(ranks) + 1))
+
+
+def _splits(df):
+    return sorted(((r["class"], r["doc_id"], r["split"]) for r in df.collect()), key=repr)
+
+
+def test_split_in_place_is_the_ranked_split(spark):
+    rows = [(i, ["a", "b", None][i % 3]) for i in range(1, 900)] + [(5000, "one")]
+    df = spark.createDataFrame(rows, "doc_id long, class string").repartition(3)
+    for options in ({}, {"pick_pct": 40, "ratio": 60}, {"balanced": True}, {"shuffle_seed": 3}, {"pick_pct": 1}, {"ratio": 0}, {"balanced": True, "cap": 20, "shuffle_seed": 9}):
+        ranked = split_by_ratio(df, **options)
+        assert _splits(split_in_place(df, **options)) == _splits(ranked)
+    assert {r["class"] for r in split_by_ratio(df).collect()} == {"a", "b", None, "one"}  # null is a class too
+    assert split_in_place(df.limit(0)).count() == 0
+
+
+def test_split_in_place_with_equal_keys_on_a_cut(spark):
+    df = spark.createDataFrame([(1, "a")] * 6 + [(2, "a")] * 6, "doc_id long, class string")
+    got = split_in_place(df, ratio=25).groupBy("split", "doc_id").count().collect()
+    assert sorted(map(tuple, got)) == [("test", 1, 3), ("test", 2, 6), ("train", 1, 3)]

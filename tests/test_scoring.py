@@ -113,7 +113,7 @@ def test_one_word_document_as_coded(spark):
 
 @pytest.mark.parametrize("mode", [FLOOR, ADDONE])
 def test_sparse_sum_equals_dense(spark, mode):
-    from conftest import SF01
+    from paths import SF01
     from textlens.operators.scoring import score_sparse
     from textlens.plans.classify import prepare
     from textlens.sources.corpus import documents_corpus

@@ -53,3 +53,32 @@ def test_plain_class_folders_train_and_score(spark, tmp_path):
     report = {r["class"]: r for r in run.report().collect()}
     assert report["revs-yelp 1"]["recall"] == report["a+b 50%"]["recall"] == 1
     run.release()
+
+
+def test_line_numbers_do_not_depend_on_the_split_size(spark, tmp_path):
+    """Three files, blank lines included, cut into few and into many byte ranges."""
+    want = {}
+    for f, name in enumerate(("yelp_labelled.txt", "imdb labelled+.txt", "amazon_cells_labelled.txt")):
+        lines = ["" if i % 7 == 3 else f"line {i} of {name} " + "x" * (i * 37 % 90) for i in range(400 + 50 * f)]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        want |= {(name, i): t for i, t in enumerate(lines)}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "1k", "300b"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = text_lines(spark, str(tmp_path)).collect()
+            assert len(got) == len(want) and {(r["source"], r["line_no"]): r["line"] for r in got} == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_written_in_parts(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from textlens.sources.corpus import write_lines
+
+    lines = spark.range(1000).select(F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("source"), F.expr("id div 2").alias("line_no"))
+    lines = lines.withColumn("line", F.when(F.col("line_no") % 5 == 0, "").otherwise(F.concat_ws(" ", "source", "line_no")))
+    write_lines(lines, str(tmp_path / "out"))
+    got = text_lines(spark, str(tmp_path / "out" / "*"), parts=True)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, lines.collect()))

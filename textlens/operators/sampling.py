@@ -2,30 +2,36 @@
 
 The per-class "take the first n" of the original is a rank within a class.
 A window ``partitionBy(class)`` would put a whole class into one task, and a
-class may hold a third of all rows, so ``rank_within`` ranks in buckets of the
-ordering key instead: the high bits of the (integral) first ordering column
-cut every class into buckets of at most ``2**bucket_bits`` keys, a small table
-of bucket sizes gives each bucket its offset (a running sum over the buckets
-of a class), and a ``row_number`` inside (class, bucket) adds the rest.
-Everything is a deterministic function of the data, so a recomputed task
-(after an executor loss) gets the same ranks.
+class may hold a third of all rows, so ``rank_within`` cuts every class into
+buckets of neighbouring keys: a summary of the keys gives each class its
+splitters (saved as a table), a row finds its bucket by binary search among
+them, a small table of bucket sizes gives each bucket its offset (a running sum
+over the buckets of a class), and a ``row_number`` inside (class, bucket) adds
+the rest. The splitters are keys that occur, chosen by their hash, so buckets
+hold about equally many rows whatever the keys look like: names with a common
+prefix, sparse ids and far outliers spread as dense ids do. Everything is a
+deterministic function of the data, so a recomputed task (after an executor
+loss) gets the same ranks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+
+from textlens.session import saved
 
 TRAIN = "train"
 TEST = "test"
 
 
-MAX_BUCKETS_BITS = 20  # at most ~2**20 buckets per class in the offset table
-SHUFFLE_BITS = 52  # bits of a seeded order value: exact as a double
+#: About so many splitters at most over all groups: they are broadcast to the rows.
+MAX_SPLITTERS = 1 << 18
+#: Buckets need not be smaller than about so many rows.
+BUCKET_ROWS = 1 << 12
 
-# names are bucketed by their first bytes, read as one number: this keeps their order
-NAME_BYTES = 7
+MAX_BUCKETS_BITS = 20  # a seeded order has at most 2**20 buckets per class in the offset table
+SHUFFLE_BITS = 52  # bits of a seeded order value: exact as a double
 
 
 def seeded_order(seed: int, *cols) -> Column:
@@ -35,45 +41,71 @@ def seeded_order(seed: int, *cols) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, SHUFFLE_BITS // 4), 16, 10).cast("long")
 
 
-def _bucket_key(df: DataFrame, col: str) -> Column:
-    if not isinstance(df.schema[col].dataType, StringType):
-        return F.col(col).cast("long")
-    head = F.rpad(F.hex(F.substring(F.col(col).cast("binary"), 1, NAME_BYTES)), 2 * NAME_BYTES, "0")
-    return F.conv(head, 16, 10).cast("long")
+def _same(df: DataFrame, cols, other: str) -> Column:
+    """Null-safe equality of ``cols`` with the columns ``other0``, ``other1``, ..."""
+    same = F.lit(True)
+    for i, c in enumerate(cols):
+        same = same & df[c].eqNullSafe(F.col(f"{other}{i}"))
+    return same
+
+
+def _key(order_cols) -> Column:
+    """The ordering columns as one comparable value (nulls first)."""
+    return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+
+
+def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = None) -> DataFrame:
+    """``(..part_cols, cuts)``: for each group with more than about ``bucket_rows`` rows the sorted keys
+    that cut it into buckets of about that size, saved in the shared folder.
+
+    A key is a splitter by its hash, one in ``bucket_rows`` of them; more than ``MAX_SPLITTERS`` over all
+    groups are not expected, as the buckets grow with the table.
+    """
+    if bucket_rows is None:
+        bucket_rows = max(BUCKET_ROWS, df.count() // MAX_SPLITTERS)
+    chosen = df.where(F.pmod(F.xxhash64(*order_cols, *part_cols), F.lit(int(bucket_rows))) == 0)
+    keys = chosen.select(*part_cols, _key(order_cols).alias("key"))
+    cuts = keys.groupBy(*part_cols).agg(F.sort_array(F.collect_set("key")).alias("cuts"))
+    return saved(cuts.withColumn("zero", F.lit(0)), "splitters")
+
 
+def _bucket(cuts: Column, key: Column) -> Column:
+    """How many of the sorted ``cuts`` are at most ``key``, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in range(MAX_SPLITTERS.bit_length() + 1, -1, -1)])
 
-def bucket_bits_for(df: DataFrame, col: str) -> int:
-    """Bucket width from the key's range (one min/max aggregate): at most about
-    ``2**20`` buckets per class whatever the density of the ids."""
-    key = _bucket_key(df, col)
-    r = df.agg(F.min(key).alias("lo"), F.max(key).alias("hi")).first()
-    if r["lo"] is None:
-        return 0
-    span = int(r["hi"]) - int(r["lo"]) + 1
-    return max(0, span.bit_length() - MAX_BUCKETS_BITS)
+    def step(at, n):
+        here = at + n
+        return F.when((here <= F.size(cuts)) & (F.get(cuts, here - 1) <= key), here).otherwise(at)
 
+    return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
 
-def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None) -> DataFrame:
+
+def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None, bucket_rows: int | None = None) -> DataFrame:
     """Adds ``rn`` (1-based) = rank of each row inside its ``part_cols`` group by ``order_cols``.
 
-    The first ordering column is integral (an id, a hash, a line number) or a
-    string (a file name, ordered by its bytes); the following ones break ties.
-    Exact; rows with a null group or key are ranked too (nulls first).
-    ``bucket_bits=None`` sizes the buckets from the key's range.
+    The ordering columns are of any type that Spark orders (strings by their bytes, nulls first); the
+    following ones break ties of the first. Exact; rows with a null group or key are ranked too.
+    ``bucket_bits`` cuts a first column of integers that are spread evenly over their range (a seeded
+    order) by its high bits instead of looking for splitters.
     """
     part_cols = [part_cols] if isinstance(part_cols, str) else list(part_cols)
     order_cols = list(order_cols)
-    if bucket_bits is None:
-        bucket_bits = bucket_bits_for(df, order_cols[0])
-    x = df.withColumn("_b", F.shiftright(_bucket_key(df, order_cols[0]), int(bucket_bits)))
+    if bucket_bits is not None:
+        x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
+    else:
+        cuts = splitters(df, part_cols, order_cols, bucket_rows)
+        cuts = cuts.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(part_cols)], F.col("cuts").alias("_cuts"), F.col("zero").alias("_zero"))
+        # about MAX_SPLITTERS keys in all; the zero keeps this a hash join where all rows are one constant group
+        same = _same(df, part_cols, "_s") & (F.pmod(F.hash(*order_cols), F.lit(1)) == F.col("_zero"))
+        x = df.join(F.broadcast(cuts), same, "left")
+        x = x.withColumn("_b", _bucket(F.col("_cuts"), _key(order_cols))).drop("_cuts", "_zero", *[f"_s{i}" for i in range(len(part_cols))])
     sizes = x.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*part_cols).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*part_cols, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     inside = Window.partitionBy(*part_cols, "_b").orderBy(*order_cols)
     keys = [*part_cols, "_b"]
     offsets = offsets.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(keys)], "_off")
-    same = [x[c].eqNullSafe(F.col(f"_o{i}")) for i, c in enumerate(keys)]
-    out = x.join(offsets, same).withColumn("rn", F.col("_off") + F.row_number().over(inside))
+    out = x.join(offsets, _same(x, keys, "_o")).withColumn("rn", F.col("_off") + F.row_number().over(inside))
     return out.drop("_b", "_off", *[f"_o{i}" for i in range(len(keys))])
 
 
@@ -113,17 +145,61 @@ def split_by_ratio(
     and doc id (repeatable shuffle). ``cap`` bounds balanced quotas. Adds ``rn`` (1-based), ``quota`` and ``split``.
     Docs past the quota are dropped: they are not part of the sample.
     """
-    q = F.broadcast(quotas(corpus, pick_pct, balanced, cap))  # one row for each class
+    q = quotas(corpus, pick_pct, balanced, cap)
+    order, bits = list(order_cols), None
+    if shuffle_seed is not None:
+        corpus = corpus.withColumn("_ord", seeded_order(shuffle_seed, "class", "doc_id"))
+        order, bits = ["_ord", *order], SHUFFLE_BITS - MAX_BUCKETS_BITS
+    split = _ranked_split(corpus, q, ratio, order, bits)
+    return split.drop("_ord") if shuffle_seed is not None else split
+
+
+def _quota_of(ranked: DataFrame, q: DataFrame, ratio: int) -> DataFrame:
+    """``ranked`` with its class's ``quota`` and number of train rows ``_train`` (null classes too)."""
+    q = F.broadcast(q.select(F.col("class").alias("_q0"), "quota", F.expr(f"{int(ratio)} * quota div 100").alias("_train")))  # a row a class
+    return ranked.join(q, _same(ranked, ["class"], "_q")).drop("_q0")
+
+
+def _ranked_split(corpus: DataFrame, q: DataFrame, ratio: int, order, bits: int | None) -> DataFrame:
+    out = _quota_of(rank_within(corpus, "class", order, bucket_bits=bits), q, ratio).where(F.col("rn") <= F.col("quota"))
+    return out.withColumn("split", F.when(F.col("rn") <= F.col("_train"), F.lit(TRAIN)).otherwise(F.lit(TEST))).drop("_train")
+
+
+def split_in_place(
+    corpus: DataFrame,
+    pick_pct: int = 100,
+    ratio: int = 75,
+    balanced: bool = False,
+    shuffle_seed: int | None = None,
+    order_cols=("doc_id",),
+    cap: int | None = None,
+) -> DataFrame:
+    """The ``split`` of ``split_by_ratio``, without ranks: only the ordering keys are ranked, and each
+    class's last train key and last key of the quota (a row a class) are broadcast to the rows, which
+    compare their own. No text is shuffled. Where rows with equal keys lie on both sides of a cut, only
+    ranks can tell them apart, and the rows are ranked.
+    """
+    q = saved(quotas(corpus, pick_pct, balanced, cap), "quotas")
+    order, bits = list(order_cols), None
     if shuffle_seed is not None:
         corpus = corpus.withColumn("_ord", seeded_order(shuffle_seed, "class", "doc_id"))
-        order = ["_ord", *order_cols]
+        order, bits = ["_ord", *order], SHUFFLE_BITS - MAX_BUCKETS_BITS
+    ranked = _quota_of(rank_within(corpus.select("class", *order), "class", order, bucket_bits=bits), q, ratio)
+
+    def at(rank):
+        return F.max(F.when(F.col("rn") == rank, _key(order)))
+
+    cuts = ranked.groupBy("class").agg(
+        at(F.col("_train")).alias("_last"), at(F.col("_train") + 1).alias("_then"), at(F.col("quota")).alias("_end"), at(F.col("quota") + 1).alias("_past")
+    )
+    cuts = saved(cuts, "cuts")
+    if not cuts.where((F.col("_last") == F.col("_then")) | (F.col("_end") == F.col("_past"))).isEmpty():
+        out = _ranked_split(corpus, q, ratio, order, bits).drop("rn", "quota")
     else:
-        order = list(order_cols)
-    # seeded orders spread over their whole range: no need to look for it
-    ranked = rank_within(corpus, "class", order, bucket_bits=SHUFFLE_BITS - MAX_BUCKETS_BITS if shuffle_seed is not None else None)
-    out = ranked.join(q.select("class", "quota"), "class").where(F.col("rn") <= F.col("quota"))
-    train_n = F.expr(f"{int(ratio)} * quota div 100")
-    out = out.withColumn("split", F.when(F.col("rn") <= train_n, F.lit(TRAIN)).otherwise(F.lit(TEST)))
+        cuts = cuts.select(F.col("class").alias("_c0"), "_last", "_end")
+        out = corpus.join(F.broadcast(cuts), _same(corpus, ["class"], "_c"))
+        out = out.withColumn("split", F.when(_key(order) <= F.col("_last"), F.lit(TRAIN)).when(_key(order) <= F.col("_end"), F.lit(TEST)))
+        out = out.where(F.col("split").isNotNull()).drop("_c0", "_last", "_end")
     return out.drop("_ord") if shuffle_seed is not None else out
 
 

@@ -35,6 +35,7 @@ MODES = (FLOOR, ADDONE, ADDONE_AS_CODED, PRODUCT)
 DEFAULT_REJECT = -1e6  # start of the arg-max in the web app and notebook
 FIXED_FLOOR = 1e-8  # batch runner floor
 FIXED_FLOOR_REJECT = -1e7  # batch runner start of the arg-max
+SMALLEST = -1074  # the smallest positive double is two to this power
 
 
 def _header_structs(header):
@@ -168,20 +169,6 @@ def score(
     return scored.withColumn("pred", argmax(F.col("scores"), [c for c, _, _ in header], reject)).drop("wcnt")
 
 
-def score_floors(test_docs: DataFrame, model: Model, header, exponents, reject: float = DEFAULT_REJECT) -> DataFrame:
-    """C1 at several floors ``1 / 10**v`` in one job (the zero-fix slider, T15).
-
-    The count vectors are built once; each doc row is repeated per exponent
-    and scored with the floor taken from that row. Adds ``v``, ``scores``, ``pred``.
-    """
-    hdr = _header_array(header)
-    wc = with_word_counts(test_docs, model, header, ("class",), with_words=False)
-    wc = wc.withColumn("v", F.explode(F.array(*[F.lit(float(v)) for v in exponents])))
-    z = F.lit(1.0) / F.pow(F.lit(10.0), F.col("v"))
-    scored = wc.withColumn("scores", F.transform(hdr, total(FLOOR, z)))
-    return scored.withColumn("pred", argmax(F.col("scores"), [c for c, _, _ in header], reject)).drop("wcnt")
-
-
 def scores_long(scored: DataFrame, header, keep=("doc_id", "class", "pred")) -> DataFrame:
     """``(.., cand, cand_order, score)``: one row per doc and candidate."""
     names = F.array(*[F.lit(c) for c, _, _ in header])

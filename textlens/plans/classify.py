@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from textlens.operators import evaluate as ev
 from textlens.operators.model import Model, test_token_lists, tokenize, train
-from textlens.operators.sampling import split_by_ratio
-from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR, score, score_sparse
+from textlens.operators.sampling import split_in_place
+from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR, score
+from textlens.operators.sums import score_sums
 
 
 @dataclass
@@ -52,8 +53,19 @@ def prepare(
     order_cols=("doc_id",),
 ) -> DataFrame:
     """Sample + split (P2-P6) then tokenise (T1-T5, T9): ``(doc_id, class, split, words, ..)``."""
-    split = split_by_ratio(corpus, pick_pct, ratio, balanced, shuffle_seed, order_cols)
-    return tokenize(split.select("doc_id", "class", "split", "text", "rn"), stopwords).drop("text")
+    split = split_in_place(spread(corpus), pick_pct, ratio, balanced, shuffle_seed, order_cols)
+    return tokenize(split.select("doc_id", "class", "split", "text"), stopwords).drop("text")
+
+
+#: A corpus of less text than this for each core is dealt over the cores.
+SMALL_BYTES = 32 << 20
+
+
+def spread(corpus: DataFrame) -> DataFrame:
+    """A small corpus (by the optimizer's estimate) over all cores; a large one as its files lie."""
+    cores = corpus.sparkSession.sparkContext.defaultParallelism
+    size = int(corpus._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return corpus.repartition(cores, "class", "doc_id") if size < cores * SMALL_BYTES else corpus
 
 
 def classify(
@@ -68,14 +80,14 @@ def classify(
     shuffle_seed: int | None = None,
     stopwords=None,
     order_cols=("doc_id",),
-    exact: bool = True,
+    ordered: bool = False,
 ) -> Run:
     """Train on the train split and score the test split.
 
     With ``classes`` the model and the test set are restricted to those
     classes, in that order (P9, as the web app does before scoring).
-    ``exact=False`` uses the sum form (``score_sparse``) for the floored and
-    add-one scores: less data moved, sums equal up to rounding.
+    Scores are order-free sums (``sums.score_sums``); ``ordered=True`` folds each
+    document's words in their order instead (``scoring.score``).
     """
     docs = prepare(corpus, pick_pct, ratio, balanced, shuffle_seed, stopwords, order_cols)
     if classes is not None:
@@ -83,18 +95,15 @@ def classify(
     # the split and tokenised corpus feeds both training and the test set: cache it once
     docs = docs.persist(StorageLevel.MEMORY_AND_DISK)
     model = train(docs).persist()
-    run = classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes, exact)
+    run = classify_with(model, test_token_lists(docs), mode, zero_fix, reject, classes, ordered)
     run.cached.append(docs)
     return run
 
 
 def classify_with(
-    model: Model, test: DataFrame, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, classes=None, exact=True
+    model: Model, test: DataFrame, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, classes=None, ordered=False
 ) -> Run:
     """Score an existing test set against an existing model."""
     header = model.header(classes)
-    if exact:
-        scored = score(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
-    else:
-        scored = score_sparse(test, model, header, mode=mode, zero_fix=zero_fix, reject=reject)
+    scored = (score if ordered else score_sums)(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
     return Run(model, test, scored, header)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -54,13 +55,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="textlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def saved(df, name: str):
+    """``df`` as a table in the shared folder: computed once, and it outlives lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/textlens-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -6,10 +6,14 @@ A *corpus* is a DataFrame ``(doc_id, class, text)`` plus any ordering columns.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from textlens.functions.text import WHITESPACE_JAVA
+from textlens.session import saved
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -52,6 +56,13 @@ def conversations_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def decoded(part: Column, times: int = 1) -> Column:
+    """A part of a file's path without URL escapes; the decoder would turn a plus into a space."""
+    for _ in range(times):
+        part = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
+    return part
+
+
 def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``<root>/<class>/<sample>`` text files, whole text per file.
 
@@ -63,11 +74,7 @@ def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) ->
     path = F.col("_metadata.file_path")
 
     def name(pattern, times=1):
-        """A part of the path without URL escapes; the decoder would turn a plus into a space."""
-        part = F.regexp_extract(path, pattern, 1)
-        for _ in range(times):
-            part = F.url_decode(F.replace(part, F.lit("+"), F.lit("%2B")))
-        return part
+        return decoded(F.regexp_extract(path, pattern, 1), times)
 
     if partitioned:
         raw = spark.read.text(root.rstrip("/") + "/*/*/*", wholetext=True)
@@ -100,21 +107,59 @@ def folder_target(corpus: DataFrame) -> DataFrame:
     return idx.fit(corpus).transform(corpus)
 
 
-def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S2 input: lines of text files as ``(source, line_no, line)``.
+#: Byte ranges of text files whose line counts are broadcast; more are joined by a shuffle.
+BROADCAST_RANGES = 250_000
 
-    ``line_no`` is the 0-based line index within its file; it is assigned with
-    the distributed rank (no single-partition window).
-    """
-    from textlens.operators.sampling import rank_within
 
-    raw = spark.read.text(path).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)$", 1).alias("source"),
-        F.monotonically_increasing_id().alias("_mid"),
-        F.col("value").alias("line"),
+def text_lines(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """S2 input: lines of text files as ``(source, line_no, line)``, blank lines included.
+
+    ``line_no`` is the 0-based line index within its file, ``source`` the file's name. With ``parts`` a
+    source is a folder of part files, in the order of their names, as Spark writes a large file.
+
+    Spark's reader cuts files into byte ranges and reads each in order. A line is numbered inside its range
+    as it is read, and a running sum of the ranges' line counts, by file and range start, gives the range its
+    first number. So the numbers do not depend on how the files were split or where a range was read, and
+    no line is shuffled or sorted.
+    """
+    file, start = F.col("_metadata.file_path"), F.col("_metadata.file_block_start")
+    raw = spark.read.text(path)
+    ranges = saved(raw.groupBy(file.alias("file"), start.alias("start")).agg(F.count(F.lit(1)).alias("n")), "line-ranges")
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, n = None, 0
+        for b in batches:
+            files, starts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            at = []
+            for here in zip(files, starts):
+                if here != now:
+                    now, n = here, 0
+                at.append(n)
+                n += 1
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(at, pa.int64()), b.column(2)], ["file", "start", "at", "line"])
+
+    numbered = raw.select(file.alias("file"), start.alias("start"), F.col("value").alias("line")).mapInArrow(
+        number, "file string, start long, at long, line string"
     )
-    ranked = rank_within(raw, "source", ["_mid"])
-    return ranked.select("source", (F.col("rn") - 1).alias("line_no"), "line")
+    source = F.regexp_extract("file", r"([^/]+)/[^/]+$" if parts else r"([^/]+)$", 1)
+    whole = F.regexp_extract("file", r"^(.*)/[^/]+$", 1) if parts else F.col("file")
+    # ranges of a file: one for each ``spark.sql.files.maxPartitionBytes`` of it
+    before = Window.partitionBy("whole").orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranges.withColumn("whole", whole).withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    first = first.select("file", "start", "first")
+    if ranges.count() <= BROADCAST_RANGES:
+        first = F.broadcast(first)
+    return numbered.join(first, ["file", "start"]).select(
+        decoded(source).alias("source"), (F.col("first") + F.col("at")).alias("line_no"), "line"
+    )
+
+
+def write_lines(lines: DataFrame, root: str) -> None:
+    """Write ``(source, line_no, line)`` as ``<root>/<source>/part-*``: the lines of a source run through its
+    part files in the order of their names."""
+    for r in lines.select("source").distinct().toLocalIterator():  # one name for each file
+        mine = lines.where(F.col("source") == r["source"]).repartitionByRange("line_no").sortWithinPartitions("line_no")
+        mine.select("line").write.text(f"{root.rstrip('/')}/{r['source']}")
 
 
 def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

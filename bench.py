@@ -29,7 +29,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_spark(f"local[{cpus}]", int(cpus))
 
-    from textlens.operators.explain import position_terms, running_score, top_words, word_trace, word_uniqueness
+    from textlens.operators.explain import running_score, sample_words, token_terms, top_words, word_trace, word_uniqueness
     from textlens.operators.model import train
     from textlens.operators.scoring import FIXED_FLOOR, FIXED_FLOOR_REJECT, FLOOR
     from textlens.plans import params as P
@@ -53,11 +53,14 @@ def main():
 
     def three_class():
         run = classify(documents_corpus(spark, target["dir"], "lang"), FLOOR, FIXED_FLOOR, classes=list(P.CHOSEN))
-        return run, position_terms(run.test, run.model, run.header, FLOOR, FIXED_FLOOR)
+        return run
+
+    def tokens(run):
+        return token_terms(run.test, run.model, run.header, FLOOR, FIXED_FLOOR)
 
     def q_full_trace():
-        run, pt = three_class()
-        run_noop(word_trace(pt, run.header))
+        run = three_class()
+        run_noop(word_trace(tokens(run), run.header))
         run.release()
 
     def q_top_words():
@@ -65,13 +68,13 @@ def main():
         top_words(m, P.CHOSEN, P.PREFERRED, n=P.TOP_N).collect()
 
     def q_running_score():
-        run, pt = three_class()
-        run_noop(running_score(pt, len(P.CHOSEN), P.CHUNK))
+        run = three_class()
+        run_noop(running_score(tokens(run), len(P.CHOSEN), P.CHUNK))
         run.release()
 
     def q_word_uniqueness():
-        run, pt = three_class()
-        run_noop(word_uniqueness(pt, run.header))
+        run = three_class()
+        run_noop(word_uniqueness(sample_words(run.test, run.model, run.header, FLOOR, FIXED_FLOOR), run.header))
         run.release()
 
     plan = [

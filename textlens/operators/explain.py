@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from textlens.functions.text import numbered_word, rebuild_text, sample_label, word_slice, word_with_count
 from textlens.operators.model import Model
-from textlens.operators.scoring import FIXED_FLOOR, FLOOR, _header_structs, term, total, with_word_counts
+from textlens.operators.scoring import FIXED_FLOOR, FLOOR, _header_structs, term, total, with_word_counts, word_vectors
+from textlens.operators.sums import hot_words
 
 # Fixed values of the original percent map and axis.
 THIRD = 33.33  # percent share of one of three candidates
@@ -87,13 +88,47 @@ def _full_range(start, end):
 SAMPLE = ("class", "doc_id")
 
 
+def _counted(tokens: DataFrame, model: Model, header, mode: str, zero_fix: float) -> DataFrame:
+    """``tokens`` (.., word) with ``v ARRAY<DOUBLE>``, the word's term for each candidate. Frequent words meet a
+    broadcast table of bounded size, the others a join on the word."""
+    vectors = word_vectors(model, header)
+    hot = F.broadcast(hot_words(model.likelihood.select("word", F.col("cnt").alias("n")), sum(n for _, _, n in header), len(header)))
+    frequent = tokens.join(F.broadcast(vectors.join(hot, "word", "left_semi")), "word")
+    rare = tokens.join(hot, "word", "left_anti").join(vectors.join(hot, "word", "left_anti"), "word", "left")
+    t = term(mode, zero_fix)
+    v = F.array(*[t(h, F.col("cnts")) for h in _header_structs(header)])
+    return frequent.unionByName(rare).withColumn("v", v).drop("cnts")
+
+
+def token_terms(test_docs: DataFrame, model: Model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR) -> DataFrame:
+    """C7 as token rows: ``(class, doc_id, pos, word, v)``, a row for each token. ``word_trace``, ``word_coords``,
+    ``running_score`` and ``reset_points`` take it where they take ``position_terms``, and gather no document."""
+    return _counted(test_docs.select(*SAMPLE, F.posexplode("words").alias("pos", "word")), model, header, mode, zero_fix)
+
+
+def sample_words(test_docs: DataFrame, model: Model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR) -> DataFrame:
+    """``(class, doc_id, word, count, v)``: each distinct word of a sample with its terms, for ``word_uniqueness``."""
+    words = test_docs.select(*SAMPLE, F.explode("words").alias("word")).groupBy(*SAMPLE, "word").agg(F.count(F.lit(1)).alias("count"))
+    return _counted(words, model, header, mode, zero_fix)
+
+
+def _token_rows(pt: DataFrame, start=None, end=None) -> DataFrame:
+    """``(class, doc_id, pos, i, word, v)`` of the tokens in ``[start, end)``; ``i`` counts from the start."""
+    if "pterms" in pt.columns:
+        s, e = _full_range(start, end)
+        rows = pt.select(*SAMPLE, "words", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
+        rows = rows.withColumn("word", F.element_at("words", F.col("pos") + 1))
+        rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
+        return rows.select(*SAMPLE, "pos", (F.col("pos") - F.col("_s")).alias("i"), "word", "v")
+    first = 0 if start is None else start
+    rows = pt.select(*SAMPLE, "pos", (F.col("pos") - first).alias("i"), "word", "v").where(F.col("i") >= 0)
+    return rows if end is None else rows.where(F.col("pos") < end)
+
+
 def word_trace(pt: DataFrame, header) -> DataFrame:
     """C7 long form: ``(doc_id, class, cand, cand_order, pos, word, term)``."""
     names = F.array(*[F.lit(c) for c, _, _ in header])
-    rows = pt.select("doc_id", "class", "words", F.posexplode("pterms").alias("pos", "v"))
-    rows = rows.select(
-        "doc_id", "class", "pos", F.element_at("words", F.col("pos") + 1).alias("word"), F.posexplode("v").alias("cand_order", "term")
-    )
+    rows = _token_rows(pt).select("doc_id", "class", "pos", "word", F.posexplode("v").alias("cand_order", "term"))
     return rows.withColumn("cand", F.element_at(names, F.col("cand_order") + 1))
 
 
@@ -129,17 +164,13 @@ def select_samples(pt: DataFrame, selection: DataFrame) -> DataFrame:
 
 def word_coords(pt: DataFrame, k: int, start=None, end=None) -> DataFrame:
     """E8 (+T13): per word in ``[start, end)``: ``(class, doc_id, pos, label, p0..)``; label ``"<pos+1>. word"``."""
-    s, e = _full_range(start, end)
-    rows = pt.select(*SAMPLE, "words", F.posexplode("pterms").alias("pos", "v")).where(
-        (F.col("pos") >= s) & (F.col("pos") < e)
-    )
+    return coords_of(_token_rows(pt, start, end), SAMPLE, k)
+
+
+def coords_of(rows: DataFrame, by, k: int) -> DataFrame:
+    """``(..by, pos, label, p0..)`` of token rows."""
     pcts = percent_cols([F.element_at("v", i + 1) for i in range(k)])
-    return rows.select(
-        *SAMPLE,
-        "pos",
-        numbered_word(F.col("pos") + 1, F.element_at("words", F.col("pos") + 1)).alias("label"),
-        *[p.alias(f"p{i}") for i, p in enumerate(pcts)],
-    )
+    return rows.select(*by, "pos", numbered_word(F.col("pos") + 1, F.col("word")).alias("label"), *[p.alias(f"p{i}") for i, p in enumerate(pcts)])
 
 
 def _range_sums(k: int, s: Column, e: Column) -> Column:
@@ -155,15 +186,19 @@ def range_summary(pt: DataFrame, k: int, start=None, end=None) -> DataFrame:
     range sums) and ``with_prior`` (E1 of range sums + ln prior)."""
     s, e = _full_range(start, end)
     sums = _range_sums(k, s, e)
-    w = pt.select(*SAMPLE, "lps", sums.alias("sums"))
+    return summary_of(pt.select(*SAMPLE, "lps", sums.alias("sums")), SAMPLE, k)
+
+
+def summary_of(w: DataFrame, by, k: int) -> DataFrame:
+    """E9 from ``(..by, lps, sums)``: ln priors and range sums of the K candidates."""
     with_p = F.zip_with("sums", "lps", lambda a, b: a + b)
     kinds = F.array(
         F.struct(F.lit("prior").alias("kind"), percent_map(F.col("lps"), k, prior=True).alias("pct")),
         F.struct(F.lit("no_prior").alias("kind"), percent_map(F.col("sums"), k).alias("pct")),
         F.struct(F.lit("with_prior").alias("kind"), percent_map(with_p, k).alias("pct")),
     )
-    out = w.select(*SAMPLE, F.explode(kinds).alias("r")).select(*SAMPLE, "r.kind", "r.pct")
-    return out.select(*SAMPLE, "kind", *[F.col("pct")[i].alias(f"p{i}") for i in range(k)])
+    out = w.select(*by, F.explode(kinds).alias("r")).select(*by, "r.kind", "r.pct")
+    return out.select(*by, "kind", *[F.col("pct")[i].alias(f"p{i}") for i in range(k)])
 
 
 def _first_max(values: Column, k: int, start: float) -> Column:
@@ -178,29 +213,29 @@ def _first_max(values: Column, k: int, start: float) -> Column:
     )
 
 
-def range_winner(summary: DataFrame, header) -> DataFrame:
+def range_winner(summary: DataFrame, header, by=SAMPLE) -> DataFrame:
     """Class with the largest ``with_prior`` percentage (strict ``>`` from -1E6)."""
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
-    wp = summary.where(F.col("kind") == "with_prior").select(*SAMPLE, F.array(*[F.col(f"p{i}") for i in range(k)]).alias("v"))
+    wp = summary.where(F.col("kind") == "with_prior").select(*by, F.array(*[F.col(f"p{i}") for i in range(k)]).alias("v"))
     best = _first_max(F.col("v"), k, ARGMAX_START)
     return wp.select(
-        *SAMPLE,
+        *by,
         F.when(best["i"] >= 0, F.element_at(names, best["i"] + 1)).alias("winner"),
         best["s"].alias("pct"),
     )
 
 
-def word_axis_min(coords: DataFrame, summary: DataFrame, k: int) -> DataFrame:
+def word_axis_min(coords: DataFrame, summary: DataFrame, k: int, by=SAMPLE) -> DataFrame:
     """Per doc and candidate ``min(33, word pcts, prior, no_prior, with_prior)``."""
-    a = coords.groupBy(*SAMPLE).agg(*[F.min(f"p{i}").alias(f"w{i}") for i in range(k)])
-    b = summary.groupBy(*SAMPLE).agg(*[F.min(f"p{i}").alias(f"s{i}") for i in range(k)])
-    j = b.join(a, list(SAMPLE), "left")
+    a = coords.groupBy(*by).agg(*[F.min(f"p{i}").alias(f"w{i}") for i in range(k)])
+    b = summary.groupBy(*by).agg(*[F.min(f"p{i}").alias(f"s{i}") for i in range(k)])
+    j = b.join(a, list(by), "left")
     vals = [
         F.least(F.lit(float(AXIS_START)), F.coalesce(F.col(f"w{i}"), F.lit(float(AXIS_START))), F.col(f"s{i}"))
         for i in range(k)
     ]
-    return j.select(*SAMPLE, F.posexplode(F.array(*vals)).alias("cand_order", "axis_min"))
+    return j.select(*by, F.posexplode(F.array(*vals)).alias("cand_order", "axis_min"))
 
 
 def sample_text(pt: DataFrame, start=None, end=None) -> DataFrame:
@@ -216,50 +251,57 @@ def running_score(pt: DataFrame, k: int, chunk: int = 25, start=None, end=None)
     with ``i != 0 and i % chunk == 0`` (so the first chunk has ``chunk + 1``
     words). Running sums are a window partitioned by ``(doc, chunk_id)``,
     ordered by position: each group holds at most ``chunk + 1`` words.
-    Output ``(class, doc_id, pos, i, chunk_id, p0..)``.
+    Output ``(class, doc_id, pos, i, chunk_id, p0.., word)``.
     """
-    s, e = _full_range(start, end)
-    rows = pt.select(*SAMPLE, F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
-    rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
-    i = F.col("pos") - F.col("_s")
-    rows = rows.withColumn("i", i).withColumn(
-        "chunk_id", F.greatest(F.lit(0), F.ceil(F.col("i") / F.lit(int(chunk))) - 1).cast("int")
-    )
+    rows = with_chunks(_token_rows(pt, start, end), chunk)
     w = Window.partitionBy(*SAMPLE, "chunk_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     for j in range(k):
         rows = rows.withColumn(f"c{j}", F.sum(F.element_at("v", j + 1)).over(w))
     pcts = percent_cols([F.col(f"c{j}") for j in range(k)])
-    return rows.select(*SAMPLE, "pos", "i", "chunk_id", *[p.alias(f"p{j}") for j, p in enumerate(pcts)])
+    return rows.select(*SAMPLE, "pos", "i", "chunk_id", *[p.alias(f"p{j}") for j, p in enumerate(pcts)], "word")
 
 
-def reset_points(running: DataFrame, pt: DataFrame, header, chunk: int = 25) -> DataFrame:
+def with_chunks(rows: DataFrame, chunk: int) -> DataFrame:
+    """Token rows with the stretch between two resets that they lie in."""
+    return rows.withColumn("chunk_id", F.greatest(F.lit(0), F.ceil(F.col("i") / F.lit(int(chunk))) - 1).cast("int"))
+
+
+def reset_points(running: DataFrame, pt: DataFrame | None, header, chunk: int = 25) -> DataFrame:
     """At each reset word: label ``"<pos+1>. word"``, best % and its class
     (strict ``>`` from 0, first wins; no positive value -> NULL class)."""
+    if "word" not in running.columns:
+        running = running.join(pt.select(*SAMPLE, "words"), list(SAMPLE)).withColumn("word", F.element_at("words", F.col("pos") + 1))
+    return resets_of(running, SAMPLE, header, chunk)
+
+
+def resets_of(running: DataFrame, by, header, chunk: int) -> DataFrame:
+    """E13 from running scores ``(..by, pos, i, word, p0..)``."""
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
     pts = running.where((F.col("i") != 0) & (F.col("i") % F.lit(int(chunk)) == 0))
-    pts = pts.join(pt.select(*SAMPLE, "words"), list(SAMPLE))
     best = _first_max(F.array(*[F.col(f"p{j}") for j in range(k)]), k, 0.0)
     return pts.select(
-        *SAMPLE,
+        *by,
         "pos",
-        numbered_word(F.col("pos") + 1, F.element_at("words", F.col("pos") + 1)).alias("label"),
+        numbered_word(F.col("pos") + 1, F.col("word")).alias("label"),
         best["s"].alias("best_pct"),
         F.when(best["i"] >= 0, F.element_at(names, best["i"] + 1)).alias("best_class"),
     )
 
 
-def _top_and_second_cols(xs):
-    """``_top_and_second`` unrolled over element columns: ``(mx, sec, idx)``."""
-    mx, sec, idx = F.lit(0.0), F.lit(0.0), F.lit(-1)
-    for j, x in enumerate(xs):
-        up = x > mx
-        mx, sec, idx = (
-            F.when(up, x).otherwise(mx),
-            F.when(up, mx).when((sec == 0) | (sec < x), x).otherwise(sec),
-            F.when(up, F.lit(j)).otherwise(idx),
-        )
-    return mx, sec, idx
+def top_and_second(p: Column, k: int) -> tuple[Column, Column, Column]:
+    """``(top, second, place)`` of an array of K values, as the word-uniqueness view defines them.
+
+    The top is the largest value if it is positive, at its first place (from 1); else 0, without a place (0), and the
+    second is the largest value. Else the second is the largest other value, with one fixed rule: if nothing
+    before the top is positive, only the values after it count, and without any the second is 0.
+    """
+    best = F.array_max(p)
+    place = F.array_position(p, best).cast("int")
+    before, after = F.slice(p, 1, F.greatest(place - 1, F.lit(0))), F.slice(p, place + 1, k)
+    others = F.when(F.coalesce(F.array_max(before), F.lit(0.0)) > 0, F.concat(before, after)).otherwise(after)
+    second = F.coalesce(F.array_max(others), F.lit(0.0))
+    return F.greatest(best, F.lit(0.0)), F.when(best > 0, second).otherwise(best), F.when(best > 0, place).otherwise(0)
 
 
 def word_uniqueness(pt: DataFrame, header, start=None, end=None, second: str = "as_coded") -> DataFrame:
@@ -267,34 +309,30 @@ def word_uniqueness(pt: DataFrame, header, start=None, end=None, second: str = "
     occurrences; words with difference 0 are dropped. ``rank`` orders each
     class's list by (diff, word, count) descending.
 
-    ``second="as_coded"`` reproduces the original scan, whose second value is 0
-    when the two lower values are both negative and the largest comes last;
-    ``second="true"`` uses the true second-largest value.
+    ``pt`` may also be the table of ``sample_words`` (the whole range). ``second``: see ``ranked_uniqueness``.
     """
+    if "count" in pt.columns:
+        words = pt
+    else:
+        # the same word always has the same terms
+        words = _token_rows(pt, start, end).groupBy(*SAMPLE, "word").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("count"))
+    return ranked_uniqueness(words, SAMPLE, header, second)
+
+
+def ranked_uniqueness(words: DataFrame, by, header, second: str = "as_coded") -> DataFrame:
+    """E14 from ``(..by, word, v, count)``: words with their winner, difference, rank and label. ``second="as_coded"``
+    follows ``top_and_second``, ``"true"`` takes the second-largest value."""
+    if second not in ("as_coded", "true"):
+        raise ValueError(f"unknown second mode {second!r}")
     k = len(header)
     names = F.array(*[F.lit(c) for c, _, _ in header])
-    s, e = _full_range(start, end)
-    rows = pt.select(*SAMPLE, "words", F.posexplode("pterms").alias("pos", "v"), s.alias("_s"), e.alias("_e"))
-    rows = rows.where((F.col("pos") >= F.col("_s")) & (F.col("pos") < F.col("_e")))
-    rows = rows.select(
-        *SAMPLE, "pos", "words", *[p.alias(f"q{i}") for i, p in enumerate(percent_cols([F.element_at("v", i + 1) for i in range(k)]))]
-    )
-    qs = [F.col(f"q{i}") for i in range(k)]
-    mx, sec, idx = _top_and_second_cols(qs)
+    top, sec, place = top_and_second(F.col("p"), k)
     if second == "true":
-        sec = F.element_at(F.sort_array(F.array(*qs), asc=False), 2) if k > 1 else F.lit(0.0)
-    elif second != "as_coded":
-        raise ValueError(f"unknown second mode {second!r}")
-    rows = rows.select(
-        *SAMPLE,
-        F.element_at("words", F.col("pos") + 1).alias("word"),
-        F.when(idx >= 0, F.element_at(names, idx + 1)).alias("winner"),
-        (mx - sec).alias("diff"),
-    )
-    # the same word always has the same terms, hence the same winner and diff
-    g = rows.groupBy(*SAMPLE, "winner", "word").agg(F.first("diff").alias("diff"), F.count(F.lit(1)).alias("count"))
+        sec = F.element_at(F.sort_array("p", asc=False), 2) if k > 1 else F.lit(0.0)
+    g = words.select(*by, "word", "count", percent_map(F.col("v"), k).alias("p"))
+    g = g.select(*by, F.when(place > 0, F.get(names, place - 1)).alias("winner"), "word", (top - sec).alias("diff"), "count")
     g = g.where(F.col("diff") != 0)
-    w = Window.partitionBy(*SAMPLE, "winner").orderBy(F.desc("diff"), F.desc("word"), F.desc("count"))
+    w = Window.partitionBy(*by, "winner").orderBy(F.desc("diff"), F.desc("word"), F.desc("count"))
     return g.withColumn("rank", F.row_number().over(w)).withColumn("label", word_with_count(F.col("word"), F.col("count")))
 
 

@@ -28,7 +28,7 @@ TEST = "test"
 #: About so many splitters at most over all groups: they are broadcast to the rows.
 MAX_SPLITTERS = 1 << 18
 #: Buckets need not be smaller than about so many rows.
-BUCKET_ROWS = 1 << 12
+BUCKET_ROWS = 1 << 16
 
 MAX_BUCKETS_BITS = 20  # a seeded order has at most 2**20 buckets per class in the offset table
 SHUFFLE_BITS = 52  # bits of a seeded order value: exact as a double
@@ -54,15 +54,18 @@ def _key(order_cols) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
 
 
-def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = None) -> DataFrame:
+def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = None) -> DataFrame | None:
     """``(..part_cols, cuts)``: for each group with more than about ``bucket_rows`` rows the sorted keys
     that cut it into buckets of about that size, saved in the shared folder.
 
     A key is a splitter by its hash, one in ``bucket_rows`` of them; more than ``MAX_SPLITTERS`` over all
-    groups are not expected, as the buckets grow with the table.
+    groups are not expected, as the buckets grow with the table. None if all rows fit into one bucket.
     """
     if bucket_rows is None:
-        bucket_rows = max(BUCKET_ROWS, df.count() // MAX_SPLITTERS)
+        n = df.count()
+        if n <= BUCKET_ROWS:
+            return None
+        bucket_rows = max(BUCKET_ROWS, n // MAX_SPLITTERS)
     chosen = df.where(F.pmod(F.xxhash64(*order_cols, *part_cols), F.lit(int(bucket_rows))) == 0)
     keys = chosen.select(*part_cols, _key(order_cols).alias("key"))
     cuts = keys.groupBy(*part_cols).agg(F.sort_array(F.collect_set("key")).alias("cuts"))
@@ -92,8 +95,9 @@ def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None =
     order_cols = list(order_cols)
     if bucket_bits is not None:
         x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
+    elif (cuts := splitters(df, part_cols, order_cols, bucket_rows)) is None:
+        x = df.withColumn("_b", F.pmod(F.hash(*order_cols), F.lit(1)))  # one bucket, and still a key to join by
     else:
-        cuts = splitters(df, part_cols, order_cols, bucket_rows)
         cuts = cuts.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(part_cols)], F.col("cuts").alias("_cuts"), F.col("zero").alias("_zero"))
         # about MAX_SPLITTERS keys in all; the zero keeps this a hash join where all rows are one constant group
         same = _same(df, part_cols, "_s") & (F.pmod(F.hash(*order_cols), F.lit(1)) == F.col("_zero"))
@@ -179,7 +183,7 @@ def split_in_place(
     compare their own. No text is shuffled. Where rows with equal keys lie on both sides of a cut, only
     ranks can tell them apart, and the rows are ranked.
     """
-    q = saved(quotas(corpus, pick_pct, balanced, cap), "quotas")
+    q = quotas(corpus, pick_pct, balanced, cap)
     order, bits = list(order_cols), None
     if shuffle_seed is not None:
         corpus = corpus.withColumn("_ord", seeded_order(shuffle_seed, "class", "doc_id"))

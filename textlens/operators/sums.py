@@ -31,7 +31,6 @@ from textlens.operators.scoring import (
     PRODUCT,
     SMALLEST,
     argmax,
-    class_index,
     score,
 )
 from textlens.session import saved
@@ -56,18 +55,30 @@ def value(high: Column, low: Column) -> Column:
     return (high.cast("double") + low.cast("double") * F.lit(2.0**-LOW)) * F.lit(2.0**-HIGH)
 
 
-def word_table(model: Model, header, terms) -> DataFrame:
-    """``(word, n, t ARRAY<BIGINT>)``: how often a word was counted, and the parts of its terms less those of an
-    unseen word. ``terms`` maps the list of a word's K counts to a list of double columns."""
-    lik = model.likelihood.join(F.broadcast(class_index(model.likelihood.sparkSession, header)), "class")
-    counts = [F.sum(F.when(F.col("k") == i, F.col("cnt"))).alias(f"_c{i}") for i in range(len(header))]
-    words = lik.groupBy("word").agg(F.sum("cnt").alias("n"), *counts)
-    seen, unseen = _parts(terms, [F.coalesce(f"_c{i}", F.lit(0)) for i in range(len(header))]), _parts(terms, [F.lit(0)] * len(header))
-    return words.select("word", "n", F.array(*[x - y for x, y in zip(seen, unseen)]).alias("t"))
+def class_table(spark, header) -> DataFrame:
+    """``(class, k, n)`` of the K candidates; K rows."""
+    return spark.createDataFrame([(c, k, float(n)) for k, (c, _, n) in enumerate(header)], "class string, k int, n double")
 
 
-def _parts(terms, counts) -> list[Column]:
-    return [p for x in terms(counts) for p in parts(x)]
+def entries(model: Model, header, terms) -> DataFrame:
+    """``(word, i, v0, v1)``: for each candidate that has a word, the parts of its terms less those of an unseen word.
+    ``terms`` are functions of a count and the candidate's number of words; term ``f`` of candidate ``k`` has place
+    ``f * K + k``."""
+    lik = model.likelihood.join(F.broadcast(class_table(model.likelihood.sparkSession, header)), "class")
+    cnt, n = F.col("cnt"), F.col("n")
+
+    def gain(f, term):
+        both = zip(parts(term(cnt, n)), parts(term(F.lit(0), n)))
+        return F.struct((F.col("k") + f * len(header)).alias("i"), *[(x - y).alias(f"v{j}") for j, (x, y) in enumerate(both)])
+
+    if len(terms) == 1:
+        return lik.select("word", gain(0, terms[0]).alias("e")).select("word", "e.*")
+    return lik.select("word", F.explode(F.array(*[gain(f, t) for f, t in enumerate(terms)])).alias("e")).select("word", "e.*")
+
+
+def unseen_parts(header, terms) -> list[Column]:
+    """The parts of all terms of an unseen word, in the order of their places."""
+    return [p for term in terms for _, _, n in header for p in parts(term(F.lit(0), F.lit(float(n))))]
 
 
 def sum_of_arrays(rows: DataFrame, keys, column: str, size: int) -> DataFrame:
@@ -75,33 +86,28 @@ def sum_of_arrays(rows: DataFrame, keys, column: str, size: int) -> DataFrame:
     return rows.groupBy(*keys).agg(F.array(*[F.sum(F.get(column, F.lit(i))) for i in range(size)]).alias(column))
 
 
-def add_up(tokens: DataFrame, keys, words: DataFrame, n_total: int, width: int, each: int) -> DataFrame:
-    """``(..keys, t)``: the sums of the words' arrays, in at most two rows for each key that has a seen word.
-
-    ``words`` is ``(word, n, t)`` with ``n_total`` occurrences in all, so fewer than ``n_total / limit`` words occur
-    more than ``limit`` times. An array has ``width`` terms of ``each`` numbers; those of a rare word are mostly 0.
-    """
-    size = width * each
+def hot_words(counts: DataFrame, n_total: int, size: int) -> DataFrame:
+    """``(word)``: the words with a row in ``counts`` (word, n) of more than ``n_total / most`` of the ``n_total``
+    occurrences, so fewer than ``most``; saved. ``size`` numbers of each are to be broadcast."""
     most = max(1, min(HOT_WORDS, HOT_BYTES // (8 * max(1, size))))
-    limit = n_total // most
-    hot = F.broadcast(words.where(F.col("n") > limit).select("word", "t"))
-    frequent = sum_of_arrays(tokens.join(hot, "word"), keys, "t", size)
+    return saved(counts.where(F.col("n") > n_total // most).select("word").distinct(), "hot")
 
-    def entry(i):
-        return F.struct(i.alias("i"), *[F.get("t", i * each + j).alias(f"v{j}") for j in range(each)])
 
-    some = F.filter(F.transform(F.sequence(F.lit(0), F.lit(width - 1)), entry), lambda e: _any(e, each))
-    rare = words.where(F.col("n") <= limit).select("word", F.explode(some).alias("e"))
-    met = tokens.join(rare, "word").select(*keys, "e.*").repartition(*keys)
-    one = [F.coalesce(F.sum(F.when(F.col("i") == i, F.col(f"v{j}"))), F.lit(0)) for i in range(width) for j in range(each)]
-    return frequent.unionByName(met.groupBy(*keys).agg(F.array(*one).alias("t")))
+def add_up(tokens: DataFrame, keys, table: DataFrame, hot: DataFrame, width: int, each: int) -> DataFrame:
+    """``(..keys, t)``: arrays of ``width * each`` numbers, the sums over the ``tokens`` (..keys, word) of their words' rows in
+    ``table`` (word, i, v0, ..: ``each`` numbers at place ``i``). At most two rows for each key that has a word there."""
 
+    def dense(rows, by):
+        one = [F.coalesce(F.sum(F.when(F.col("i") == i, F.col(f"v{j}"))), F.lit(0)) for i in range(width) for j in range(each)]
+        return rows.groupBy(*by).agg(F.array(*one).alias("t"))
 
-def _any(entry: Column, each: int) -> Column:
-    found = entry["v0"] != 0
-    for j in range(1, each):
-        found = found | (entry[f"v{j}"] != 0)
-    return found
+    frequent = dense(table.join(F.broadcast(hot), "word", "left_semi"), ["word"])
+    rare = table.join(F.broadcast(hot), "word", "left_anti")
+    by_word = sum_of_arrays(tokens.join(F.broadcast(frequent), "word"), keys, "t", width * each)
+    # by place first: a row for each of its places, not for each word, is dealt with place by place
+    met = tokens.join(rare, "word").drop("word").repartition(*keys)
+    met = met.groupBy(*keys, "i").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(each)])
+    return by_word.unionByName(dense(met, keys))
 
 
 def term_sums(docs: DataFrame, model: Model, header, terms, keep=("class",), words: Column | None = None) -> DataFrame:
@@ -109,24 +115,23 @@ def term_sums(docs: DataFrame, model: Model, header, terms, keep=("class",), wor
     ``parts`` for each. ``words`` are the words that count, all by default."""
     keys = ["doc_id", *[c for c in keep if c in docs.columns]]
     words = F.col("words") if words is None else words
-    width = len(terms([F.lit(0)] * len(header)))
+    width = len(terms) * len(header)
     tokens = docs.select(*keys, F.explode(words).alias("word"))
-    met = add_up(tokens, keys, word_table(model, header, terms), sum(h[2] for h in header), width, 2)
-    unseen = F.array(*[F.size(words) * p for p in _parts(terms, [F.lit(0)] * len(header))])
+    hot = hot_words(model.likelihood.select("word", F.col("cnt").alias("n")), sum(h[2] for h in header), 2 * width)
+    met = add_up(tokens, keys, entries(model, header, terms), hot, width, 2)
+    unseen = F.array(*[F.size(words) * p for p in unseen_parts(header, terms)])
     sums = sum_of_arrays(met.unionByName(docs.select(*keys, unseen.alias("t"))), keys, "t", 2 * width)
     return sums.select(*keys, *[F.get("t", F.lit(i)).alias(f"s{i}") for i in range(2 * width)])
 
 
-def mode_terms(mode: str, zero_fix: float, header):
-    """The terms of a word under a mode: counts -> one column for each candidate."""
-    sizes = [F.lit(float(n)) for _, _, n in header]
+def mode_term(mode: str, zero_fix: float = FIXED_FLOOR):
+    """The term of a word under a mode, as a function of its count and the candidate's number of words."""
     if mode == FLOOR:
-        z = F.lit(float(zero_fix))
-        return lambda counts: [F.ln(F.greatest(z, c / n)) for c, n in zip(counts, sizes)]
+        return lambda cnt, n: F.ln(F.greatest(F.lit(float(zero_fix)), cnt / n))
     if mode in (ADDONE, ADDONE_AS_CODED):
-        return lambda counts: [F.ln((c + 1) / n) for c, n in zip(counts, sizes)]
+        return lambda cnt, n: F.ln((cnt + 1) / n)
     if mode == PRODUCT:
-        return lambda counts: [F.log2((c + 1) / n) for c, n in zip(counts, sizes)]
+        return lambda cnt, n: F.log2((cnt + 1) / n)
     raise ValueError(f"unknown mode {mode!r}")
 
 
@@ -148,7 +153,7 @@ def score_sums(
     if mode not in MODES:
         raise ValueError(f"unknown mode {mode!r}")
     header = header if header is not None else model.header(classes)
-    terms = mode_terms(mode, zero_fix, header)
+    terms = [mode_term(mode, zero_fix)]
     if mode == PRODUCT:
         return _products(test_docs, model, header, terms, reject, keep)
     all_but_last = F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))) if mode == ADDONE_AS_CODED else None
@@ -221,8 +226,7 @@ def _same_sample(keep) -> Column:
 def floor_sweep(test_docs: DataFrame, model: Model, header, exponents, reject: float = DEFAULT_REJECT) -> DataFrame:
     """C1 at several floors ``1 / 10**v`` in one pass (the zero-fix slider, T15): a word has a term for each floor
     and candidate. ``(doc_id, class, v, scores, pred)``."""
-    floors = [mode_terms(FLOOR, 1.0 / 10.0 ** float(v), header) for v in exponents]
-    sums = term_sums(test_docs, model, header, lambda counts: [x for f in floors for x in f(counts)])
+    sums = term_sums(test_docs, model, header, [mode_term(FLOOR, 1.0 / 10.0 ** float(v)) for v in exponents])
     k_n = len(header)
 
     def scores(j):

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark import StorageLevel
 
@@ -20,10 +22,15 @@ from textlens.operators.sums import score_sums
 class Run:
     model: Model
     test: DataFrame  # (doc_id, class, words, ..)
-    scored: DataFrame  # test + scores + pred
+    scorer: Callable[[], DataFrame]
     header: list
     cached: list = field(default_factory=list)
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        """The test documents with scores and prediction; planned when first asked for."""
+        return self.scorer()
+
     def release(self) -> None:
         """Drop the cached corpus and model tables."""
         for df in self.cached:
@@ -105,5 +112,5 @@ def classify_with(
 ) -> Run:
     """Score an existing test set against an existing model."""
     header = model.header(classes)
-    scored = (score if ordered else score_sums)(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
-    return Run(model, test, scored, header)
+    how = score if ordered else score_sums
+    return Run(model, test, lambda: how(test, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header), header)

@@ -371,13 +371,24 @@ def q_top_words_fallback(spark, sf):
 K3 = len(P.CHOSEN)
 
 
+def _three(spark, sf):
+    return classify(corpus(spark, sf, "lang"), FLOOR, FIXED_FLOOR, DEFAULT_REJECT, classes=list(P.CHOSEN))
+
+
 def _explain(spark, sf):
     from textlens.operators.explain import position_terms
 
-    run = classify(corpus(spark, sf, "lang"), FLOOR, FIXED_FLOOR, DEFAULT_REJECT, classes=list(P.CHOSEN))
+    run = _three(spark, sf)
     return run, position_terms(run.test, run.model, run.header, FLOOR, FIXED_FLOOR)
 
 
+def _tokens(spark, sf):
+    from textlens.operators.explain import token_terms
+
+    run = _three(spark, sf)
+    return run, token_terms(run.test, run.model, run.header, FLOOR, FIXED_FLOOR)
+
+
 def _pcols(k=K3):
     return [r6(F.col(f"p{i}")).alias(f"p{i}") for i in range(k)]
 
@@ -423,10 +434,9 @@ def q_sample_axis_min(spark, sf):
 )
 def q_sample_label(spark, sf):
     """The hover label ``"<id>, words: <n>"`` of every test sample."""
-    from textlens.operators.explain import sample_coords
+    from textlens.functions.text import sample_label
 
-    _, pt = _explain(spark, sf)
-    return sample_coords(pt, K3).select("doc_id", "label")
+    return _three(spark, sf).test.select("doc_id", sample_label(F.col("doc_id"), F.size("words")).alias("label"))
 
 
 @register(
@@ -437,11 +447,10 @@ def q_sample_label(spark, sf):
     ),
 )
 def q_sample_id(spark, sf):
-    from textlens.functions.text import sample_id_from_label
-    from textlens.operators.explain import sample_coords
+    from textlens.functions.text import sample_id_from_label, sample_label
 
-    _, pt = _explain(spark, sf)
-    return sample_coords(pt, K3).select("doc_id", sample_id_from_label(F.col("label")).alias("sample_id"))
+    label = sample_label(F.col("doc_id"), F.size("words"))
+    return _three(spark, sf).test.select("doc_id", sample_id_from_label(label).alias("sample_id"))
 
 
 @register(
@@ -472,8 +481,8 @@ def q_sample_select(spark, sf):
 def q_word_trace(spark, sf):
     from textlens.operators.explain import word_trace
 
-    run, pt = _explain(spark, sf)
-    t = word_trace(pt, run.header)
+    run, tt = _tokens(spark, sf)
+    t = word_trace(tt, run.header)
     return t.select("doc_id", "class", "cand", "cand_order", "pos", "word", r6(F.col("term")).alias("term"))
 
 
@@ -489,8 +498,8 @@ def q_word_trace(spark, sf):
 def q_word_coords(spark, sf):
     from textlens.operators.explain import word_coords
 
-    _, pt = _explain(spark, sf)
-    return word_coords(pt, K3).select("doc_id", "pos", "label", *_pcols())
+    _, tt = _tokens(spark, sf)
+    return word_coords(tt, K3).select("doc_id", "pos", "label", *_pcols())
 
 
 _SUMMARY_CTES = (
@@ -562,8 +571,7 @@ def q_word_axis_min(spark, sf):
 def q_sample_text(spark, sf):
     from textlens.operators.explain import sample_text
 
-    _, pt = _explain(spark, sf)
-    return sample_text(pt).drop("class")
+    return sample_text(_three(spark, sf).test).drop("class")
 
 
 _RUN_CTES = (
@@ -581,8 +589,8 @@ _RUN_CTES = (
 def q_running_score(spark, sf):
     from textlens.operators.explain import running_score
 
-    _, pt = _explain(spark, sf)
-    return running_score(pt, K3, P.CHUNK).select("doc_id", "pos", "i", "chunk_id", *_pcols())
+    _, tt = _tokens(spark, sf)
+    return running_score(tt, K3, P.CHUNK).select("doc_id", "pos", "i", "chunk_id", *_pcols())
 
 
 _RESET_VAL, _RESET_NAME = S.first_max_case(["r.p0", "r.p1", "r.p2"], list(P.CHOSEN), "0")
@@ -600,51 +608,202 @@ _RESET_VAL, _RESET_NAME = S.first_max_case(["r.p0", "r.p1", "r.p2"], list(P.CHOS
 def q_reset_points(spark, sf):
     from textlens.operators.explain import reset_points, running_score
 
-    run, pt = _explain(spark, sf)
-    rs = running_score(pt, K3, P.CHUNK).select("class", "doc_id", "pos", "i", "chunk_id", *_pcols())
-    return reset_points(rs, pt, run.header, P.CHUNK).drop("class")
+    run, tt = _tokens(spark, sf)
+    rs = running_score(tt, K3, P.CHUNK).select("class", "doc_id", "pos", "i", "chunk_id", *_pcols(), "word")
+    return reset_points(rs, None, run.header, P.CHUNK).drop("class")
 
 
-def _uniq_sql() -> str:
-    # the original's scan for the top value and the second value, one candidate at a time
-    steps = ["u0 AS (SELECT doc_id, word, p0, p1, p2, 0.0::DOUBLE AS mx, 0.0::DOUBLE AS sec, -1 AS idx FROM wc)"]
-    for j in range(K3):
-        x = f"p{j}"
-        steps.append(
-            f"u{j + 1} AS (SELECT doc_id, word, p0, p1, p2, "
-            f"CASE WHEN {x} > mx THEN {x} ELSE mx END AS mx, "
-            f"CASE WHEN {x} > mx THEN mx WHEN sec = 0 OR sec < {x} THEN {x} ELSE sec END AS sec, "
-            f"CASE WHEN {x} > mx THEN {j} ELSE idx END AS idx FROM u{j})"
-        )
+def _uniq_ctes(keys: str, rows: str) -> list[str]:
+    """``g``: winner, difference and count of each word, from ``rows`` with the K-vector of terms ``v``."""
+    mean = "list_reduce(list_prepend(0.0::DOUBLE, v), lambda a, x: a + x) / 3"
     names = ", ".join(f"'{c}'" for c in P.CHOSEN)
-    return S.explain_sql(
-        S.POS_VEC,
+    return [
         # unrounded percentages here: the difference is rounded at the end
-        "wc AS (SELECT doc_id, word, "
-        + ", ".join(
-            f"((2 * (list_reduce(list_prepend(0.0::DOUBLE, v), lambda a, x: a + x) / 3)) - v[{i + 1}]) * 33.33::DOUBLE"
-            f" / (list_reduce(list_prepend(0.0::DOUBLE, v), lambda a, x: a + x) / 3) AS p{i}"
-            for i in range(K3)
-        )
-        + " FROM pv)",
-        *steps,
-        f"g AS (SELECT doc_id, CASE WHEN idx >= 0 THEN [{names}][idx + 1] END AS winner, word, "
-        f"any_value(mx - sec) AS diff, count(*) AS count FROM u{K3} GROUP BY ALL)",
-        select="SELECT doc_id, winner, word, " + S.r6("diff") + " AS diff, count, "
-        "CAST(row_number() OVER (PARTITION BY doc_id, winner ORDER BY diff DESC, word DESC, count DESC) AS INTEGER) AS rank, "
-        "word || '(' || CAST(count AS VARCHAR) || ')' AS label FROM g WHERE diff <> 0",
+        f"wc AS (SELECT {keys}, word, list_transform(v, lambda x: ((2 * ({mean})) - x) * 33.33::DOUBLE / ({mean})) AS p FROM {rows})",
+        f"w1 AS (SELECT {keys}, word, p, list_max(p) AS best, list_position(p, list_max(p)) AS place FROM wc)",
+        # the values that may come second: all others, or only those after the top if none before it is positive
+        f"w2 AS (SELECT {keys}, word, best, place, CASE WHEN coalesce(list_max(p[1:place - 1]), 0) > 0 "
+        "THEN list_concat(p[1:place - 1], p[place + 1:]) ELSE p[place + 1:] END AS others FROM w1)",
+        f"g AS (SELECT {keys}, word, CASE WHEN best > 0 THEN [{names}][place] END AS winner, "
+        "any_value(CASE WHEN best > 0 THEN best - coalesce(list_max(others), 0) ELSE 0 - best END) AS diff, "
+        f"count(*) AS count FROM w2 GROUP BY {keys}, word, CASE WHEN best > 0 THEN [{names}][place] END)",
+    ]
+
+
+def _uniq_select(keys: str) -> str:
+    return (
+        f"SELECT {keys}, winner, word, " + S.r6("diff") + " AS diff, count, "
+        f"CAST(row_number() OVER (PARTITION BY {keys}, winner ORDER BY diff DESC, word DESC, count DESC) AS INTEGER) AS rank, "
+        "word || '(' || CAST(count AS VARCHAR) || ')' AS label FROM g WHERE diff <> 0"
     )
 
 
+def _uniq_sql() -> str:
+    return S.explain_sql(S.POS_VEC, *_uniq_ctes("doc_id", "pv"), select=_uniq_select("doc_id"))
+
+
 @register("word_uniqueness", _uniq_sql())
 def q_word_uniqueness(spark, sf):
-    from textlens.operators.explain import word_uniqueness
+    from textlens.operators.explain import sample_words, word_uniqueness
 
-    run, pt = _explain(spark, sf)
-    u = word_uniqueness(pt, run.header)
+    run = _three(spark, sf)
+    u = word_uniqueness(sample_words(run.test, run.model, run.header), run.header)
     return u.select("doc_id", "winner", "word", r6(F.col("diff")).alias("diff"), "count", "rank", "label")
 
 
+# ---------------------------------------------------------------- many ranges at once (T11 with E8-E14)
+
+#: Requests for a sample of m words: an empty range, an inner one, an exact multiple of the reset step (the first
+#: stretch has a word more), a part chunk at its end, one past the end of the sample.
+_REQUESTS = [("3", "3"), ("m div 4", "3 * m div 4"), ("0", f"least(m, {2 * P.CHUNK + 1})"), ("1", f"least(m, {P.CHUNK + 13})"), ("m - 1", "m + 100")]
+
+
+def _range_sql(*ctes: str, select: str) -> str:
+    each = " UNION ".join(
+        f"SELECT doc_id, CAST({a} AS INTEGER) AS s0, CAST({b} AS INTEGER) AS e0, m FROM lens" for a, b in ((x.replace("div", "//"), y.replace("div", "//")) for x, y in _REQUESTS)
+    )
+    return S.explain_sql(
+        "lens AS (SELECT doc_id, len(words) AS m FROM test)",
+        f"req AS (SELECT doc_id, s0, e0, greatest(s0, 0) AS s, greatest(least(e0, m), s0, 0) AS e FROM ({each}) q)",
+        "rt AS (SELECT r.doc_id, r.s0, r.e0, t.pos, t.pos - r.s AS i, t.word, t.k, t.term FROM req r JOIN terms t "
+        "ON t.doc_id = r.doc_id AND t.pos >= r.s AND t.pos < r.e)",
+        "rv0 AS (SELECT doc_id, s0, e0, pos, i, word, list(term ORDER BY k) AS v FROM rt GROUP BY doc_id, s0, e0, pos, i, word)",
+        *ctes,
+        select=select,
+    )
+
+
+def _range_requests(spark, sf):
+    run, tt = _tokens(spark, sf)
+    from textlens.operators.ranges import requested
+
+    m = F.size("words").alias("m")
+    ranges = F.explode(F.array(*[F.struct(F.expr(f"cast({a} as int)").alias("start"), F.expr(f"cast({b} as int)").alias("end")) for a, b in _REQUESTS]))
+    asked = run.test.select("class", "doc_id", m).select("class", "doc_id", ranges.alias("r")).select("class", "doc_id", "r.*")
+    return run, tt, requested(asked, run.test)
+
+
+def _range_keys():
+    return "doc_id", F.col("start").alias("s0"), F.col("end").alias("e0")
+
+_RANGE_SUMMARY = (
+    S.DOC_VEC,
+    "sums AS (SELECT doc_id, s0, e0, k, sum(term) AS x FROM rt GROUP BY doc_id, s0, e0, k)",
+    "rs AS (SELECT r.doc_id, r.s0, r.e0, any_value(d.lps) AS lps, list(coalesce(x, 0) ORDER BY ks.k) AS sums FROM req r "
+    "CROSS JOIN (SELECT unnest(range(3)) AS k) ks JOIN dv d USING (doc_id) LEFT JOIN sums USING (doc_id, s0, e0, k) GROUP BY r.doc_id, r.s0, r.e0)",
+    "summ AS (SELECT doc_id, s0, e0, 'prior' AS kind, " + S.pmap_cols("lps", prior=True) + " FROM rs\n"
+    "  UNION ALL SELECT doc_id, s0, e0, 'no_prior', " + S.pmap_cols("nullif(sums, [0, 0, 0])") + " FROM rs\n"
+    "  UNION ALL SELECT doc_id, s0, e0, 'with_prior', " + S.pmap_cols("list_transform(range(1, 4), lambda i: sums[i] + lps[i])") + " FROM rs)",
+)
+
+
+@register("ranges_summary", _range_sql(*_RANGE_SUMMARY, select="SELECT * FROM summ"))
+def q_ranges_summary(spark, sf):
+    """E9 for all requests, from prefix sums."""
+    from textlens.operators import ranges as R
+
+    run, tt, reqs = _range_requests(spark, sf)
+    sums = R.range_sums(reqs, R.with_prefixes(tt, K3), run.header)
+    return R.range_summaries(sums, K3).select(*_range_keys(), "kind", *_pcols())
+
+
+@register(
+    "ranges_winner",
+    _range_sql(
+        *_RANGE_SUMMARY,
+        "wm AS (SELECT doc_id, s0, e0, " + ", ".join(f"min(p{i}) AS w{i}" for i in range(K3)) + " FROM (SELECT doc_id, s0, e0, " + S.pmap_cols("v") + " FROM rv0) GROUP BY ALL)",
+        "sm AS (SELECT doc_id, s0, e0, " + ", ".join(f"min(p{i}) AS q{i}" for i in range(K3)) + " FROM summ GROUP BY ALL)",
+        select=f"SELECT summ.doc_id, summ.s0, summ.e0, {_WIN_NAME} AS winner, {_WIN_VAL} AS pct, "
+        + ", ".join(f"least(33, coalesce(wm.w{i}, 33), sm.q{i}) AS a{i}" for i in range(K3))
+        + " FROM summ JOIN sm USING (doc_id, s0, e0) LEFT JOIN wm USING (doc_id, s0, e0) WHERE kind = 'with_prior'",
+    ),
+)
+def q_ranges_winner(spark, sf):
+    """E10 and E11 for all requests: the class of each range, and the axis minima (columns here)."""
+    from textlens.operators import ranges as R
+
+    run, tt, reqs = _range_requests(spark, sf)
+    tokens = R.with_prefixes(tt, K3)
+    summ = R.range_summaries(R.range_sums(reqs, tokens, run.header), K3).select(*R.REQUEST, "kind", *_pcols())
+    coords = R.range_words(R.range_tokens(reqs, tokens), K3).select(*R.REQUEST, *_pcols())
+    axis = R.range_axis_min(coords, summ, K3).groupBy(*R.REQUEST).agg(*[F.max(F.when(F.col("cand_order") == i, F.col("axis_min"))).alias(f"a{i}") for i in range(K3)])
+    return R.range_winners(summ, run.header).join(axis, list(R.REQUEST)).select(*_range_keys(), "winner", "pct", "a0", "a1", "a2")
+
+
+@register(
+    "ranges_words",
+    _range_sql(
+        select="SELECT doc_id, s0, e0, CAST(pos AS INTEGER) AS pos, CAST(pos + 1 AS VARCHAR) || '. ' || word AS label, " + S.pmap_cols("v") + " FROM rv0"
+    ),
+)
+def q_ranges_words(spark, sf):
+    """E8 for all requests."""
+    from textlens.operators import ranges as R
+
+    _, tt, reqs = _range_requests(spark, sf)
+    return R.range_words(R.range_tokens(reqs, R.with_prefixes(tt, K3)), K3).select(*_range_keys(), "pos", "label", *_pcols())
+
+
+_RANGE_RUN = (
+    f"tc AS (SELECT doc_id, s0, e0, k, pos, i, word, term, CAST(greatest(0, ceil(i / {P.CHUNK}) - 1) AS INTEGER) AS chunk_id FROM rt)",
+    "cu AS (SELECT *, sum(term) OVER (PARTITION BY doc_id, s0, e0, k, chunk_id ORDER BY pos) AS c FROM tc)",
+    "rv AS (SELECT doc_id, s0, e0, pos, i, word, chunk_id, list(c ORDER BY k) AS v FROM cu GROUP BY doc_id, s0, e0, pos, i, word, chunk_id)",
+    "run AS (SELECT doc_id, s0, e0, CAST(pos AS INTEGER) AS pos, CAST(i AS INTEGER) AS i, word, chunk_id, " + S.pmap_cols("v") + " FROM rv)",
+)
+
+
+@register("ranges_running", _range_sql(*_RANGE_RUN, select="SELECT * EXCLUDE (word) FROM run"))
+def q_ranges_running(spark, sf):
+    """E12 for all requests."""
+    from textlens.operators import ranges as R
+
+    _, tt, reqs = _range_requests(spark, sf)
+    rs = R.range_running(R.range_tokens(reqs, R.with_prefixes(tt, K3)), K3, P.CHUNK)
+    return rs.select(*_range_keys(), "pos", "i", "chunk_id", *_pcols())
+
+
+@register(
+    "ranges_resets",
+    _range_sql(
+        *_RANGE_RUN,
+        select=f"SELECT doc_id, s0, e0, pos, CAST(pos + 1 AS VARCHAR) || '. ' || word AS label, {_RESET_VAL} AS best_pct, "
+        f"{_RESET_NAME} AS best_class FROM run r WHERE i <> 0 AND i % {P.CHUNK} = 0",
+    ),
+)
+def q_ranges_resets(spark, sf):
+    """E13 for all requests: none in an empty range, and none at the end of a part chunk."""
+    from textlens.operators import ranges as R
+
+    run, tt, reqs = _range_requests(spark, sf)
+    rs = R.range_running(R.range_tokens(reqs, R.with_prefixes(tt, K3)), K3, P.CHUNK).select(*R.REQUEST, "pos", "i", "word", *_pcols())
+    return R.range_resets(rs, run.header, P.CHUNK).select(*_range_keys(), "pos", "label", "best_pct", "best_class")
+
+
+@register("ranges_uniqueness", _range_sql(*_uniq_ctes("doc_id, s0, e0", "rv0"), select=_uniq_select("doc_id, s0, e0")))
+def q_ranges_uniqueness(spark, sf):
+    """E14 for all requests."""
+    from textlens.operators import ranges as R
+
+    run, tt, reqs = _range_requests(spark, sf)
+    u = R.range_uniqueness(R.range_tokens(reqs, R.with_prefixes(tt, K3)), run.header)
+    return u.select(*_range_keys(), "winner", "word", r6(F.col("diff")).alias("diff"), "count", "rank", "label")
+
+
+@register(
+    "ranges_text",
+    _range_sql(
+        select="SELECT r.doc_id, r.s0, r.e0, CASE WHEN r.e <= r.s THEN '' ELSE array_to_string(t.words[r.s + 1:r.e], ' ') || ' ' END AS text "
+        "FROM req r JOIN test t USING (doc_id)"
+    ),
+)
+def q_ranges_text(spark, sf):
+    """T11+T12 for all requests."""
+    from textlens.operators import ranges as R
+
+    run, _, reqs = _range_requests(spark, sf)
+    return R.range_texts(reqs, run.test).select(*_range_keys(), "text")
+
+
 # ---------------------------------------------------------------- zero-fix slider (T15 with C1)
 
 SWEEP = tuple(range(4, 13))

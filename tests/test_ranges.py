@@ -9,7 +9,7 @@ from textlens.operators import explain as X
 from textlens.operators import ranges as R
 from textlens.operators.model import test_token_lists as held_out, tokenize, train
 
-TRAIN = [("en", "the cat sat on the mat"), ("fr", "le chat et le chien"), ("de", "die katze und der hund")]
+TRAIN = [("en", "the cat sat on the mat"), ("fr", "le chat et le chien"), ("de", "die katze und der hund"), ("en", "a dog"), ("de", "zwei hunde")]
 CHUNK = 7
 
 

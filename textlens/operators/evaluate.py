@@ -71,6 +71,26 @@ def class_report(conf: DataFrame) -> DataFrame:
     )
 
 
+def round2(x) -> F.Column:
+    """A ratio from 0 to 1 rounded to two places by its exact binary value, halves to even, as the report shows it.
+
+    A hundred times ``x * 2**53`` is taken as a whole number that fits a long, the rest below it only breaks a tie.
+    """
+    scaled = x * F.lit(2.0**53)
+    whole = F.floor(scaled)
+    below = (scaled - whole.cast("double")) * F.lit(100.0)  # exact: it has few bits
+    times = whole * F.lit(100).cast("long") + F.floor(below)
+    down, rest = F.shiftright(times, 53), times.bitwiseAND(F.lit((1 << 53) - 1))
+    half, over = F.lit(1 << 52), below != F.floor(below).cast("double")
+    up = (rest > half) | ((rest == half) & (over | (down % 2 == 1)))
+    return (down + F.when(up, 1).otherwise(0)).cast("double") / F.lit(100.0)
+
+
+def rounded_report(rep: DataFrame) -> DataFrame:
+    """M3/M4 as displayed: the report's ratios to two places."""
+    return rep.withColumns({c: round2(F.col(c)) for c in ("precision", "recall", "average", "f1")})
+
+
 def report(conf: DataFrame) -> DataFrame:
     """M3+M4+M5: per-class rows plus ``Avg/total`` (unweighted mean of the unrounded
     per-class values, sum of support). ``row_order`` puts ``Avg/total`` last.
@@ -96,7 +116,8 @@ def report(conf: DataFrame) -> DataFrame:
 
 
 def weighted_means(rows: DataFrame) -> DataFrame:
-    """M6: macro and support-weighted means of a per-class report."""
+    """M6: macro and support-weighted means of a per-class report; one row. The share of right predictions is the
+    support-weighted recall, which the library's report shows as accuracy."""
     w = F.col("support").cast("double")
     return rows.agg(
         F.avg("precision").alias("macro_precision"),
@@ -106,4 +127,5 @@ def weighted_means(rows: DataFrame) -> DataFrame:
         F.try_divide(F.sum(F.col("recall") * w), F.sum(w)).alias("weighted_recall"),
         F.try_divide(F.sum(F.col("f1") * w), F.sum(w)).alias("weighted_f1"),
         F.sum("support").alias("support"),
+        F.try_divide(F.sum(F.col("recall") * w), F.sum(w)).alias("accuracy"),
     )

@@ -347,20 +347,14 @@ def top_words(model: Model, chosen, preferred=None, n: int = 150, stopwords=True
     from textlens.operators.sampling import preferred_fallback
 
     pref, others = preferred_fallback(chosen, preferred)
-    lik = model.likelihood
-    pl = drop_stopwords(lik.where(F.col("class") == pref).select("word", "cnt"), stopwords)
-    top = pl.orderBy(F.desc("cnt"), F.asc("word")).limit(int(n))
-    top = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("cnt"), F.asc("word"))))
-    # the top list has at most n rows: broadcast it to pick the other classes' counts,
-    # then attach those (at most n rows each) to the list
-    cols = [F.col("cnt").alias("v_pref")]
-    out = top
-    for j, oc in enumerate(others, start=1):
-        ol = lik.where(F.col("class") == oc).select("word", F.col("cnt").alias(f"v_other{j}"))
-        hits = ol.join(F.broadcast(top.select("word")), "word")
-        out = out.join(hits, "word", "left")
-        cols.append(F.coalesce(F.col(f"v_other{j}"), F.lit(0)).cast("long").alias(f"v_other{j}"))
-    out = out.select("rank", "word", *cols)
+    # one pass over the three classes: a word's counts come together
+    names = {"v_pref": pref} | {f"v_other{j}": c for j, c in enumerate(others, start=1)}
+    lik = model.likelihood.where(F.col("class").isin(list(names.values())))
+    counts = lik.groupBy("word").agg(*[F.sum(F.when(F.col("class") == c, F.col("cnt"))).alias(v) for v, c in names.items()])
+    counts = drop_stopwords(counts.where(F.col("v_pref").isNotNull()), stopwords)
+    top = counts.orderBy(F.desc("v_pref"), F.asc("word")).limit(int(n))
+    rank = F.row_number().over(Window.orderBy(F.desc("v_pref"), F.asc("word")))  # at most n rows
+    out = top.select(rank.alias("rank"), "word", *[F.coalesce(v, F.lit(0)).cast("long").alias(v) for v in names])
     if prob:
         # class word totals (stop words included) for the three classes: K rows from the model header
         n = {c: float(nw) for c, _, nw in model.header([pref, *others])}

@@ -66,8 +66,9 @@ def decoded(part: Column, times: int = 1) -> Column:
 def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) -> DataFrame:
     """``<root>/<class>/<sample>`` text files, whole text per file.
 
-    Class and sample name come from the file path (``_metadata.file_path``), decoded.
-    Spark does not read files whose names start with ``_`` or ``.``.
+    Class and sample name come from the file path (``_metadata.file_path``), decoded. Small files are packed
+    into partitions by their bytes. Spark's readers pass over names that start with ``_`` or ``.``; if the folders
+    hold any, this raises instead of losing a sample (job markers and checksums of Spark's own aside).
     ``partitioned``: the layout Spark itself writes with
     ``partitionBy("class", "doc_id")``: ``class=<c>/doc_id=<d>/part-*``.
     """
@@ -84,12 +85,64 @@ def folder_corpus(spark: SparkSession, root: str, partitioned: bool = False) ->
             name(r"class=([^/]+)/doc_id=[^/]+/[^/]+$", 2).alias("class"),
             F.col("value").alias("text"),
         )
-    raw = spark.read.text(root.rstrip("/") + "/*/*", wholetext=True)
-    return raw.select(
-        name(r"([^/]+)$").alias("doc_id"),
-        name(r"([^/]+)/[^/]+$").alias("class"),
-        F.col("value").alias("text"),
-    )
+    hidden = hidden_names(spark, root)
+    if hidden:
+        raise ValueError(f"Spark does not read samples whose names start with '_' or '.': {', '.join(hidden)}")
+    raw = whole_files(spark, root, "/*/*")
+    return raw.select(F.regexp_extract("file", r"([^/]+)$", 1).alias("doc_id"), F.regexp_extract("file", r"([^/]+)/[^/]+$", 1).alias("class"), "text")
+
+
+#: Bytes of small files that are read in one partition.
+PACKED_BYTES = 64 << 20
+
+
+def whole_files(spark: SparkSession, root: str, pattern: str) -> DataFrame:
+    """``(file, text)`` of each file, empty ones too (the table readers leave those out), many to a partition."""
+    jvm, root = spark._jvm, root.rstrip("/")
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    strings = jvm.org.apache.spark.sql.Encoders.STRING()
+    files = spark._jsc.wholeTextFiles(root + pattern, max(spark.sparkContext.defaultParallelism, size // PACKED_BYTES))
+    rows = spark._jsparkSession.createDataset(jvm.org.apache.spark.api.java.JavaPairRDD.toRDD(files), jvm.org.apache.spark.sql.Encoders.tuple(strings, strings))
+    return DataFrame(rows.toDF(), spark).toDF("file", "text")
+
+
+def hidden_names(spark: SparkSession, root: str, limit: int = 5) -> list[str]:
+    """Some of the samples and classes under ``root`` that Spark's readers would pass over."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    found = []
+    for pattern in ("/[._]*/*", "/*/[._]*"):
+        path = fs.Path(root.rstrip("/") + pattern)
+        for status in path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []:
+            name = status.getPath().getName()
+            if name not in ("_SUCCESS", "_temporary") and not name.endswith(".crc") and len(found) < limit:
+                found.append(status.getPath().toString())
+    return found
+
+
+def write_plain_folders(corpus: DataFrame, root: str) -> None:
+    """Write a corpus as ``<root>/<class>/<name>``, one text file a sample, on any store that ``pyarrow.fs`` opens by
+    its address. A retried task writes the same files again. Names must be usable as file names that Spark reads."""
+    root = root.rstrip("/")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        n = 0
+        for b in batches:
+            for cls, name, text in zip(*(c.to_pylist() for c in b.columns)):
+                for part in (cls, name):
+                    if not part or "/" in part or part[0] in "._":
+                        raise ValueError(f"{part!r} is no file name that can be read back")
+                store.create_dir(f"{base}/{cls}", recursive=True)
+                with store.open_output_stream(f"{base}/{cls}/{name}") as out:
+                    out.write((text or "").encode())
+                n += 1
+        yield pa.RecordBatch.from_pydict({"n": [n]})
+
+    named = corpus.select("class", F.col("doc_id").cast("string").alias("doc_id"), "text")
+    named.mapInArrow(write, "n long").agg(F.sum("n")).collect()  # runs the tasks
 
 
 def write_folder_corpus(corpus: DataFrame, root: str) -> None:

@@ -28,7 +28,9 @@ TEST = "test"
 #: About so many splitters at most over all groups: they are broadcast to the rows.
 MAX_SPLITTERS = 1 << 18
 #: Buckets need not be smaller than about so many rows.
-BUCKET_ROWS = 1 << 16
+BUCKET_ROWS = 1 << 12
+#: The same where only keys are ranked.
+KEY_ROWS = 1 << 16
 
 MAX_BUCKETS_BITS = 20  # a seeded order has at most 2**20 buckets per class in the offset table
 SHUFFLE_BITS = 52  # bits of a seeded order value: exact as a double
@@ -54,7 +56,7 @@ def _key(order_cols) -> Column:
     return F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
 
 
-def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = None) -> DataFrame | None:
+def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = None, least: int = BUCKET_ROWS) -> DataFrame | None:
     """``(..part_cols, cuts)``: for each group with more than about ``bucket_rows`` rows the sorted keys
     that cut it into buckets of about that size, saved in the shared folder.
 
@@ -63,9 +65,9 @@ def splitters(df: DataFrame, part_cols, order_cols, bucket_rows: int | None = No
     """
     if bucket_rows is None:
         n = df.count()
-        if n <= BUCKET_ROWS:
+        if n <= least:
             return None
-        bucket_rows = max(BUCKET_ROWS, n // MAX_SPLITTERS)
+        bucket_rows = max(least, n // MAX_SPLITTERS)
     chosen = df.where(F.pmod(F.xxhash64(*order_cols, *part_cols), F.lit(int(bucket_rows))) == 0)
     keys = chosen.select(*part_cols, _key(order_cols).alias("key"))
     cuts = keys.groupBy(*part_cols).agg(F.sort_array(F.collect_set("key")).alias("cuts"))
@@ -83,7 +85,7 @@ def _bucket(cuts: Column, key: Column) -> Column:
     return F.when(cuts.isNull(), F.lit(0)).otherwise(F.aggregate(steps, F.lit(0), step))
 
 
-def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None, bucket_rows: int | None = None) -> DataFrame:
+def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None = None, bucket_rows: int | None = None, least: int = BUCKET_ROWS) -> DataFrame:
     """Adds ``rn`` (1-based) = rank of each row inside its ``part_cols`` group by ``order_cols``.
 
     The ordering columns are of any type that Spark orders (strings by their bytes, nulls first); the
@@ -95,7 +97,7 @@ def rank_within(df: DataFrame, part_cols, order_cols, bucket_bits: int | None =
     order_cols = list(order_cols)
     if bucket_bits is not None:
         x = df.withColumn("_b", F.shiftright(F.col(order_cols[0]).cast("long"), int(bucket_bits)))
-    elif (cuts := splitters(df, part_cols, order_cols, bucket_rows)) is None:
+    elif (cuts := splitters(df, part_cols, order_cols, bucket_rows, least)) is None:
         x = df.withColumn("_b", F.pmod(F.hash(*order_cols), F.lit(1)))  # one bucket, and still a key to join by
     else:
         cuts = cuts.select(*[F.col(c).alias(f"_s{i}") for i, c in enumerate(part_cols)], F.col("cuts").alias("_cuts"), F.col("zero").alias("_zero"))
@@ -188,7 +190,7 @@ def split_in_place(
     if shuffle_seed is not None:
         corpus = corpus.withColumn("_ord", seeded_order(shuffle_seed, "class", "doc_id"))
         order, bits = ["_ord", *order], SHUFFLE_BITS - MAX_BUCKETS_BITS
-    ranked = _quota_of(rank_within(corpus.select("class", *order), "class", order, bucket_bits=bits), q, ratio)
+    ranked = _quota_of(rank_within(corpus.select("class", *order), "class", order, bucket_bits=bits, least=KEY_ROWS), q, ratio)
 
     def at(rank):
         return F.max(F.when(F.col("rn") == rank, _key(order)))

@@ -104,8 +104,9 @@ def add_up(tokens: DataFrame, keys, table: DataFrame, hot: DataFrame, width: int
     frequent = dense(table.join(F.broadcast(hot), "word", "left_semi"), ["word"])
     rare = table.join(F.broadcast(hot), "word", "left_anti")
     by_word = sum_of_arrays(tokens.join(F.broadcast(frequent), "word"), keys, "t", width * each)
+    # frequent words stay out of the join on the word, where each would be one hot key
+    met = tokens.join(F.broadcast(hot), "word", "left_anti").join(rare, "word").drop("word").repartition(*keys)
     # by place first: a row for each of its places, not for each word, is dealt with place by place
-    met = tokens.join(rare, "word").drop("word").repartition(*keys)
     met = met.groupBy(*keys, "i").agg(*[F.sum(f"v{j}").alias(f"v{j}") for j in range(each)])
     return by_word.unionByName(dense(met, keys))
 

@@ -1306,6 +1306,20 @@ def q_random_split(spark, sf):
     return random_split(corpus(spark, sf, "source"), pick=1.0, ratio_pct=P.RATIO, seed=7).select("doc_id", "class", "split")
 
 
+@register(
+    "svm_tokens",
+    S.with_(f"corpus AS ({S.CORPUS['quality']})")
+    + "SELECT class, word, count(*) AS n FROM (SELECT class, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{M}\\p{Nd}\\p{Nl}\\p{Pc}]{2,}')) AS word FROM corpus) "
+    "GROUP BY class, word",
+)
+def q_svm_tokens(spark, sf):
+    """The regex words of the labelled documents, and how often each occurs by class."""
+    from textlens.operators.svm import svm_tokens
+
+    words = corpus(spark, sf, "quality").select("class", F.explode(svm_tokens(F.col("text"))).alias("word"))
+    return words.groupBy("class", "word").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("svm_report")
 def q_svm_report(spark, sf):
     """C9+M6: one-vs-rest linear SVM on ``quality`` (random 75/25 split), per-class
@@ -1316,7 +1330,7 @@ def q_svm_report(spark, sf):
     split = random_split(corpus(spark, sf, "quality"), pick=1.0, ratio_pct=P.RATIO, seed=7)
     pred = svm_predict(split, c=1.0, stopwords=True)
     rows = ev.class_report(ev.confusion(pred))
-    means = ev.weighted_means(rows)
+    means = ev.weighted_means(rows).persist()  # one row
     return rows.select(
         "class", "precision", "recall", "f1", "support"
     ).unionByName(
@@ -1329,6 +1343,8 @@ def q_svm_report(spark, sf):
             F.lit("weighted").alias("class"), F.col("weighted_precision").alias("precision"),
             F.col("weighted_recall").alias("recall"), F.col("weighted_f1").alias("f1"), "support",
         )
+    ).unionByName(
+        means.select(*[F.lit("accuracy").alias("class")], *[F.col("accuracy").alias(c) for c in ("precision", "recall", "f1")], "support")
     )
 
 

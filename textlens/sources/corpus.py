@@ -225,12 +225,8 @@ def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     labels = spark.read.parquet(table_path(sf_dir, "labels")).select("doc_id", "quality")
     docs = spark.read.parquet(table_path(sf_dir, "documents")).select("doc_id", "text")
-    lines = labels.join(docs, "doc_id").select(
-        F.lit("labels").alias("source"),
-        "doc_id",
-        F.concat(F.regexp_replace("text", WHITESPACE_JAVA, " "), F.lit("\t"), F.col("quality").cast("string")).alias(
-            "line"
-        ),
-    )
-    ranked = rank_within(lines, "source", ["doc_id"])
-    return ranked.select("source", (F.col("rn") - 1).alias("line_no"), "line")
+    # only the keys are ranked; each text is read once and joined to its number
+    keys = labels.join(docs.select("doc_id"), "doc_id").withColumn("source", F.lit("labels"))
+    ranked = rank_within(keys, "source", ["doc_id"])
+    line = F.concat(F.regexp_replace("text", WHITESPACE_JAVA, " "), F.lit("\t"), F.col("quality").cast("string"))
+    return docs.join(ranked, "doc_id").select("source", (F.col("rn") - 1).alias("line_no"), line.alias("line"))

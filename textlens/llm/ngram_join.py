@@ -35,6 +35,8 @@ from textlens.llm.graph import components
 from textlens.llm.hashing import U64, shingle_sets
 
 SHARD_BYTES = 6 << 20
+#: Bytes of text for each bucket of index lists at most; a bucket's entries are about as large.
+BUCKET_BYTES = 64 << 20
 #: Counters of the shingle count sketch: about one for this many shingles, within these powers of two.
 PER_COUNTER, LEAST_LOG, MOST_LOG = 128, 16, 21
 SKETCH_BLOCKS = 64
@@ -263,7 +265,7 @@ def jaccard_components(
     survey = written(_survey(docs, k, log), "survey")
     members = survey.where("block is null").select("doc_id", "row", F.col("size").cast("long").alias("n_shingles"), "set")
     ranks = spark.sparkContext.broadcast(_ranks(survey, log))
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), size // BUCKET_BYTES)
     lists = written(_lists(_postings(docs, k, percent, log, ranks, buckets), percent), "lists")
     links = _links(docs, lists, k, percent)
     roots = components(links).select(F.col("node").alias("set"), "root")

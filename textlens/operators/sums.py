@@ -111,15 +111,21 @@ def add_up(tokens: DataFrame, keys, table: DataFrame, hot: DataFrame, width: int
     return by_word.unionByName(dense(met, keys))
 
 
-def term_sums(docs: DataFrame, model: Model, header, terms, keep=("class",), words: Column | None = None) -> DataFrame:
+def word_tables(model: Model, header, terms) -> tuple[DataFrame, DataFrame]:
+    """(entries, hot): what ``term_sums`` meets the words with; a caller who scores again and again saves the first."""
+    hot = hot_words(model.likelihood.select("word", F.col("cnt").alias("n")), sum(h[2] for h in header), 2 * len(terms) * len(header))
+    return entries(model, header, terms), hot
+
+
+def term_sums(docs: DataFrame, model: Model, header, terms, keep=("class",), words: Column | None = None, tables=None) -> DataFrame:
     """``(doc_id, ..keep, s0, s1, ..)``: for each document the sums of its words' ``terms``, two columns of
-    ``parts`` for each. ``words`` are the words that count, all by default."""
+    ``parts`` for each. ``words`` are the words that count, all by default; ``tables`` those of ``word_tables``."""
     keys = ["doc_id", *[c for c in keep if c in docs.columns]]
     words = F.col("words") if words is None else words
     width = len(terms) * len(header)
     tokens = docs.select(*keys, F.explode(words).alias("word"))
-    hot = hot_words(model.likelihood.select("word", F.col("cnt").alias("n")), sum(h[2] for h in header), 2 * width)
-    met = add_up(tokens, keys, entries(model, header, terms), hot, width, 2)
+    table, hot = tables if tables is not None else word_tables(model, header, terms)
+    met = add_up(tokens, keys, table, hot, width, 2)
     unseen = F.array(*[F.size(words) * p for p in unseen_parts(header, terms)])
     sums = sum_of_arrays(met.unionByName(docs.select(*keys, unseen.alias("t"))), keys, "t", 2 * width)
     return sums.select(*keys, *[F.get("t", F.lit(i)).alias(f"s{i}") for i in range(2 * width)])
@@ -145,6 +151,7 @@ def score_sums(
     classes=None,
     header=None,
     keep=("class",),
+    tables=None,
 ) -> DataFrame:
     """C8 as ``scoring.score``, from order-free sums: ``(doc_id, ..keep, scores, pred)``.
 
@@ -156,9 +163,9 @@ def score_sums(
     header = header if header is not None else model.header(classes)
     terms = [mode_term(mode, zero_fix)]
     if mode == PRODUCT:
-        return _products(test_docs, model, header, terms, reject, keep)
+        return _products(test_docs, model, header, terms, reject, keep, tables)
     all_but_last = F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))) if mode == ADDONE_AS_CODED else None
-    sums = term_sums(test_docs, model, header, terms, keep, all_but_last)
+    sums = term_sums(test_docs, model, header, terms, keep, all_but_last, tables)
     start = [F.lit(math.log(p) * (2 if mode == ADDONE_AS_CODED else 1)) for _, p, _ in header]
     scores = F.array(*[s + value(F.col(f"s{2 * k}"), F.col(f"s{2 * k + 1}")) for k, s in enumerate(start)])
     out = sums.select("doc_id", *[c for c in keep if c in sums.columns], scores.alias("scores"))
@@ -195,10 +202,10 @@ def unsettled(wholes, products) -> Column:
     return edge | ((first > 0) & (first - second <= first * NEAR))
 
 
-def _products(test_docs, model, header, terms, reject, keep) -> DataFrame:
+def _products(test_docs, model, header, terms, reject, keep, tables) -> DataFrame:
     """Products as sums of base-two logarithms; the few documents where the order of the factors may
     matter (``unsettled``) are multiplied in order by ``scoring.score``."""
-    sums = term_sums(test_docs, model, header, terms, keep)
+    sums = term_sums(test_docs, model, header, terms, keep, tables=tables)
     keep = [c for c in keep if c in sums.columns]
     # the prior's own parts, added as whole numbers
     prior = [parts(F.log2(F.lit(float(p)))) for _, p, _ in header]

@@ -14,13 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from textlens.operators.model import Model, test_token_lists, tokenize
-from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR, score
+from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR
+from textlens.operators.sums import mode_term, score_sums, word_tables
+from textlens.session import saved
 
 
-def score_batch(batch: DataFrame, model: Model, header, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT) -> DataFrame:
-    """``(doc_id, class, text)`` -> ``(doc_id, class, pred, score)``; docs with no kept word are skipped."""
+def score_batch(batch: DataFrame, model: Model, header, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, tables=None) -> DataFrame:
+    """``(doc_id, class, text)`` -> ``(doc_id, class, pred, score)``; docs with no kept word are skipped. ``tables``: the
+    model's word tables (``sums.word_tables``), made once for all batches."""
     docs = test_token_lists(tokenize(batch).withColumn("split", F.lit("test")))
-    scored = score(docs, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header)
+    scored = score_sums(docs, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header, tables=tables)
     return scored.select("doc_id", "class", "pred", F.array_max("scores").alias("score"))
 
 
@@ -38,15 +41,17 @@ def start_scoring(
 ):
     """Start the streaming scorer over parquet files in ``source_dir``.
 
-    The class header (K rows) is read once from the model; ``available_now``
+    The class header (K rows) and the word tables are made once from the model; ``available_now``
     processes what is there and stops (use a processing-time trigger to keep
     running).
     """
     header = model.header()
+    table, hot = word_tables(model, header, [mode_term(mode, zero_fix)])
+    tables = (saved(table, "terms"), hot)
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        score_batch(batch, model, header, mode, zero_fix, reject).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
+        score_batch(batch, model, header, mode, zero_fix, reject, tables).write.mode("overwrite").parquet(f"{sink_dir.rstrip('/')}/epoch={epoch_id}")
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

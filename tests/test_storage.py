@@ -102,3 +102,29 @@ def test_two_places_as_the_report_shows_them(spark):
     xs = [a / b for b in range(1, 60) for a in range(b + 1)] + [k / 200 for k in range(201)] + [0.125, 0.375, 1e-18, 0.005, 0.015] + [draw.random() for _ in range(500)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     assert all(x["r"] == round(x["x"], 2) for x in df.select("x", ev.round2(F.col("x")).alias("r")).collect())
+
+
+def test_partition_folders_are_spark_s_own_and_no_driver_lists_the_files(spark, tmp_path):
+    from textlens.sources.corpus import write_folder_corpus
+
+    rows = [(n, c, t) for c in ("a=b", "50% é", None) for n, t in (("x/y [1]", "one\ntwo"), ("it's:{2}", None), ("+ ?", ""), (None, "three"))]
+    df = spark.createDataFrame(rows + rows[:2], "doc_id string, class string, text string").coalesce(1)
+    mine, theirs = str(tmp_path / "mine"), str(tmp_path / "theirs")
+    write_folder_corpus(df, mine)
+    df.select("class", "doc_id", "text").write.partitionBy("class", "doc_id").text(theirs)
+
+    def folders(root):
+        return sorted(str(p.relative_to(root)) for p in type(tmp_path)(root).rglob("doc_id=*"))
+
+    assert folders(mine) == folders(theirs)
+    got, same = folder_corpus(spark, mine, True), folder_corpus(spark, theirs, True)
+    for back in (got, same):
+        none = "__HIVE_DEFAULT_PARTITION__"
+        want = {}
+        for n, c, t in rows + rows[:2]:
+            want[n or none, c or none] = want.get((n or none, c or none), "") + (t or "") + "\n"
+        assert {(r["doc_id"], r["class"]): r["text"] for r in back.collect()} == want and back.count() == len(want)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan text" not in plan and "MapInArrow" in plan
+    write_folder_corpus(df.limit(0), mine)  # over what was there
+    assert folder_corpus(spark, mine, True).count() == 0

@@ -3,24 +3,25 @@
 A request names a sample and a range of its words, ``(class, doc_id, start, end)``, ``end`` excluded; any number of
 them, over any samples, are answered together. Ranges are clipped to the sample, an empty one has no words.
 
-Sums over ranges come from prefix sums: each token carries the sums of all terms before it in its sample, as whole
-numbers (``sums.parts``), so the sum of a range is the difference of two of them, exactly, whatever lies between.
-Prefixes are added up inside stretches of ``STRETCH`` tokens and over the stretches of a sample, so no task holds a
-document. Views that list words meet the tokens by an interval join: a request stands in each stretch it touches,
-and the equi-join on sample and stretch is filtered by position.
+Tokens are packed into stretches of at most ``STRETCH``, a row each, so no task holds a document and a token travels
+through one shuffle. Requests, short rows, meet the stretches that they touch by an equi-join on sample and stretch.
+Sums over ranges come from prefix sums: a stretch carries the sums of all terms before it in its sample, as whole numbers
+(``sums.parts``), so the sum of a range needs the two stretches at its ends only and is the difference of two
+prefixes, exactly, whatever lies between. Views that list words take them out of each stretch that a request touches.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from textlens.functions.text import rebuild_text
 from textlens.operators import explain as X
 from textlens.operators.explain import SAMPLE
 from textlens.operators.sums import parts, value
+from textlens.session import saved
 
 #: Tokens of a stretch.
 STRETCH = 4096
@@ -38,26 +39,43 @@ def requested(requests: DataFrame, test_docs: DataFrame) -> DataFrame:
     return mine.join(m, same).select(*REQUEST, s.cast("int").alias("s"), e.cast("int").alias("e"))
 
 
+def _stretch(pos) -> Column:
+    return F.floor(pos / STRETCH).cast("int")
+
+
+def _sums(ts, k: int) -> list[Column]:
+    """The sums of the parts of an array's K terms."""
+
+    def summed(j, half):
+        return F.aggregate(ts, F.lit(0).cast("long"), lambda a, t: a + parts(F.element_at(t["v"], j + 1))[half])
+
+    return [summed(j, half) for j in range(k) for half in range(2)]
+
+
 def with_prefixes(tokens: DataFrame, k: int) -> DataFrame:
-    """Token rows (``explain.token_terms``) with ``own`` and ``before``: the parts of their K terms, and the sums of
-    those of all tokens before them in the sample."""
-    n = 2 * k
-    own = F.array(*[p for j in range(k) for p in parts(F.element_at("v", j + 1))])
-    rows = tokens.withColumns({"own": own, "stretch": F.floor(F.col("pos") / STRETCH).cast("int")})
-
-    def summed(column, window):
-        return F.array(*[F.coalesce(F.sum(F.get(column, F.lit(i))).over(window), F.lit(0)) for i in range(n)])
-
-    inside = Window.partitionBy(*SAMPLE, "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    over = Window.partitionBy(*[f"_{c}" for c in SAMPLE]).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    whole = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in SAMPLE], F.col("stretch").alias("_stretch")).agg(
-        F.array(*[F.sum(F.get("own", F.lit(i))) for i in range(n)]).alias("sum")
+    """``(sample, stretch, ts, before)`` of token rows (``explain.token_terms``): ``ts`` the tokens (pos, word, v) of a
+    stretch in order, ``before`` the sums of the parts of the K terms of all tokens before it in its sample."""
+    packed = tokens.select(F.struct(*SAMPLE).alias("sample"), _stretch(F.col("pos")).alias("stretch"), F.struct("pos", "word", "v").alias("t"))
+    # written, so that the views of one query do not pack the tokens again
+    packed = saved(packed.groupBy("sample", "stretch").agg(F.sort_array(F.collect_list("t")).alias("ts")), "stretches")
+    # a stretch with fewer tokens is the last of its sample
+    full = packed.where(F.size("ts") >= STRETCH).select("sample", "stretch", F.array(*_sums(F.col("ts"), k)).alias("sum"))
+    upto = Window.partitionBy("sample").orderBy("stretch").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    first = full.select(
+        F.col("sample").alias("_sample"), (F.col("stretch") + 1).alias("_stretch"), F.array(*[F.sum(F.get("sum", F.lit(i))).over(upto) for i in range(2 * k)]).alias("before")
     )
-    first = whole.select(*[f"_{c}" for c in SAMPLE], "_stretch", summed("sum", over).alias("first"))
-    rows = rows.withColumn("within", summed("own", inside))
-    same = [rows[c].eqNullSafe(F.col(f"_{c}")) for c in SAMPLE] + [F.col("stretch") == F.col("_stretch")]
-    rows = rows.join(first, same).withColumn("before", F.zip_with("first", "within", lambda a, b: a + b))
-    return rows.select(*SAMPLE, "pos", "stretch", "word", "v", "own", "before")
+    none = F.array(*[F.lit(0).cast("long")] * (2 * k))
+    out = packed.join(first, (F.col("sample") == F.col("_sample")) & (F.col("stretch") == F.col("_stretch")), "left")
+    return out.select("sample", "stretch", "ts", F.coalesce("before", none).alias("before"))
+
+
+def _met(reqs: DataFrame, tokens: DataFrame, stretches: Column, how: str) -> DataFrame:
+    """The requests that hold words, each with those of its ``stretches`` (``with_prefixes``)."""
+    kind = tokens.schema["sample"].dataType
+    sample = F.struct(*[F.col(c).cast(kind[c].dataType).alias(c) for c in SAMPLE])
+    some = reqs.where(F.col("s") < F.col("e")).select(*REQUEST, "s", "e", sample.alias("_sample"), F.explode(stretches).alias("_stretch"))
+    # structs are equal if their parts are, nulls too
+    return some.join(tokens, (F.col("_sample") == F.col("sample")) & (F.col("_stretch") == F.col("stretch")), how)
 
 
 def range_sums(reqs: DataFrame, tokens: DataFrame, header) -> DataFrame:
@@ -65,31 +83,39 @@ def range_sums(reqs: DataFrame, tokens: DataFrame, header) -> DataFrame:
     two ends."""
     k = len(header)
 
-    def at(name, place):
-        return tokens.select(*[F.col(c).alias(f"_{name}_{c}") for c in SAMPLE], F.col("pos").alias(f"_{name}"), place.alias(f"{name}_sum"))
-
-    def there(name, pos):
-        same = F.col(f"_{name}") == pos
-        for c in SAMPLE:
-            same = same & F.col(c).eqNullSafe(F.col(f"_{name}_{c}"))
-        return same & (F.col("s") < F.col("e"))
-
-    out = reqs.join(at("a", F.col("before")), there("a", F.col("s")), "left")
-    out = out.join(at("z", F.zip_with("before", "own", lambda x, y: x + y)), there("z", F.col("e") - 1), "left")
+    def places(pos):
+        """Where the stretch has the tokens at ``pos``: one place, unless samples share their name."""
+        return F.filter(F.sequence(F.lit(0), F.size("ts") - 1), lambda i: F.get(F.col("ts"), i)["pos"] == pos)
+
+    def prefixes(pos, own):
+        """The sums of the tokens before that at ``pos`` (with its ``own``), if the stretch has it."""
+        sums = F.transform(places(pos), lambda i: F.array(*[F.get("before", F.lit(j)) + x for j, x in enumerate(_sums(F.slice("ts", F.lit(1), i + own), k))]))
+        return F.when(F.col("ts").isNotNull(), sums)
+
+    s, last = F.col("s"), F.col("e") - 1
+    # within one stretch the difference is the sum of what lies between
+    between = F.transform(places(s), lambda i: F.transform(places(last), lambda j: F.array(*_sums(F.slice("ts", i + 1, F.greatest(j - i + 1, F.lit(0))), k))))
+    within = F.when(F.col("ts").isNotNull(), F.flatten(between))
+    near = _met(reqs.where(_stretch(s) == _stretch(last)), tokens, F.array(_stretch(s)), "left")
+    near = near.select(*REQUEST, F.explode_outer(within).alias("_d"))
+    far = _met(reqs.where(_stretch(s) < _stretch(last)), tokens, F.array(_stretch(s), _stretch(last)), "left")
+    far = far.select(*REQUEST, prefixes(s, 0).alias("a"), prefixes(last, 1).alias("z"))
+    far = far.groupBy(*REQUEST).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("a", "z")])
+    far = far.select(*REQUEST, F.explode_outer("a").alias("a"), "z").select(*REQUEST, "a", F.explode_outer("z").alias("z"))
+    far = far.select(*REQUEST, F.zip_with("z", "a", lambda z, a: z - a).alias("_d"))
     none = F.array(*[F.lit(0).cast("long")] * (2 * k))
-    both = F.coalesce(F.zip_with("z_sum", "a_sum", lambda z, a: z - a), none)
-    sums = out.withColumn("_d", both).withColumn("sums", F.array(*[value(F.get("_d", F.lit(2 * j)), F.get("_d", F.lit(2 * j + 1))) for j in range(k)]))
+    out = near.unionByName(far).withColumn("_d", F.coalesce("_d", none))
+    out = out.unionByName(reqs.where(F.col("s") >= F.col("e")).select(*REQUEST, none.alias("_d")))
+    sums = out.withColumn("sums", F.array(*[value(F.get("_d", F.lit(2 * j)), F.get("_d", F.lit(2 * j + 1))) for j in range(k)]))
     return sums.withColumn("lps", F.array(*[F.lit(math.log(p)) for _, p, _ in header])).select(*REQUEST, "lps", "sums")
 
 
 def range_tokens(reqs: DataFrame, tokens: DataFrame) -> DataFrame:
     """``(..REQUEST, pos, i, word, v)``: the tokens of every range; ``i`` counts from its start."""
-    some = reqs.where(F.col("s") < F.col("e"))
-    stretches = F.sequence(F.floor(F.col("s") / STRETCH).cast("int"), F.floor((F.col("e") - 1) / STRETCH).cast("int"))
-    some = some.select(*[F.col(c).alias(f"_{c}") for c in SAMPLE], "start", "end", "s", "e", F.explode(stretches).alias("_stretch"))
-    same = [tokens[c].eqNullSafe(F.col(f"_{c}")) for c in SAMPLE] + [tokens["stretch"] == F.col("_stretch")]
-    met = tokens.join(some, same).where((F.col("pos") >= F.col("s")) & (F.col("pos") < F.col("e")))
-    return met.select(*REQUEST, "pos", (F.col("pos") - F.col("s")).alias("i"), "word", "v")
+    met = _met(reqs, tokens, F.sequence(_stretch(F.col("s")), _stretch(F.col("e") - 1)), "inner")
+    mine = F.filter("ts", lambda t: (t["pos"] >= F.col("s")) & (t["pos"] < F.col("e")))
+    words = met.select(*REQUEST, "s", F.explode(mine).alias("t"))
+    return words.select(*REQUEST, "t.pos", (F.col("t.pos") - F.col("s")).alias("i"), "t.word", "t.v")
 
 
 def range_summaries(sums: DataFrame, k: int) -> DataFrame:

@@ -94,3 +94,13 @@ def test_token_rows_give_the_views_of_the_documents(spark, data):
     assert rows(X.word_coords(tokens, 3, 2, 9)) == rows(X.word_coords(pt, 3, 2, 9))
     assert rows(X.running_score(tokens, 3, CHUNK, 1, 30)) == rows(X.running_score(pt, 3, CHUNK, 1, 30))
     assert rows(X.word_uniqueness(X.sample_words(test, model, header), header)) == rows(X.word_uniqueness(pt, header))
+
+
+def test_tokens_are_packed_into_stretches_and_written(spark, data, monkeypatch):
+    monkeypatch.setattr(R, "STRETCH", 4)
+    _, tokens, test, _, _ = data
+    packed = R.with_prefixes(tokens, 3)
+    got = {(r["sample"]["class"], r["sample"]["doc_id"], r["stretch"]): [t["word"] for t in r["ts"]] for r in packed.collect()}
+    assert got == {(r["class"], r["doc_id"], i // 4): r["words"][i : i + 4] for r in test.collect() for i in range(0, len(r["words"]), 4)}
+    # what the views read is a table, not the joins on the words
+    assert "collect_list" not in packed._jdf.queryExecution().executedPlan().toString()

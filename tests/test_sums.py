@@ -72,3 +72,46 @@ def test_no_document_is_gathered(spark, name):
 
     plan = Q.QUERIES[name](spark, SF001)._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan and "sort_array" not in plan
+
+
+def test_repeats_share_one_pass(spark, monkeypatch):
+    """Equal to the runs one by one, folded in word order; keys may repeat. No seed has a row of its own for a token, and no
+    document's vectors are gathered."""
+    from textlens.operators.scoring import FIXED_FLOOR_REJECT
+    from textlens.plans import experiments as X
+
+    draw = random.Random(7)
+    rows = [(i, "abc"[i % 3], " ".join(f"w{int(draw.paretovariate(0.7))}" for _ in range(draw.randrange(0, 30)))) for i in range(90)]
+    rows += [(3, "a", "w1 w2 w900"), (4, "b", ""), (None, "c", "w1"), (7, None, "w2")]
+    df = spark.createDataFrame(rows, "doc_id long, class string, text string").repartition(3)
+    want_split = {}
+
+    def in_order(docs, seeds, mode, zero_fix, reject):
+        want_split["docs"] = docs.count()
+        return kept(docs, seeds, mode, zero_fix, reject)
+
+    kept, shared = X._repeats_in_order, X._repeats
+    got = X.repeat_mean(df, [1, 2], reject=FIXED_FLOOR_REJECT)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "sort_array" not in plan
+    got = sorted(map(tuple, got.collect()))
+    monkeypatch.setattr(X, "_repeats", in_order)
+    want = sorted(map(tuple, X.repeat_mean(df, [1, 2], reject=FIXED_FLOOR_REJECT).collect()))
+    assert got == want and want_split["docs"] >= len(rows) - 2 and shared is not in_order
+
+
+def test_rare_words_travel_once_a_token(spark, monkeypatch):
+    """The rows dealt to documents are tokens with packed counts, not a row for each candidate."""
+    monkeypatch.setattr(S, "HOT_WORDS", 0)
+    model, test = corpus(spark, n=60)
+    dealt = []
+    add = S._add_rare
+
+    def watched(rows, tables):
+        dealt.append(rows.count())
+        return add(rows, tables)
+
+    monkeypatch.setattr(S, "_add_rare", watched)
+    S.score_sums(test, model, FLOOR).collect()
+    known = {r["word"] for r in model.likelihood.select("word").distinct().collect()}
+    assert dealt == [sum(w in known for r in test.collect() for w in r["words"])]

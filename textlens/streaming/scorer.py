@@ -15,13 +15,12 @@ from pyspark.sql import functions as F
 
 from textlens.operators.model import Model, test_token_lists, tokenize
 from textlens.operators.scoring import DEFAULT_REJECT, FIXED_FLOOR, FLOOR
-from textlens.operators.sums import mode_term, score_sums, word_tables
-from textlens.session import saved
+from textlens.operators.sums import candidate_tables, mode_term, score_sums
 
 
 def score_batch(batch: DataFrame, model: Model, header, mode=FLOOR, zero_fix=FIXED_FLOOR, reject=DEFAULT_REJECT, tables=None) -> DataFrame:
     """``(doc_id, class, text)`` -> ``(doc_id, class, pred, score)``; docs with no kept word are skipped. ``tables``: the
-    model's word tables (``sums.word_tables``), made once for all batches."""
+    model's word tables (``sums.candidate_tables``), made once for all batches."""
     docs = test_token_lists(tokenize(batch).withColumn("split", F.lit("test")))
     scored = score_sums(docs, model, mode=mode, zero_fix=zero_fix, reject=reject, header=header, tables=tables)
     return scored.select("doc_id", "class", "pred", F.array_max("scores").alias("score"))
@@ -46,8 +45,7 @@ def start_scoring(
     running).
     """
     header = model.header()
-    table, hot = word_tables(model, header, [mode_term(mode, zero_fix)])
-    tables = (saved(table, "terms"), hot)
+    tables = candidate_tables(model, header, [mode_term(mode, zero_fix)])
     stream = spark.readStream.schema(schema).parquet(source_dir)
 
     def each(batch: DataFrame, epoch_id: int) -> None:

@@ -350,3 +350,25 @@ def test_lm_pairs(spark, monkeypatch):
         keys = (np.uint64(before) << np.uint64(16)) | np.arange(M.VOCABULARY, dtype=np.uint64)
         p = 10 ** (share + M.seen_gain(np.array([n[int(k)] for k in keys]), keys, share) - unseen[before, classes])
         assert np.allclose(np.bincount(classes, p, M.CLASSES), 1, atol=1e-5)
+
+
+def test_lm_learns_from_every_subword(spark):
+    """The windows of a large corpus hold each subword of the training texts, and each text's end, once as a target."""
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    from textlens.llm import lm_score as M
+
+    every, turns, _ = M.plan(10**12)
+    assert every <= M.WINDOW
+    path = tokenizer("byte_bpe_50k.tiktoken")
+    texts = ["", None, "a few words", *(f"text {i} of more words, " * i for i in range(1, 30))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("held_out", F.col("doc_id") % 5 == 4)
+    found = M.gathered(docs.repartition(3), path, 4, every, 6, 3).where("turn >= 0").collect()
+    assert {(r["turn"], r["bucket"]) for r in found} <= {(-(b + 1) % 3, b) for b in range(-6, 0)}
+    windows = M.restored([r["records"] for r in found])
+    assert sum(r["n"] for r in found) == len(windows)
+    targets = Counter(windows[:, 1:].reshape(-1).tolist())
+    del targets[-1]
+    want = Counter(x for i, t in enumerate(texts) if i % 5 != 4 for x in [*M.subwords(path, t), M.END])
+    assert targets == want

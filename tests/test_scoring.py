@@ -129,3 +129,24 @@ def test_sparse_sum_equals_dense(spark, mode):
         for a, b in zip(r["scores"], sparse[d]["scores"]):
             assert a == pytest.approx(b, rel=1e-9)
         assert r["pred"] == sparse[d]["pred"]
+
+
+def test_sparse_sum_shuffles_no_frequent_word(spark):
+    """Frequencies are counted in the documents' rows, and what stands in all documents meets a broadcast table."""
+    from textlens.operators.model import word_frequencies
+    from textlens.operators.scoring import score_sparse
+    from textlens.operators.sums import hot_words
+
+    rows = [(i, "ab"[i % 2], f"the the word{i} of", "test" if i % 3 == 0 else "train") for i in range(12)] + [(0, "a", "the the word0 of", "test"), (None, "b", "", "test")]
+    df = tokenize(spark.createDataFrame(rows, "doc_id long, class string, text string, split string"))
+    got = sorted(map(tuple, word_frequencies(df.where("doc_id <= 1").select("doc_id", "words")).collect()))
+    assert got == sorted([(0, "the", 2), (0, "word0", 1), (0, "of", 1)] * 2 + [(1, "the", 2), (1, "word1", 1), (1, "of", 1)])
+    model = train(df)
+    header = model.header()
+    assert {r["word"] for r in hot_words(model.likelihood.select("word", model.likelihood["cnt"].alias("n")), sum(n for _, _, n in header), 4).collect()} >= {"the", "of"}
+    sparse = score_sparse(held_out(df), model, header, ADDONE)
+    plan = sparse._jdf.queryExecution().executedPlan().toString()
+    assert not any("Aggregate" in line and "word#" in line and "doc_id#" in line for line in plan.splitlines())
+    dense = {(r["doc_id"], r["class"]): r["scores"] for r in score(held_out(df.dropDuplicates()), model, ADDONE, header=header).collect()}
+    for r in sparse.where("doc_id > 0").collect():
+        assert r["scores"] == pytest.approx(dense[r["doc_id"], r["class"]], rel=1e-9)

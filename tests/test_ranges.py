@@ -104,3 +104,24 @@ def test_tokens_are_packed_into_stretches_and_written(spark, data, monkeypatch):
     assert got == {(r["class"], r["doc_id"], i // 4): r["words"][i : i + 4] for r in test.collect() for i in range(0, len(r["words"]), 4)}
     # what the views read is a table, not the joins on the words
     assert "collect_list" not in packed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_documents_give_what_tokens_give(spark, data, monkeypatch):
+    """Sums and counted words straight from the documents, samples of one name included; nothing packs or groups tokens."""
+    monkeypatch.setattr(R, "STRETCH", 4)
+    reqs, _, test, header, _ = data
+    model = train(tokenize(spark.createDataFrame([(i, c, t, "train") for i, (c, t) in enumerate(TRAIN)], "doc_id long, class string, text string, split string")))
+    more = tokenize(spark.createDataFrame([(105, "fr", "le chat noir et le chien", "test"), (None, "fr", "chat et chien", "test")], "doc_id long, class string, text string, split string"))
+    asked = reqs.select(*R.REQUEST).unionByName(spark.createDataFrame([("fr", None, 0, 2), ("fr", None, 1, 1)], "class string, doc_id long, start int, end int"))
+
+    def rows(df):
+        return sorted((tuple(tuple(round(x, 9) for x in v) if isinstance(v, list) else v for v in r) for r in df.collect()), key=repr)
+
+    for docs in (test, test.unionByName(more.select(test.columns))):
+        mine = R.requested(asked, docs)
+        packed = R.with_prefixes(X.token_terms(docs, model, header), 3)
+        assert rows(R.range_sums(mine, docs, header, model)) == rows(R.range_sums(mine, packed, header))
+        counted = R.range_word_counts(mine, docs, model, header)
+        assert "collect_list" not in counted._jdf.queryExecution().executedPlan().toString()
+        got, want = R.range_uniqueness(counted, header), R.range_uniqueness(R.range_tokens(mine, packed), header)
+        assert rows(got.withColumn("diff", got["diff"] + 0.0).select(want.columns)) == rows(want)

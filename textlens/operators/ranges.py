@@ -8,6 +8,10 @@ through one shuffle. Requests, short rows, meet the stretches that they touch by
 Sums over ranges come from prefix sums: a stretch carries the sums of all terms before it in its sample, as whole numbers
 (``sums.parts``), so the sum of a range needs the two stretches at its ends only and is the difference of two
 prefixes, exactly, whatever lies between. Views that list words take them out of each stretch that a request touches.
+
+Views that need sums or counts only take the test documents instead of tokens (``range_sums`` with a model,
+``range_word_counts``): no token is packed. For sums each sample is cut where requests begin or end, the words of
+each piece are added up (``sums.place_sums``), and a request is again the difference of two prefixes, at its two cuts.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ from pyspark.sql import functions as F
 from textlens.functions.text import rebuild_text
 from textlens.operators import explain as X
 from textlens.operators.explain import SAMPLE
-from textlens.operators.sums import parts, value
+from textlens.operators.model import word_frequencies
+from textlens.operators.scoring import FIXED_FLOOR, FLOOR
+from textlens.operators.sums import candidate_tables, mode_term, parts, place_sums, value
 from textlens.session import saved
 
 #: Tokens of a stretch.
@@ -78,10 +84,56 @@ def _met(reqs: DataFrame, tokens: DataFrame, stretches: Column, how: str) -> Dat
     return some.join(tokens, (F.col("_sample") == F.col("sample")) & (F.col("_stretch") == F.col("stretch")), how)
 
 
-def range_sums(reqs: DataFrame, tokens: DataFrame, header) -> DataFrame:
+def _none(k: int) -> Column:
+    return F.array(*[F.lit(0).cast("long")] * (2 * k))
+
+
+def _with_priors(out: DataFrame, header) -> DataFrame:
+    """``(..REQUEST, lps, sums)`` of ``(..REQUEST, _d)``, the sums of parts."""
+    sums = out.withColumn("sums", F.array(*[value(F.get("_d", F.lit(2 * j)), F.get("_d", F.lit(2 * j + 1))) for j in range(len(header))]))
+    return sums.withColumn("lps", F.array(*[F.lit(math.log(p)) for _, p, _ in header])).select(*REQUEST, "lps", "sums")
+
+
+def _cut_sums(reqs: DataFrame, docs: DataFrame, model, header, mode: str, zero_fix: float) -> DataFrame:
+    """``range_sums`` over test documents whose names are theirs alone."""
+    k, kind = len(header), docs.schema
+    sample = F.struct(*[F.col(c).cast(kind[c].dataType).alias(c) for c in SAMPLE]).alias("sample")
+    asked = reqs.where(F.col("s") < F.col("e")).select(*REQUEST, sample, "s", "e")
+    cuts = asked.select("sample", F.explode(F.array("s", "e")).alias("cut")).groupBy("sample").agg(F.sort_array(F.collect_set("cut")).alias("cuts"))
+    pieces = F.transform(F.sequence(F.lit(1), F.size("cuts") - 1), lambda i: F.struct(F.get("cuts", i - 1).alias("a"), F.get("cuts", i).alias("cut")))
+    # structs are equal if their parts are, nulls too
+    met = docs.select(F.struct(*SAMPLE).alias("sample"), "words").join(cuts, "sample").select("sample.*", "words", F.explode(pieces).alias("p"))
+    met = met.select(*SAMPLE, "p.cut", F.lit(1).alias("mask"), F.slice("words", F.col("p.a") + 1, F.col("p.cut") - F.col("p.a")).alias("words"))
+    keys = ["doc_id", "class", "cut"]
+    sums = place_sums(met, keys, candidate_tables(model, header, [mode_term(mode, zero_fix)]))
+    upto = Window.partitionBy(*SAMPLE).orderBy("cut").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.array(*[F.sum(F.get("t", F.lit(i))).over(upto) for i in range(2 * k)])
+    prefixes = sums.select(F.struct(*SAMPLE).alias("sample"), "cut", before.alias("before"))
+    # nothing is before a sample's first cut
+    ends = F.explode(F.array(F.struct(F.col("s").alias("cut"), F.lit(-1).alias("sign")), F.struct(F.col("e").alias("cut"), F.lit(1).alias("sign"))))
+    ends = asked.select(*REQUEST, "sample", ends.alias("end_")).select(*REQUEST, "sample", "end_.cut", "end_.sign").join(prefixes, ["sample", "cut"], "left")
+    d = F.array(*[F.coalesce(F.sum(F.col("sign") * F.get("before", F.lit(i))), F.lit(0)).cast("long") for i in range(2 * k)])
+    out = ends.groupBy(*REQUEST).agg(d.alias("_d"))
+    return _with_priors(out.unionByName(reqs.where(F.col("s") >= F.col("e")).select(*REQUEST, _none(k).alias("_d"))), header)
+
+
+def range_sums(reqs: DataFrame, tokens: DataFrame, header, model=None, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR) -> DataFrame:
     """``(..REQUEST, lps, sums)``: ln priors, and each candidate's sum of terms over the range, from the prefixes at its
-    two ends."""
+    two ends. With a ``model`` the ``tokens`` are the test documents, else those of ``with_prefixes``."""
     k = len(header)
+    if model is not None:
+        name = F.struct(*SAMPLE).alias("_name")
+        shared = tokens.select(name).groupBy("_name").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("_name")
+        if shared.isEmpty():
+            return _cut_sums(reqs, tokens, model, header, mode, zero_fix)
+
+        def split(rows, how):
+            return rows.select("*", name).join(shared, "_name", how).drop("_name")
+
+        # samples that share their name are told apart by the places of their tokens only
+        own = _cut_sums(split(reqs, "left_anti"), split(tokens, "left_anti"), model, header, mode, zero_fix)
+        packed = with_prefixes(X.token_terms(split(tokens, "left_semi"), model, header, mode, zero_fix), k)
+        return own.unionByName(range_sums(split(reqs, "left_semi"), packed, header))
 
     def places(pos):
         """Where the stretch has the tokens at ``pos``: one place, unless samples share their name."""
@@ -103,11 +155,20 @@ def range_sums(reqs: DataFrame, tokens: DataFrame, header) -> DataFrame:
     far = far.groupBy(*REQUEST).agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("a", "z")])
     far = far.select(*REQUEST, F.explode_outer("a").alias("a"), "z").select(*REQUEST, "a", F.explode_outer("z").alias("z"))
     far = far.select(*REQUEST, F.zip_with("z", "a", lambda z, a: z - a).alias("_d"))
-    none = F.array(*[F.lit(0).cast("long")] * (2 * k))
-    out = near.unionByName(far).withColumn("_d", F.coalesce("_d", none))
-    out = out.unionByName(reqs.where(F.col("s") >= F.col("e")).select(*REQUEST, none.alias("_d")))
-    sums = out.withColumn("sums", F.array(*[value(F.get("_d", F.lit(2 * j)), F.get("_d", F.lit(2 * j + 1))) for j in range(k)]))
-    return sums.withColumn("lps", F.array(*[F.lit(math.log(p)) for _, p, _ in header])).select(*REQUEST, "lps", "sums")
+    out = near.unionByName(far).withColumn("_d", F.coalesce("_d", _none(k)))
+    return _with_priors(out.unionByName(reqs.where(F.col("s") >= F.col("e")).select(*REQUEST, _none(k).alias("_d"))), header)
+
+
+def range_word_counts(reqs: DataFrame, test_docs: DataFrame, model, header, mode: str = FLOOR, zero_fix: float = FIXED_FLOOR) -> DataFrame:
+    """``(..REQUEST, word, count, v)``: the distinct words of every range, counted in the documents' rows, with their terms.
+    A word may come once for each sample of a name that several share."""
+    kind = test_docs.schema
+    sample = F.struct(*[F.col(c).cast(kind[c].dataType).alias(c) for c in SAMPLE]).alias("_sample")
+    asked = reqs.where(F.col("s") < F.col("e")).select(*REQUEST, "s", "e", sample)
+    # structs are equal if their parts are, nulls too
+    met = asked.join(test_docs.select(F.struct(*SAMPLE).alias("_sample"), "words"), "_sample")
+    mine = F.slice("words", F.col("s") + 1, F.col("e") - F.col("s"))
+    return X._counted(word_frequencies(met.select(*REQUEST, mine.alias("words"))), model, header, mode, zero_fix)
 
 
 def range_tokens(reqs: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -155,8 +216,10 @@ def range_resets(running: DataFrame, header, chunk: int = 25) -> DataFrame:
 
 
 def range_uniqueness(words: DataFrame, header, second: str = "as_coded") -> DataFrame:
-    """E14 of every request."""
-    counted = words.groupBy(*REQUEST, "word").agg(F.first("v").alias("v"), F.count(F.lit(1)).alias("count"))
+    """E14 of every request, from its words (``range_tokens``) or its counted words (``range_word_counts``)."""
+    count = F.sum("count") if "count" in words.columns else F.count(F.lit(1))
+    # dealt by request once, for the counts and for the ranks
+    counted = words.repartition(*REQUEST).groupBy(*REQUEST, "word").agg(F.first("v").alias("v"), count.alias("count"))
     return X.ranked_uniqueness(counted, REQUEST, header, second)
 
 

@@ -242,4 +242,4 @@ def test_every_operator_has_a_query():
 
     names = set(entry.queries())
     assert {n for n in names if n.startswith("op") and n[2].isdigit()} == set(Q.QUERIES)
-    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in Q.QUERIES} == set(range(1, 14)) and "pipeline" in names

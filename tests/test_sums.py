@@ -115,3 +115,26 @@ def test_rare_words_travel_once_a_token(spark, monkeypatch):
     S.score_sums(test, model, FLOOR).collect()
     known = {r["word"] for r in model.likelihood.select("word").distinct().collect()}
     assert dealt == [sum(w in known for r in test.collect() for w in r["words"])]
+
+
+def test_a_line_gets_only_the_steps_of_its_sizes(spark):
+    from pyspark.sql import functions as F
+
+    from textlens.operators.sums import coded, decoded
+    from textlens.plans.experiments import _needed_steps, _tested_sizes
+
+    k_n, sizes = 2, [10, 20, 30, 40, 50, 60]
+    trained, j_n = [s // 5 for s in sizes], len(sizes)
+    steps = {(k, j): 7 * k + j + 1 for k in range(k_n) for j in range(j_n) if (k + j) % 3}
+    codes = F.array(*[coded(F.lit(v), F.lit(k * j_n + j)) for (k, j), v in steps.items()])
+    first, last = _tested_sizes(sizes, trained)
+    lines = spark.range(60).select(F.col("id").alias("line_no"), codes.alias("codes"), first.alias("first"), last.alias("last"))
+    rows = lines.withColumn("codes", F.transform(_needed_steps(F.col("codes"), k_n, j_n), lambda c: F.struct(*decoded(c)))).collect()
+    for r in rows:
+        tested = [j for j in range(j_n) if trained[j] <= r["line_no"] < sizes[j]]
+        assert tested == list(range(r["first"], r["last"] + 1))
+        got = [(i // j_n, i % j_n, v) for v, i in r["codes"]]
+        for k in range(k_n):
+            for j in tested:
+                assert sum(v for k2, j2, v in got if k2 == k and j2 <= j) == sum(v for (k2, j2), v in steps.items() if k2 == k and j2 <= j)
+    assert all(len(r["codes"]) <= k_n * max(1, r["last"] - r["first"] + 1) for r in rows) and sum(len(r["codes"]) for r in rows) < 0.7 * len(rows) * len(steps)

@@ -49,3 +49,18 @@ def test_learning_curve_reaches_the_last_line(spark):
     assert all(got[s, m][1] == s - s * 24 // 100 for s, m in got)
     assert got[1200, False] == (912, 912)
     assert learning_curve(lines.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["nb_report", "sample_axis_min", "repeat_mean"])
+def test_executors_keep_no_corpus(spark, name):
+    kept = set(spark.sparkContext._jsc.getPersistentRDDs().keys())
+    assert Q.QUERIES[name](spark, SF001).count()
+    assert set(spark.sparkContext._jsc.getPersistentRDDs().keys()) <= kept
+
+
+def test_batches_are_small(spark):
+    """A task holds several times a batch, of words and of numbers."""
+    from textlens.operators import sums
+    from textlens.session import BATCH_BYTES
+
+    assert BATCH_BYTES <= 4 << 20 and 8 * sums.AT_ONCE <= 4 << 20
